@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["retail"]
+FAMILIES = ["retail", "climate"]
 
 
 def _load(attr: str) -> dict:

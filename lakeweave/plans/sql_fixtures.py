@@ -87,3 +87,98 @@ rfm_scores AS (
     FROM rfm_scored
 )
 """
+
+CLIMATE = """
+climate_g AS (
+    SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day,
+           min(l_quantity) AS qmin, max(l_quantity) AS qmax,
+           CAST(sum(round(l_discount * 100)) AS BIGINT) AS rr10,
+           min(l_linenumber) AS lmin, max(l_linenumber) AS lmax, count(*) AS cnt
+    FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)
+),
+climate_f AS (
+    SELECT g.*, s.s_suppkey AS k, s.s_nationkey,
+           (g.day >= DATE '1999-01-01' AND g.day < DATE '1999-02-01') AS in_overlap,
+           unnest(CASE WHEN g.day >= DATE '1999-01-01' AND g.day < DATE '1999-02-01' THEN [1, 2]
+                       WHEN g.day < DATE '1999-01-01' THEN [1] ELSE [2] END) AS _file
+    FROM climate_g g JOIN supplier s ON g.l_suppkey = s.s_suppkey
+),
+climate_raw AS (
+    SELECT _file,
+        CAST(59000000 + k AS VARCHAR) AS NUM_POSTE,
+        'STATION_' || lpad(CAST(k % 37 AS VARCHAR), 2, '0') AS NOM_USUEL,
+        '50.' || lpad(CAST((k * 7919) % 100000 AS VARCHAR), 5, '0') AS LAT,
+        '3.' || lpad(CAST((k * 104729) % 100000 AS VARCHAR), 5, '0') AS LON,
+        CAST(s_nationkey * 10 + k % 7 AS VARCHAR) AS ALTI,
+        strftime(day, '%Y%m%d') AS AAAAMMJJ,
+        CAST(rr10 // 10 AS VARCHAR) || '.' || CAST(rr10 % 10 AS VARCHAR) AS RR,
+        '1' AS QRR,
+        CASE WHEN k % 10 = 9 THEN NULL
+             WHEN k % 23 = 0 AND dayofmonth(day) = 1 THEN '-999'
+             ELSE CAST(CAST(qmin AS BIGINT) - 20 AS VARCHAR) END AS TN,
+        CASE WHEN k % 10 != 9 THEN '1' END AS QTN,
+        CASE WHEN k % 10 != 9 THEN CAST((lmin * 137 + k) % 2400 AS VARCHAR) END AS HTN,
+        CASE WHEN k % 10 != 9 THEN '9' END AS QHTN,
+        CASE WHEN k % 10 = 9 THEN NULL
+             WHEN (k + dayofyear(day)) % 7 = 0 THEN NULL
+             ELSE CAST(CAST(qmax AS BIGINT) - 10 - (CASE WHEN in_overlap AND _file = 1 THEN 1 ELSE 0 END) AS VARCHAR) END AS TX,
+        CASE WHEN k % 10 != 9 THEN '1' END AS QTX,
+        CASE WHEN k % 10 != 9 THEN CAST((lmax * 211 + k * 3) % 2400 AS VARCHAR) END AS HTX,
+        CASE WHEN k % 10 != 9 THEN '9' END AS QHTX,
+        CAST(cnt % 3 AS VARCHAR) AS DG,
+        '1' AS QDG
+    FROM climate_f
+),
+climate_typed AS (
+    SELECT _file,
+        CAST(NUM_POSTE AS BIGINT) AS station_id, NOM_USUEL AS station_nom,
+        strptime(AAAAMMJJ, '%Y%m%d') AS date_mesure,
+        CAST(RR AS DOUBLE) AS quantite_precipitations, CAST(QRR AS BIGINT) AS qualite_quantite_precipitations,
+        CAST(TN AS DOUBLE) AS temp_min, CAST(QTN AS BIGINT) AS qualite_temp_min,
+        CAST(TX AS DOUBLE) AS temp_max, CAST(QTX AS BIGINT) AS qualite_temp_max,
+        try_strptime(AAAAMMJJ || lpad(HTN, 4, '0'), '%Y%m%d%H%M') AS temp_min_at,
+        CAST(QHTN AS BIGINT) AS qualite_heure_temp_min,
+        try_strptime(AAAAMMJJ || lpad(HTX, 4, '0'), '%Y%m%d%H%M') AS temp_max_at,
+        CAST(QHTX AS BIGINT) AS qualite_heure_temp_max,
+        CAST(DG AS BIGINT) AS duree_gel, CAST(QDG AS BIGINT) AS qualite_duree_gel,
+        CAST(ALTI AS BIGINT) AS altitude, CAST(LON AS DOUBLE) AS longitude, CAST(LAT AS DOUBLE) AS latitude
+    FROM climate_raw
+),
+climat_data AS (
+    SELECT * EXCLUDE (_file, _rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY station_id, date_mesure ORDER BY _file DESC) AS _rn
+        FROM climate_typed) WHERE _rn = 1
+),
+climate_daily AS (
+    SELECT station_id, station_nom, CAST(date_mesure AS DATE) AS date_mesure,
+           CAST(year(date_mesure) AS INTEGER) AS annee, CAST(month(date_mesure) AS INTEGER) AS mois,
+           CAST(day(date_mesure) AS INTEGER) AS jour, temp_min, temp_max, latitude, longitude
+    FROM climat_data WHERE temp_max IS NOT NULL
+),
+climate_normals AS (
+    SELECT station_id, max(station_nom) AS station_nom, mois, jour,
+           round(avg(temp_min), 2) AS tn_moy, round(min(temp_min), 2) AS tn_min_hist,
+           round(max(temp_min), 2) AS tn_max_hist, round(avg(temp_max), 2) AS tx_moy,
+           round(min(temp_max), 2) AS tx_min_hist, round(max(temp_max), 2) AS tx_max_hist,
+           CAST(count(temp_min) AS BIGINT) AS nb_annees_tn, CAST(count(temp_max) AS BIGINT) AS nb_annees_tx,
+           max(latitude) AS latitude, max(longitude) AS longitude
+    FROM climate_daily GROUP BY station_id, mois, jour
+),
+climate_day AS (
+    SELECT d.station_id, d.station_nom, d.date_mesure, d.annee, d.mois, d.jour, d.temp_min, d.temp_max,
+           n.tn_moy AS tn_moy_normale, n.tx_moy AS tx_moy_normale,
+           round(d.temp_min - n.tn_moy, 2) AS ecart_tn_normale,
+           round(d.temp_max - n.tx_moy, 2) AS ecart_tx_normale
+    FROM climate_daily d LEFT JOIN climate_normals n
+      ON n.station_id = d.station_id AND n.mois = d.mois AND n.jour = d.jour
+),
+climate_rain_month AS (
+    SELECT station_id, max(station_nom) AS station_nom,
+           CAST(year(date_mesure) AS INTEGER) AS annee, CAST(month(date_mesure) AS INTEGER) AS mois,
+           round(sum(quantite_precipitations), 1) AS rr_sum_mm,
+           CAST(count(*) FILTER (WHERE quantite_precipitations > 0) AS BIGINT) AS nb_jours_pluie,
+           max(latitude) AS latitude, max(longitude) AS longitude
+    FROM climat_data WHERE quantite_precipitations IS NOT NULL
+    GROUP BY station_id, year(date_mesure), month(date_mesure)
+)
+"""

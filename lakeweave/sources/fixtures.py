@@ -47,3 +47,57 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("c_custkey").cast("string")).alias("customer_id"),
         F.col("n_name").alias("country"),
     )
+
+
+# ------------------------------------------------------------------ climate
+def climate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily station records shaped like the weather CSV (all strings).
+
+    One station per supplier, one day per ship date.  Two delivery files:
+    file 1 up to 1998 plus a provisional copy of January 1999, file 2 from
+    1999 on (so January 1999 keys appear in both files, file 2 wins).
+    Stations with key % 10 = 9 measure rain only.
+    """
+    li = read(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_linenumber")
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    g = (li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("day"))
+           .agg(F.min("l_quantity").alias("qmin"), F.max("l_quantity").alias("qmax"),
+                F.sum(F.round(F.col("l_discount") * 100)).cast("bigint").alias("rr10"),
+                F.min("l_linenumber").alias("lmin"), F.max("l_linenumber").alias("lmax"),
+                F.count(F.lit(1)).alias("cnt")))
+    g = g.join(s, g.l_suppkey == s.s_suppkey)
+    in_overlap = (F.col("day") >= F.lit("1999-01-01").cast("date")) & (F.col("day") < F.lit("1999-02-01").cast("date"))
+    file_no = F.when(F.col("day") < F.lit("1999-01-01").cast("date"), 1).otherwise(2)
+    g = g.withColumn("_file", F.explode(
+        F.when(in_overlap, F.array(F.lit(1), F.lit(2))).otherwise(F.array(file_no))))
+    k = F.col("s_suppkey")
+    thermo = k % 10 != 9
+    tn = F.col("qmin").cast("bigint") - 20
+    tx = F.col("qmax").cast("bigint") - 10 - F.when(in_overlap & (F.col("_file") == 1), 1).otherwise(0)
+    null = F.lit(None).cast("string")
+    return g.select(
+        F.col("_file"),
+        (F.lit(59000000) + k).cast("string").alias("NUM_POSTE"),
+        F.concat(F.lit("STATION_"), F.lpad((k % 37).cast("string"), 2, "0")).alias("NOM_USUEL"),
+        F.concat(F.lit("50."), F.lpad(((k * 7919) % 100000).cast("string"), 5, "0")).alias("LAT"),
+        F.concat(F.lit("3."), F.lpad(((k * 104729) % 100000).cast("string"), 5, "0")).alias("LON"),
+        (F.col("s_nationkey") * 10 + k % 7).cast("string").alias("ALTI"),
+        F.date_format("day", "yyyyMMdd").alias("AAAAMMJJ"),
+        F.concat(F.expr("rr10 div 10").cast("string"), F.lit("."), (F.col("rr10") % 10).cast("string")).alias("RR"),
+        F.lit("1").alias("QRR"),
+        F.when(~thermo, null)
+         .when((k % 23 == 0) & (F.dayofmonth("day") == 1), F.lit("-999"))
+         .otherwise(tn.cast("string")).alias("TN"),
+        F.when(thermo, F.lit("1")).alias("QTN"),
+        F.when(thermo, ((F.col("lmin") * 137 + k) % 2400).cast("string")).alias("HTN"),
+        F.when(thermo, F.lit("9")).alias("QHTN"),
+        F.when(~thermo, null)
+         .when((k + F.dayofyear("day")) % 7 == 0, null)
+         .otherwise(tx.cast("string")).alias("TX"),
+        F.when(thermo, F.lit("1")).alias("QTX"),
+        F.when(thermo, ((F.col("lmax") * 211 + k * 3) % 2400).cast("string")).alias("HTX"),
+        F.when(thermo, F.lit("9")).alias("QHTX"),
+        (F.col("cnt") % 3).cast("string").alias("DG"),
+        F.lit("1").alias("QDG"),
+    )
