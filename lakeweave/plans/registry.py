@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["retail", "climate"]
+FAMILIES = ["retail", "climate", "combat"]
 
 
 def _load(attr: str) -> dict:

@@ -182,3 +182,141 @@ climate_rain_month AS (
     GROUP BY station_id, year(date_mesure), month(date_mesure)
 )
 """
+
+_NAMES = ("['Flacon de puissance alchimique', 'Well Fed', 'Healthstone', 'Tempered Potion', "
+          "'Crystallized Augment Rune', 'Huile d''arme algari', 'Fireball', 'Boule de feu', "
+          "'Shadow Word: Pain', 'Festin copieux', 'Pierre de soins', 'Melee']")
+_CLASSES = ("['Warrior', 'Paladin', 'Hunter', 'Rogue', 'Priest', 'Death Knight', 'Shaman', 'Mage', "
+            "'Warlock', 'Monk', 'Druid', 'Demon Hunter', 'Evoker']")
+
+COMBAT_BRONZE = f"""
+cb_ev AS (
+    SELECT event_id, user_id, event_type AS src_type, value,
+           CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+           CAST(ts AS DATE) AS day, 'R' || strftime(ts, '%Y%m%d') AS report_code,
+           hour(ts) // 4 AS block,
+           (epoch_us(ts) - epoch_us(date_trunc('day', ts))) // 1000 AS ts_ms,
+           dayofmonth(ts) AS dom
+    FROM events
+),
+b_reports AS (
+    SELECT report_code,
+           CASE WHEN dom % 3 IN (0, 1) THEN 77 + dom % 3 END AS guild_id,
+           CASE dom % 3 WHEN 0 THEN 'Nightmares Asylum' WHEN 1 THEN 'Les Veilleurs' END AS guild_name,
+           'EU' AS server_region, 'hyjal' AS server_slug,
+           'Raid ' || strftime(day, '%Y-%m-%d') AS title,
+           CASE WHEN dom % 2 = 0 THEN 'Palais des Nerubiens' ELSE 'Liberation of Undermine' END AS zone_name,
+           'owner_' || CAST(dom % 4 AS VARCHAR) AS owner_name, 500 + dom % 4 AS owner_user_id,
+           CASE WHEN dom % 3 IN (0, 1) THEN 'guild' ELSE 'personal' END AS log_source,
+           'public' AS visibility,
+           epoch_ms(CAST(day AS TIMESTAMP)) AS start_time_ms,
+           epoch_ms(CAST(day AS TIMESTAMP)) + 86400000 AS end_time_ms
+    FROM (SELECT DISTINCT report_code, day, dom FROM cb_ev)
+),
+b_fights AS (
+    SELECT report_code, CAST(block + 1 AS BIGINT) AS fight_id,
+           CAST(CASE WHEN block % 2 = 1 THEN 2900 + block WHEN dom % 2 = 1 THEN 0 END AS BIGINT) AS encounter_id,
+           CASE block WHEN 1 THEN 'Ulgrax the Devourer' WHEN 3 THEN 'The Bloodbound Horror'
+                      WHEN 5 THEN 'Queen Ansurek' ELSE 'Trash' END AS fight_name,
+           CAST(block * 14400000 AS BIGINT) AS start_time_ms,
+           CAST(block * 14400000 + CASE WHEN dom % 10 = 5 AND block = 0 THEN 0 ELSE 14400000 END AS BIGINT) AS end_time_ms,
+           CAST(CASE WHEN dom % 10 = 5 AND block = 0 THEN 0 ELSE 14400000 END AS BIGINT) AS duration_ms,
+           CASE WHEN block % 2 = 1 AND dom % 3 != 0 THEN (dom + block) % 2 = 0 END AS kill,
+           CAST(CASE WHEN block % 2 = 1 THEN CASE WHEN dom % 7 = 0 THEN 2 ELSE 3 + dom % 3 END END AS BIGINT) AS difficulty,
+           CAST(20 AS BIGINT) AS size,
+           CASE WHEN block % 2 = 1 THEN
+                CASE WHEN (CASE WHEN dom % 3 != 0 THEN (dom + block) % 2 = 0 END) THEN 0.0
+                     ELSE CAST((dom * 7 + block * 13) % 100 AS DOUBLE) + 0.5 END END AS boss_percentage,
+           CASE WHEN block = 4 THEN CAST(dom % 15 + 2 AS DOUBLE) END AS keystone_level,
+           CAST(CASE WHEN block = 4 THEN 1800000 + dom * 1000 END AS BIGINT) AS keystone_time_ms,
+           block % 2 = 1 AS is_boss
+    FROM (SELECT DISTINCT report_code, dom, block FROM cb_ev)
+),
+b_actors AS (
+    SELECT report_code, user_id AS actor_id,
+           CASE WHEN user_id % 5 = 0 THEN 50000 + user_id ELSE 7000000 + user_id END AS game_id,
+           CASE WHEN user_id % 5 = 0 THEN 'pet_' ELSE 'player_' END || CAST(user_id AS VARCHAR) AS name,
+           CASE WHEN user_id % 5 = 0 THEN 'Pet' ELSE 'Player' END AS actor_type,
+           CASE WHEN user_id % 5 = 0 THEN 'Pet' ELSE {_CLASSES}[user_id % 13 + 1] END AS sub_type,
+           CASE WHEN user_id % 5 = 0 THEN user_id + 1 END AS pet_owner_id,
+           CASE WHEN user_id % 5 = 0 THEN NULL WHEN user_id % 4 = 0 THEN 'Ysondre' ELSE 'Hyjal' END AS server
+    FROM (SELECT DISTINCT report_code, user_id FROM cb_ev)
+    UNION ALL
+    SELECT report_code, 1000 + k, 200000 + k, 'npc_' || CAST(k AS VARCHAR), 'NPC', 'NPC', NULL, NULL
+    FROM (SELECT DISTINCT report_code, k FROM cb_ev)
+),
+b_abilities AS (
+    SELECT report_code, 100 + ai AS ability_game_id, {_NAMES}[ai + 1] AS name,
+           CASE WHEN ai IN (0, 1, 4, 5, 9) THEN 'buff' ELSE 'spell' END AS ability_type
+    FROM (SELECT DISTINCT report_code, k % 12 AS ai FROM cb_ev)
+),
+cb_typed AS (
+    SELECT *, CAST(round(value * 100) AS BIGINT) AS amount,
+           CASE src_type
+             WHEN 'purchase' THEN CASE WHEN event_id % 10 = 0 THEN 'absorbed' ELSE 'damage' END
+             WHEN 'click' THEN CASE WHEN event_id % 4 = 0 THEN 'cast' ELSE 'heal' END
+             WHEN 'error' THEN CASE event_id % 3 WHEN 0 THEN 'interrupt' WHEN 1 THEN 'dispel' ELSE 'death' END
+             WHEN 'view' THEN CASE WHEN event_id % 5 = 0 THEN 'refreshbuff' ELSE 'applybuff' END
+             ELSE 'removebuff' END AS etype,
+           CAST(CASE WHEN event_id % 50 = 0 THEN NULL ELSE block + 1 END AS BIGINT) AS fight
+    FROM cb_ev
+),
+b_events AS (
+    SELECT report_code, fight AS fight_id, event_id // 100 AS page_index, event_id % 100 AS event_index,
+           ts_ms AS timestamp_ms, etype AS event_type,
+           CAST(CASE WHEN etype = 'damage' AND k % 2 = 1 THEN 1000 + k WHEN etype = 'death' THEN NULL
+                     ELSE user_id END AS BIGINT) AS source_id,
+           CAST(CASE WHEN etype = 'damage' THEN CASE WHEN k % 2 = 0 THEN 1000 + k ELSE user_id END
+                     WHEN etype IN ('absorbed', 'applybuff', 'refreshbuff', 'removebuff', 'death') THEN user_id
+                     WHEN etype = 'heal' THEN user_id + 1
+                     WHEN etype IN ('interrupt', 'dispel') THEN 1000 + k END AS BIGINT) AS target_id,
+           CAST(100 + k % 12 AS BIGINT) AS ability_game_id,
+           CASE etype
+             WHEN 'damage' THEN '{{' || CASE WHEN event_id % 13 = 0 THEN '' ELSE '"amount":' || CAST(amount AS VARCHAR) || ',' END
+                  || '"unmitigatedAmount":' || CAST(amount + event_id % 50 AS VARCHAR)
+                  || ',"absorbed":' || CAST(event_id % 7 AS VARCHAR)
+                  || ',"overkill":' || CASE WHEN event_id % 11 = 0 THEN '10' ELSE '0' END
+                  || ',"hitType":' || CASE WHEN event_id % 3 = 0 THEN '2' ELSE '1' END
+                  || ',"tick":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END || '}}'
+             WHEN 'heal' THEN '{{"amount":' || CAST(amount AS VARCHAR) || ',"overheal":' || CAST((event_id % 17) * 10 AS VARCHAR) || '}}'
+             WHEN 'absorbed' THEN '{{"amount":' || CAST(amount AS VARCHAR) || '}}'
+             WHEN 'death' THEN '{{"killerID":' || CAST(1000 + k AS VARCHAR) || '}}'
+             WHEN 'applybuff' THEN '{{"stack":1}}' WHEN 'refreshbuff' THEN '{{"stack":1}}'
+             ELSE '{{}}' END AS event_json
+    FROM cb_typed
+    UNION ALL
+    SELECT report_code, fight, event_id // 100, event_id % 100 + 100, CAST(block * 14400000 AS BIGINT),
+           'combatantinfo', CAST(user_id AS BIGINT), NULL, NULL,
+           '{{"specID":' || CAST(250 + user_id % 30 AS VARCHAR) || ',"faction":' || CAST(user_id % 2 AS VARCHAR)
+           || ',"gear":[' || CASE WHEN user_id % 17 = 0 THEN '{{"itemLevel":0}},{{"itemLevel":1}}'
+                 ELSE '{{"itemLevel":' || CAST(600 + k AS VARCHAR) || '}},{{"itemLevel":1}},{{"itemLevel":'
+                      || CAST(610 + user_id % 20 AS VARCHAR) || '}}' END
+           || '],"auras":[{{"source":' || CAST(user_id AS VARCHAR) || ',"ability":' || CAST(100 + k % 12 AS VARCHAR)
+           || ',"stacks":1,"name":"' || {_NAMES}[k % 12 + 1] || '"}},{{"source":' || CAST(user_id AS VARCHAR)
+           || ',"ability":' || CAST(100 + (k + 5) % 12 AS VARCHAR) || ',"stacks":1,"name":""}}]}}'
+    FROM cb_typed WHERE src_type = 'view' AND event_id % 3 = 0
+),
+b_roster AS (
+    SELECT 77 AS guild_id, 'Nightmares Asylum' AS guild_name, 'EU' AS server_region,
+           CASE WHEN user_id % 4 = 0 THEN 'ysondre' ELSE 'hyjal' END AS server_slug,
+           CASE WHEN user_id % 4 IN (0, 2) THEN user_id ELSE 90000 + user_id END AS wcl_character_id,
+           CASE WHEN user_id % 4 = 1 THEN 7000000 + user_id END AS canonical_id,
+           CASE WHEN user_id % 4 = 0 THEN 7000000 + user_id ELSE 8000000 + user_id END AS player_guid,
+           CASE WHEN user_id % 4 = 3 THEN ' PLAYER_' || CAST(user_id AS VARCHAR) || ' '
+                WHEN user_id % 4 = 0 THEN 'player_' || CAST(user_id AS VARCHAR)
+                ELSE 'Perso_' || CAST(user_id AS VARCHAR) END AS character_name,
+           CAST(user_id % 13 + 1 AS INTEGER) AS class_id, 80 AS character_level, user_id % 5 AS guild_rank
+    FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0)
+    UNION ALL
+    SELECT 77, 'Nightmares Asylum', 'EU', 'ysondre', 95000 + user_id, NULL, 8500000 + user_id,
+           'player_' || CAST(user_id AS VARCHAR), CAST(user_id % 13 + 1 AS INTEGER), 80, 9
+    FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 12 = 0)
+),
+b_player_details AS (
+    SELECT report_code, ['tanks', 'healers', 'dps'][(actor_id % 13) % 3 + 1] AS role,
+           actor_id AS player_id, game_id AS player_guid, name AS player_name, server, 'EU' AS region,
+           sub_type AS class_name, 600 + actor_id % 40 AS min_item_level, 605 + actor_id % 40 AS max_item_level,
+           actor_id % 3 AS potion_use, actor_id % 2 AS healthstone_use
+    FROM b_actors WHERE actor_type = 'Player'
+)
+"""

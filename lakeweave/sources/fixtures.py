@@ -101,3 +101,211 @@ def climate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("cnt") % 3).cast("string").alias("DG"),
         F.lit("1").alias("QDG"),
     )
+
+
+# ------------------------------------------------------------------ combat log (bronze)
+# FIXED VALUES: class id -> class name (API class ids 1..13)
+CLASS_NAMES = ["Warrior", "Paladin", "Hunter", "Rogue", "Priest", "Death Knight", "Shaman",
+               "Mage", "Warlock", "Monk", "Druid", "Demon Hunter", "Evoker"]
+# fixture ability names, FR and EN (id = 100 + position)
+ABILITY_NAMES = ["Flacon de puissance alchimique", "Well Fed", "Healthstone", "Tempered Potion",
+                 "Crystallized Augment Rune", "Huile d'arme algari", "Fireball", "Boule de feu",
+                 "Shadow Word: Pain", "Festin copieux", "Pierre de soins", "Melee"]
+BOSS_NAMES = {1: "Ulgrax the Devourer", 3: "The Bloodbound Horror", 5: "Queen Ansurek"}
+
+
+def _lit_array(values):
+    return F.array(*[F.lit(v) for v in values])
+
+
+def _combat_events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ts = F.col("ts").cast("timestamp")
+    return ev.select(
+        "event_id", "user_id", F.col("event_type").alias("src_type"), "value",
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.to_date("ts").alias("day"),
+        F.concat(F.lit("R"), F.date_format("ts", "yyyyMMdd")).alias("report_code"),
+        F.expr("hour(ts) div 4").alias("block"),
+        F.expr("(unix_micros(cast(ts as timestamp)) - unix_micros(date_trunc('DAY', cast(ts as timestamp)))) div 1000")
+         .alias("ts_ms"),
+    ).withColumn("dom", F.dayofmonth("day"))
+
+
+def combat_reports_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _combat_events_base(spark, sf_dir)
+    r = ev.groupBy("report_code", "day", "dom").agg(F.count(F.lit(1)).alias("_n"))
+    guild = (F.when(F.col("dom") % 3 == 0, F.lit("Nightmares Asylum"))
+              .when(F.col("dom") % 3 == 1, F.lit("Les Veilleurs")))
+    start_ms = F.unix_millis(F.col("day").cast("timestamp"))
+    return r.select(
+        "report_code",
+        F.when(guild.isNotNull(), F.lit(77) + F.col("dom") % 3).alias("guild_id"),
+        guild.alias("guild_name"), F.lit("EU").alias("server_region"), F.lit("hyjal").alias("server_slug"),
+        F.concat(F.lit("Raid "), F.date_format("day", "yyyy-MM-dd")).alias("title"),
+        F.when(F.col("dom") % 2 == 0, F.lit("Palais des Nerubiens")).otherwise(F.lit("Liberation of Undermine"))
+         .alias("zone_name"),
+        F.concat(F.lit("owner_"), (F.col("dom") % 4).cast("string")).alias("owner_name"),
+        (F.lit(500) + F.col("dom") % 4).alias("owner_user_id"),
+        F.when(guild.isNotNull(), F.lit("guild")).otherwise(F.lit("personal")).alias("log_source"),
+        F.lit("public").alias("visibility"),
+        start_ms.alias("start_time_ms"),
+        (start_ms + F.lit(86_400_000)).alias("end_time_ms"),
+    )
+
+
+def combat_fights_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _combat_events_base(spark, sf_dir)
+    f = ev.groupBy("report_code", "dom", "block").agg(F.count(F.lit(1)).alias("_n"))
+    b, d = F.col("block"), F.col("dom")
+    boss = b % 2 == 1
+    start = b * F.lit(14_400_000)
+    end = start + F.when((d % 10 == 5) & (b == 0), 0).otherwise(14_400_000)
+    kill = F.when(boss & (d % 3 != 0), (d + b) % 2 == 0)
+    boss_name = F.create_map(*[x for k, v in BOSS_NAMES.items() for x in (F.lit(k), F.lit(v))])
+    return f.select(
+        "report_code", (b + 1).cast("bigint").alias("fight_id"),
+        F.when(boss, F.lit(2900) + b).when(d % 2 == 1, F.lit(0)).cast("bigint").alias("encounter_id"),
+        F.when(boss, boss_name[b]).otherwise(F.lit("Trash")).alias("fight_name"),
+        start.cast("bigint").alias("start_time_ms"), end.cast("bigint").alias("end_time_ms"),
+        (end - start).cast("bigint").alias("duration_ms"),
+        kill.alias("kill"),
+        F.when(boss, F.when(d % 7 == 0, 2).otherwise(F.lit(3) + d % 3)).cast("bigint").alias("difficulty"),
+        F.lit(20).cast("bigint").alias("size"),
+        F.when(boss, F.when(kill, F.lit(0.0)).otherwise(((d * 7 + b * 13) % 100).cast("double") + 0.5))
+         .alias("boss_percentage"),
+        F.when(b == 4, (d % 15 + 2).cast("double")).alias("keystone_level"),
+        F.when(b == 4, F.lit(1_800_000) + d * 1000).cast("bigint").alias("keystone_time_ms"),
+        boss.alias("is_boss"),
+    )
+
+
+def combat_actors_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _combat_events_base(spark, sf_dir)
+    users = ev.select("report_code", "user_id").distinct()
+    u = F.col("user_id")
+    cls = F.element_at(_lit_array(CLASS_NAMES), (u % 13 + 1).cast("int"))
+    people = users.select(
+        "report_code", u.alias("actor_id"),
+        F.when(u % 5 == 0, F.lit(50000) + u).otherwise(F.lit(7_000_000) + u).alias("game_id"),
+        F.when(u % 5 == 0, F.concat(F.lit("pet_"), u.cast("string")))
+         .otherwise(F.concat(F.lit("player_"), u.cast("string"))).alias("name"),
+        F.when(u % 5 == 0, F.lit("Pet")).otherwise(F.lit("Player")).alias("actor_type"),
+        F.when(u % 5 == 0, F.lit("Pet")).otherwise(cls).alias("sub_type"),
+        F.when(u % 5 == 0, u + 1).alias("pet_owner_id"),
+        F.when(u % 5 == 0, F.lit(None).cast("string"))
+         .when(u % 4 == 0, F.lit("Ysondre")).otherwise(F.lit("Hyjal")).alias("server"),
+    )
+    npcs = ev.select("report_code", "k").distinct().select(
+        "report_code", (F.lit(1000) + F.col("k")).alias("actor_id"),
+        (F.lit(200_000) + F.col("k")).alias("game_id"),
+        F.concat(F.lit("npc_"), F.col("k").cast("string")).alias("name"),
+        F.lit("NPC").alias("actor_type"), F.lit("NPC").alias("sub_type"),
+        F.lit(None).cast("bigint").alias("pet_owner_id"), F.lit(None).cast("string").alias("server"))
+    return people.unionByName(npcs).withColumn("icon", F.concat(F.col("sub_type"), F.lit(".jpg")))
+
+
+def combat_abilities_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _combat_events_base(spark, sf_dir)
+    a = ev.select("report_code", (F.col("k") % 12).alias("ai")).distinct()
+    return a.select(
+        "report_code", (F.lit(100) + F.col("ai")).alias("ability_game_id"),
+        F.element_at(_lit_array(ABILITY_NAMES), (F.col("ai") + 1).cast("int")).alias("name"),
+        F.when(F.col("ai").isin(0, 1, 4, 5, 9), F.lit("buff")).otherwise(F.lit("spell")).alias("ability_type"),
+        F.concat(F.lit("ability_"), F.col("ai").cast("string"), F.lit(".jpg")).alias("icon"))
+
+
+def combat_events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per log event (``combatantinfo`` rows added at fight start)."""
+    ev = _combat_events_base(spark, sf_dir)
+    eid, k, u, st = F.col("event_id"), F.col("k"), F.col("user_id"), F.col("src_type")
+    etype = (F.when(st == "purchase", F.when(eid % 10 == 0, "absorbed").otherwise("damage"))
+              .when(st == "click", F.when(eid % 4 == 0, "cast").otherwise("heal"))
+              .when(st == "error", F.when(eid % 3 == 0, "interrupt").when(eid % 3 == 1, "dispel")
+                                    .otherwise("death"))
+              .when(st == "view", F.when(eid % 5 == 0, "refreshbuff").otherwise("applybuff"))
+              .otherwise("removebuff"))
+    ev = ev.withColumn("etype", etype).withColumn("amount", F.round(F.col("value") * 100).cast("bigint"))
+    t = F.col("etype")
+    amount = F.col("amount").cast("string")
+    js = (F.when(t == "damage", F.concat(
+              F.lit("{"), F.when(eid % 13 == 0, F.lit("")).otherwise(F.concat(F.lit('"amount":'), amount, F.lit(","))),
+              F.lit('"unmitigatedAmount":'), (F.col("amount") + eid % 50).cast("string"),
+              F.lit(',"absorbed":'), (eid % 7).cast("string"),
+              F.lit(',"overkill":'), F.when(eid % 11 == 0, F.lit("10")).otherwise(F.lit("0")),
+              F.lit(',"hitType":'), F.when(eid % 3 == 0, F.lit("2")).otherwise(F.lit("1")),
+              F.lit(',"tick":'), F.when(eid % 2 == 0, F.lit("true")).otherwise(F.lit("false")), F.lit("}")))
+           .when(t == "heal", F.concat(F.lit('{"amount":'), amount, F.lit(',"overheal":'),
+                                       ((eid % 17) * 10).cast("string"), F.lit("}")))
+           .when(t == "absorbed", F.concat(F.lit('{"amount":'), amount, F.lit("}")))
+           .when(t == "death", F.concat(F.lit('{"killerID":'), (F.lit(1000) + k).cast("string"), F.lit("}")))
+           .when(t.isin("applybuff", "refreshbuff"), F.lit('{"stack":1}'))
+           .otherwise(F.lit("{}")))
+    src = (F.when((t == "damage") & (k % 2 == 1), F.lit(1000) + k).when(t == "death", F.lit(None)).otherwise(u))
+    tgt = (F.when(t == "damage", F.when(k % 2 == 0, F.lit(1000) + k).otherwise(u))
+            .when(t.isin("absorbed", "applybuff", "refreshbuff", "removebuff", "death"), u)
+            .when(t == "heal", u + 1)
+            .when(t.isin("interrupt", "dispel"), F.lit(1000) + k))
+    fight = F.when(eid % 50 == 0, F.lit(None)).otherwise(F.col("block") + 1).cast("bigint")
+    regular = ev.select(
+        "report_code", fight.alias("fight_id"), F.expr("event_id div 100").alias("page_index"),
+        (eid % 100).alias("event_index"), F.col("ts_ms").alias("timestamp_ms"), t.alias("event_type"),
+        src.cast("bigint").alias("source_id"), F.lit(None).cast("bigint").alias("source_instance"),
+        tgt.cast("bigint").alias("target_id"), F.lit(None).cast("bigint").alias("target_instance"),
+        (F.lit(100) + k % 12).cast("bigint").alias("ability_game_id"), js.alias("event_json"))
+    names = _lit_array(ABILITY_NAMES)
+    gear = F.when(u % 17 == 0, F.lit('{"itemLevel":0},{"itemLevel":1}')).otherwise(F.concat(
+        F.lit('{"itemLevel":'), (F.lit(600) + k).cast("string"), F.lit('},{"itemLevel":1},{"itemLevel":'),
+        (F.lit(610) + u % 20).cast("string"), F.lit("}")))
+    info_js = F.concat(
+        F.lit('{"specID":'), (F.lit(250) + u % 30).cast("string"), F.lit(',"faction":'), (u % 2).cast("string"),
+        F.lit(',"gear":['), gear, F.lit('],"auras":[{"source":'), u.cast("string"),
+        F.lit(',"ability":'), (F.lit(100) + k % 12).cast("string"), F.lit(',"stacks":1,"name":"'),
+        F.element_at(names, (k % 12 + 1).cast("int")), F.lit('"},{"source":'), u.cast("string"),
+        F.lit(',"ability":'), (F.lit(100) + (k + 5) % 12).cast("string"), F.lit(',"stacks":1,"name":""}]}'))
+    info = ev.filter((F.col("src_type") == "view") & (eid % 3 == 0)).select(
+        "report_code", fight.alias("fight_id"), F.expr("event_id div 100").alias("page_index"),
+        (eid % 100 + 100).alias("event_index"), (F.col("block") * F.lit(14_400_000)).cast("bigint").alias("timestamp_ms"),
+        F.lit("combatantinfo").alias("event_type"), u.cast("bigint").alias("source_id"),
+        F.lit(None).cast("bigint").alias("source_instance"), F.lit(None).cast("bigint").alias("target_id"),
+        F.lit(None).cast("bigint").alias("target_instance"), F.lit(None).cast("bigint").alias("ability_game_id"),
+        info_js.alias("event_json"))
+    return regular.unionByName(info)
+
+
+def combat_roster_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guild members (user % 3 = 0); each matches the logs on a different key."""
+    ev = read(spark, sf_dir, "events").select("user_id").distinct().filter(F.col("user_id") % 3 == 0)
+    u = F.col("user_id")
+    cls_id = (u % 13 + 1).cast("int")
+    base = ev.select(
+        F.lit(77).cast("bigint").alias("guild_id"), F.lit("Nightmares Asylum").alias("guild_name"),
+        F.lit("EU").alias("server_region"),
+        F.when(u % 4 == 0, F.lit("ysondre")).otherwise(F.lit("hyjal")).alias("server_slug"),
+        F.when(u % 4 == 0, u).when(u % 4 == 2, u).otherwise(F.lit(90000) + u).alias("wcl_character_id"),
+        F.when(u % 4 == 1, F.lit(7_000_000) + u).alias("canonical_id"),
+        F.when(u % 4 == 0, F.lit(7_000_000) + u).otherwise(F.lit(8_000_000) + u).alias("player_guid"),
+        F.when(u % 4 == 3, F.concat(F.lit(" PLAYER_"), u.cast("string"), F.lit(" ")))
+         .when(u % 4 == 0, F.concat(F.lit("player_"), u.cast("string")))
+         .otherwise(F.concat(F.lit("Perso_"), u.cast("string"))).alias("character_name"),
+        cls_id.alias("class_id"), F.lit(80).alias("character_level"), (u % 5).alias("guild_rank"))
+    alts = ev.filter(u % 12 == 0).select(
+        F.lit(77).cast("bigint").alias("guild_id"), F.lit("Nightmares Asylum").alias("guild_name"),
+        F.lit("EU").alias("server_region"), F.lit("ysondre").alias("server_slug"),
+        (F.lit(95000) + u).alias("wcl_character_id"), F.lit(None).cast("bigint").alias("canonical_id"),
+        (F.lit(8_500_000) + u).alias("player_guid"),
+        F.concat(F.lit("player_"), u.cast("string")).alias("character_name"),
+        cls_id.alias("class_id"), F.lit(80).alias("character_level"), F.lit(9).cast("bigint").alias("guild_rank"))
+    return base.unionByName(alts)
+
+
+def combat_player_details_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = combat_actors_bronze(spark, sf_dir).filter(F.col("actor_type") == "Player")
+    u = F.col("actor_id")
+    role = F.element_at(_lit_array(["tanks", "healers", "dps"]), ((u % 13) % 3 + 1).cast("int"))
+    return a.select(
+        "report_code", role.alias("role"), u.alias("player_id"), F.col("game_id").alias("player_guid"),
+        F.col("name").alias("player_name"), "server", F.lit("EU").alias("region"),
+        F.col("sub_type").alias("class_name"), "icon",
+        (F.lit(600) + u % 40).alias("min_item_level"), (F.lit(605) + u % 40).alias("max_item_level"),
+        (u % 3).alias("potion_use"), (u % 2).alias("healthstone_use"))
