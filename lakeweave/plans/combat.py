@@ -43,14 +43,28 @@ GUILD_LIKE = "%nightmares asylum%"
 
 
 class Bronze:
-    """Lazy handles on the bronze tables of one lake (fixture-backed here)."""
+    """The bronze tables of one lake.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    In the lake these are stored tables written by ingestion; here they are
+    derived from the driver tables and landed once per session as reliable
+    checkpoints in the shared checkpoint folder (``spark.checkpoint.dir``),
+    so every silver/gold job reads stored bronze, as in production."""
+
+    _landed: dict = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True):
+        self.spark, self.sf_dir, self.land = spark, sf_dir, land
 
     def __getattr__(self, name):
+        if name.startswith("_"):
+            raise AttributeError(name)
         fn = getattr(fx, f"combat_{name}_bronze")
-        return fn(self.spark, self.sf_dir)
+        if not self.land:
+            return fn(self.spark, self.sf_dir)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in Bronze._landed:
+            Bronze._landed[key] = fn(self.spark, self.sf_dir).checkpoint(eager=True)
+        return Bronze._landed[key]
 
 
 # ------------------------------------------------------------------ silver

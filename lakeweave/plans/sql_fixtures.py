@@ -320,3 +320,121 @@ b_player_details AS (
     FROM b_actors WHERE actor_type = 'Player'
 )
 """
+
+
+def _unesc(x):
+    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), "
+            f"'&amp;', '&')")
+
+
+def _strip(x):
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _collapse(x):
+    return f"regexp_replace({_strip(x)}, '\\s+', ' ', 'g')"
+
+
+def _first(pattern):
+    return (f"CASE WHEN regexp_matches(block, '{pattern}') "
+            f"THEN {_strip(_unesc(f'regexp_extract(block, {chr(39)}{pattern}{chr(39)}, 1)'))} END")
+
+
+def _tags(x):
+    return f"nullif({_collapse(_unesc(f'regexp_replace({x}, {chr(39)}(?s)<[^>]+>{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})'))}, '')"
+
+
+_P_UID = 'data-global-modal-review-id="([^"]+)"'
+_P_AUTHOR = '(?s)<p class="skp-review-item__info">\\s*(.*?)\\s*</p>'
+_P_DATE = '(?s)<p class="skp-review-item__date">\\s*(.*?)\\s*</p>'
+_P_TEXT = '(?s)<p class="skp-review-item__text[^"]*">\\s*(.*?)\\s*</p>'
+_P_EXP = '(?s)<p class="skp-review-item__summary">\\s*Expérience du:\\s*(.*?)\\s*</p>'
+_P_RH = '(?s)<p class="skp-review-moderation__header">\\s*(.*?)\\s*</p>'
+_P_RT = '(?s)<div class="skp-review-moderation__text">\\s*(.*?)\\s*</div>'
+
+REVIEWS = f"""
+rv_docs AS (
+    SELECT doc_id, text,
+           CAST(doc_id % 31 + 1 AS VARCHAR) AS d_txt,
+           ['janv.', 'févr.', 'mars', 'avr.', 'mai', 'juin', 'juil.', 'août', 'sept.', 'oct.', 'nov.', 'déc.'][(doc_id // 31) % 12 + 1] AS mon,
+           CAST(2023 + (doc_id // 372) % 3 AS VARCHAR) AS y_txt
+    FROM documents
+),
+rv_blocks AS (
+    SELECT doc_id // 20 AS page_no, doc_id,
+        '<li id="reviews__item__' || CAST(doc_id AS VARCHAR) || '" class="skp-review-item">' || chr(10)
+        || CASE WHEN doc_id % 41 = 0 THEN '' ELSE '<div data-global-modal-review-id="rv-' || CAST(doc_id AS VARCHAR) || '"></div>' || chr(10) END
+        || '<p class="skp-review-item__info">' || chr(10) || '  Client ' || CAST(doc_id % 97 AS VARCHAR) || chr(10) || '</p>' || chr(10)
+        || CASE WHEN doc_id % 23 = 0 THEN '' ELSE '<span data-rating="' || CAST(doc_id % 5 + 1 AS VARCHAR) || '"></span>' || chr(10) END
+        || '<p class="skp-review-item__date">'
+        || CASE WHEN doc_id % 29 = 0 THEN d_txt || ' janvier ' || y_txt ELSE d_txt || ' ' || mon || ' ' || y_txt END
+        || '</p>' || chr(10)
+        || '<p class="skp-review-item__text skp-review-item__text--full">'
+        || replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')
+        || '</p>' || chr(10)
+        || '<p class="skp-review-item__summary">Expérience du: ' || CAST((doc_id + 3) % 28 + 1 AS VARCHAR) || ' ' || mon || ' ' || y_txt || '</p>' || chr(10)
+        || CASE WHEN doc_id % 3 = 0 THEN '<p class="skp-review-moderation__header">Réponse de <b>la boutique</b></p>' || chr(10)
+                || '<div class="skp-review-moderation__text">Merci &amp; à bientôt (' || CAST(doc_id AS VARCHAR) || ')</div>' || chr(10) ELSE '' END
+        || CASE WHEN doc_id % 9 = 0 THEN '<p class="skp-review-moderation__header">Suivi <i>client</i></p>' || chr(10) ELSE '' END
+        || '</li>' || chr(10) AS b
+    FROM rv_docs
+),
+rv_pages AS (
+    SELECT page_no, '<html><body><ul class="reviews">' || chr(10) || string_agg(b, '' ORDER BY doc_id) || '</ul></body></html>' AS html
+    FROM rv_blocks GROUP BY page_no
+),
+rv_parts AS (
+    SELECT page_no, unnest(p) AS block, unnest(generate_series(0, len(p) - 1)) AS block_pos
+    FROM (SELECT page_no, regexp_split_to_array(html, '<li id="reviews__item__[0-9]+" class="skp-review-item"') AS p FROM rv_pages)
+),
+rv_fields AS (
+    SELECT page_no, block_pos,
+        {_first(_P_UID)} AS review_uid,
+        {_first(_P_AUTHOR)} AS author0,
+        regexp_extract(block, 'data-rating="([0-9]+)"', 1) AS rating_raw,
+        {_first(_P_DATE)} AS review_date_raw,
+        {_first(_P_EXP)} AS experience_date_raw,
+        {_first(_P_TEXT)} AS text0,
+        regexp_extract_all(block, '{_P_RH}', 1) AS hs,
+        regexp_extract_all(block, '{_P_RT}', 1) AS ts
+    FROM rv_parts WHERE block_pos > 0
+),
+rv_first AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY review_uid ORDER BY page_no, block_pos) AS _rn
+                   FROM rv_fields WHERE review_uid IS NOT NULL AND review_uid != '') WHERE _rn = 1
+),
+reviews AS (
+    SELECT review_uid, {_collapse("coalesce(author0, '')")} AS author,
+           CASE WHEN rating_raw != '' THEN CAST(rating_raw AS INTEGER) END AS rating,
+           review_date_raw, experience_date_raw,
+           {_collapse("coalesce(text0, '')")} AS review_text,
+           'avis-verifies' AS source
+    FROM rv_first
+),
+responses AS (
+    SELECT * FROM (
+        SELECT review_uid, CAST(i AS INTEGER) AS response_rank,
+               {_tags("hs[i]")} AS response_header_raw,
+               {_tags("ts[i]")} AS response_text_raw
+        FROM rv_first, LATERAL (SELECT unnest(generate_series(1, greatest(len(hs), len(ts)))) AS i)
+    ) WHERE response_header_raw IS NOT NULL OR response_text_raw IS NOT NULL
+),
+reviews_dated AS (
+    SELECT * EXCLUDE (parts, mm),
+           CASE WHEN len(parts) = 3 AND regexp_full_match(parts[1], '[0-9]+') AND regexp_full_match(parts[3], '[0-9]+')
+                     AND mm IS NOT NULL
+                THEN CAST(try_strptime(parts[3] || '-' || CAST(mm AS VARCHAR) || '-' || parts[1], '%Y-%m-%d') AS DATE) END
+           AS review_date_parsed
+    FROM (SELECT *, CASE parts[2] WHEN 'janv' THEN 1 WHEN 'fevr' THEN 2 WHEN 'fev' THEN 2 WHEN 'mars' THEN 3
+                        WHEN 'avr' THEN 4 WHEN 'mai' THEN 5 WHEN 'juin' THEN 6 WHEN 'juil' THEN 7 WHEN 'aout' THEN 8
+                        WHEN 'sept' THEN 9 WHEN 'oct' THEN 10 WHEN 'nov' THEN 11 WHEN 'dec' THEN 12 END AS mm
+          FROM (SELECT *, string_split_regex({_strip("replace(translate(lower(" + _strip("coalesce(review_date_raw, '')") + "), 'éèêàû', 'eeeau'), '.', '')")}, '\\s+') AS parts
+                FROM reviews))
+),
+sentiment AS (
+    SELECT CAST(d.doc_id AS VARCHAR) AS review_id, {_strip("d.text")} AS review_text,
+           CASE WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS polarity,
+           make_timestamp((1700000000 + d.doc_id * 3600) * 1000000) AS created_at, d.doc_id
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+)
+"""

@@ -309,3 +309,70 @@ def combat_player_details_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("sub_type").alias("class_name"), "icon",
         (F.lit(600) + u % 40).alias("min_item_level"), (F.lit(605) + u % 40).alias("max_item_level"),
         (u % 3).alias("potion_use"), (u % 2).alias("healthstone_use"))
+
+
+# ------------------------------------------------------------------ reviews
+# FIXED VALUES: French month abbreviations as printed by the review site
+FR_MONTH_ABBREV = ["janv.", "févr.", "mars", "avr.", "mai", "juin", "juil.", "août", "sept.", "oct.",
+                   "nov.", "déc."]
+
+
+def _html_escape(col):
+    c = F.regexp_replace(col, "&", "&amp;")
+    c = F.regexp_replace(c, "<", "&lt;")
+    c = F.regexp_replace(c, ">", "&gt;")
+    return F.regexp_replace(c, '"', "&quot;")
+
+
+def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review-site HTML pages rendered from ``documents`` (20 reviews per page).
+
+    Blocks without review id (doc % 41 = 0), without rating (doc % 23 = 0),
+    unparseable dates (full month name when doc % 29 = 0, day 29-31 in short
+    months), shop responses (doc % 3 = 0, a second header-only one when doc % 9 = 0).
+    """
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    i = F.col("doc_id")
+    day = (i % 31 + 1).cast("string")
+    mon = F.element_at(F.array(*[F.lit(m) for m in FR_MONTH_ABBREV]), (F.expr("doc_id div 31") % 12 + 1).cast("int"))
+    year = (F.lit(2023) + F.expr("doc_id div 372") % 3).cast("string")
+    date_txt = F.when(i % 29 == 0, F.concat(day, F.lit(" janvier "), year)).otherwise(
+        F.concat_ws(" ", day, mon, year))
+    exp_txt = F.concat_ws(" ", ((i + 3) % 28 + 1).cast("string"), mon, year)
+    block = F.concat(
+        F.lit('<li id="reviews__item__'), i.cast("string"), F.lit('" class="skp-review-item">\n'),
+        F.when(i % 41 == 0, F.lit("")).otherwise(
+            F.concat(F.lit('<div data-global-modal-review-id="rv-'), i.cast("string"), F.lit('"></div>\n'))),
+        F.lit('<p class="skp-review-item__info">\n  Client '), (i % 97).cast("string"), F.lit("\n</p>\n"),
+        F.when(i % 23 == 0, F.lit("")).otherwise(
+            F.concat(F.lit('<span data-rating="'), (i % 5 + 1).cast("string"), F.lit('"></span>\n'))),
+        F.lit('<p class="skp-review-item__date">'), date_txt, F.lit("</p>\n"),
+        F.lit('<p class="skp-review-item__text skp-review-item__text--full">'), _html_escape(F.col("text")),
+        F.lit("</p>\n"),
+        F.lit('<p class="skp-review-item__summary">Expérience du: '), exp_txt, F.lit("</p>\n"),
+        F.when(i % 3 == 0, F.concat(
+            F.lit('<p class="skp-review-moderation__header">Réponse de <b>la boutique</b></p>\n'),
+            F.lit('<div class="skp-review-moderation__text">Merci &amp; à bientôt ('), i.cast("string"),
+            F.lit(")</div>\n"))).otherwise(F.lit("")),
+        F.when(i % 9 == 0, F.lit('<p class="skp-review-moderation__header">Suivi <i>client</i></p>\n'))
+         .otherwise(F.lit("")),
+        F.lit("</li>\n"))
+    # bounded groups: 20 reviews per page
+    pages = (d.select(F.expr("doc_id div 20").alias("page_no"), i, block.alias("b"))
+              .groupBy("page_no")
+              .agg(F.array_sort(F.collect_list(F.struct("doc_id", "b"))).alias("_bs")))
+    return pages.select("page_no", F.concat(
+        F.lit('<html><body><ul class="reviews">\n'),
+        F.array_join(F.transform("_bs", lambda x: x["b"]), ""),
+        F.lit("</ul></body></html>")).alias("html"))
+
+
+def sentiment_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One review-API JSON record per labelled document (recommendation + vote)."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    j = d.join(lab, "doc_id")
+    return j.select(F.to_json(F.struct(
+        F.col("doc_id").cast("string").alias("recommendationid"), F.col("text").alias("review"),
+        (F.col("quality") == 1).alias("voted_up"),
+        (F.lit(1_700_000_000) + F.col("doc_id") * 3600).alias("timestamp_created"))).alias("payload"))
