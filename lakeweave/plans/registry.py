@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["retail", "climate", "combat", "reviews"]
+FAMILIES = ["retail", "climate", "combat", "reviews", "reference"]
 
 
 def _load(attr: str) -> dict:

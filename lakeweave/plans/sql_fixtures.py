@@ -438,3 +438,63 @@ sentiment AS (
     FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 )
 """
+
+REFERENCE = r"""
+items_rows AS (
+    SELECT row_no,
+           CASE WHEN row_no % 50 = 0 THEN ' ' ELSE upper(substr(t, 1, 1)) || lower(substr(t, 2)) END AS favorite_category,
+           chair_item, medium_item, small_item
+    FROM (SELECT p_partkey // 3 AS row_no, arg_min(p_type, p_partkey) AS t,
+                 max(CASE WHEN p_partkey % 3 = 0 THEN cell END) AS chair_item,
+                 max(CASE WHEN p_partkey % 3 = 1 THEN cell END) AS medium_item,
+                 max(CASE WHEN p_partkey % 3 = 2 THEN cell END) AS small_item
+          FROM (SELECT *, CASE WHEN p_size % 10 = 0 THEN '' ELSE INITCAP_NAME END AS cell FROM part)
+          GROUP BY p_partkey // 3)
+),
+themes_t AS (
+    SELECT regexp_replace(coalesce(favorite_category, ''), '^\s+|\s+$', '', 'g') AS theme, row_no FROM items_rows
+),
+items AS (
+    SELECT i.row_no, t.theme AS gift_theme_valeur, regexp_replace(coalesce(u.name, ''), '^\s+|\s+$', '', 'g') AS name,
+           u.type_valeur, u.slot
+    FROM items_rows i JOIN themes_t t ON i.row_no = t.row_no,
+         LATERAL (SELECT unnest([i.chair_item, i.medium_item, i.small_item]) AS name,
+                         unnest(['chair', 'medium', 'small']) AS type_valeur, unnest([0, 1, 2]) AS slot) u
+    WHERE t.theme != '' AND regexp_replace(coalesce(u.name, ''), '^\s+|\s+$', '', 'g') != ''
+),
+gift_themes AS (SELECT theme AS valeur, min(row_no) AS first_row FROM themes_t WHERE theme != '' GROUP BY theme),
+species AS (
+    SELECT INITCAP_NAME || ' #' || CAST(p_partkey AS VARCHAR) AS nom, p_partkey AS num,
+           string_split(p_name, ' ') AS specialties,
+           CASE WHEN p_size % 7 = 0 THEN '' ELSE INITCAP_BRAND END AS ideal_habitat,
+           [CASE p_partkey % 4 WHEN 0 THEN 'Lots of ' || lower(p_type) WHEN 1 THEN INITCAP_TYPE
+                               WHEN 2 THEN lower(p_type) || '  stuff' ELSE 'Unknown thing' END, INITCAP_TYPE] AS favorites
+    FROM part
+)
+"""
+
+
+def _initcap(col):
+    # Spark initcap: first letter of each space-separated word upper, the rest lower
+    return (f"array_to_string(list_transform(string_split(lower({col}), ' '), "
+            f"lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')")
+
+
+REFERENCE = (REFERENCE.replace("INITCAP_NAME", _initcap("p_name"))
+             .replace("INITCAP_BRAND", _initcap("regexp_replace(p_brand, '#', ' ', 'g')"))
+             .replace("INITCAP_TYPE", _initcap("p_type")))
+
+SALES = r"""
+sales_lines AS (
+    SELECT strftime(o.o_orderdate, '%Y-%m-%d') AS event_date, r.r_name AS region, p.p_brand AS product,
+           CAST(l.l_quantity AS INTEGER) AS quantity, p.p_retailprice AS unit_price
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+    JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+    JOIN part p ON l.l_partkey = p.p_partkey
+),
+sales_silver AS (
+    SELECT CAST(event_date AS DATE) AS event_date, region, product, quantity, unit_price,
+           CAST(quantity AS DOUBLE) * unit_price AS revenue
+    FROM sales_lines
+)
+"""

@@ -376,3 +376,65 @@ def sentiment_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("recommendationid"), F.col("text").alias("review"),
         (F.col("quality") == 1).alias("voted_up"),
         (F.lit(1_700_000_000) + F.col("doc_id") * 3600).alias("timestamp_created"))).alias("payload"))
+
+
+# ------------------------------------------------------------------ reference records, sales
+def items_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows shaped like the items CSV (theme + three item names), three parts per row.
+
+    Blank theme when row % 50 = 0 (row skipped), blank item cell when p_size % 10 = 0."""
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    p = p.withColumns({"row_no": F.expr("p_partkey div 3"), "slot": F.col("p_partkey") % 3})
+    cell = F.when(F.col("p_size") % 10 == 0, F.lit("")).otherwise(F.initcap("p_name"))
+    g = p.groupBy("row_no").agg(
+        F.min_by("p_type", "p_partkey").alias("_t"),
+        F.max(F.when(F.col("slot") == 0, cell)).alias("chair_item"),
+        F.max(F.when(F.col("slot") == 1, cell)).alias("medium_item"),
+        F.max(F.when(F.col("slot") == 2, cell)).alias("small_item"))
+    return g.select("row_no",
+                    F.when(F.col("row_no") % 50 == 0, F.lit(" ")).otherwise(F.initcap("_t")).alias("favorite_category"),
+                    "chair_item", "medium_item", "small_item")
+
+
+def species_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested reference records (name, number, specialties[], habitat, favorites[])."""
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    k = F.col("p_partkey")
+    fav = (F.when(k % 4 == 0, F.concat(F.lit("Lots of "), F.lower("p_type")))
+            .when(k % 4 == 1, F.initcap("p_type"))
+            .when(k % 4 == 2, F.concat(F.lower("p_type"), F.lit("  stuff")))
+            .otherwise(F.lit("Unknown thing")))
+    return p.select(
+        F.concat(F.initcap("p_name"), F.lit(" #"), k.cast("string")).alias("nom"), k.alias("num"),
+        F.split("p_name", " ").alias("specialties"),
+        F.when(F.col("p_size") % 7 == 0, F.lit("")).otherwise(F.initcap(F.regexp_replace("p_brand", "#", " ")))
+         .alias("ideal_habitat"),
+        F.array(fav, F.initcap("p_type")).alias("favorites"))
+
+
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regional sales lines (date, region, product, quantity, unit price) from the order lines."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+           .join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+           .join(p, li.l_partkey == p.p_partkey))
+    return j.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("event_date"),
+                    F.col("r_name").alias("region"), F.col("p_brand").alias("product"),
+                    F.col("l_quantity").cast("int").alias("quantity"),
+                    F.col("p_retailprice").alias("unit_price"))
+
+
+def deterministic_sales_sample(spark: SparkSession, rows: int = 500, base_date: str = "2024-01-01") -> DataFrame:
+    """Cyclic smoke-test rows (library helper; not a registered job)."""
+    i = F.col("id")
+    return spark.range(rows).select(
+        F.date_format(F.date_add(F.lit(base_date).cast("date"), (i % 30).cast("int")), "yyyy-MM-dd").alias("event_date"),
+        F.element_at(F.array(*[F.lit(x) for x in ["Nord", "Sud", "Est", "Ouest"]]), (i % 4 + 1).cast("int")).alias("region"),
+        F.element_at(F.array(*[F.lit(x) for x in ["Alpha", "Beta", "Gamma"]]), (i % 3 + 1).cast("int")).alias("product"),
+        (i % 10 + 1).cast("int").alias("quantity"),
+        F.round(F.lit(10.0) + (i % 7) * 2.5, 2).alias("unit_price"))
