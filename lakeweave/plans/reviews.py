@@ -157,6 +157,7 @@ def rule_scorer(batch: pd.DataFrame) -> pd.DataFrame:
     })
     for c in ["sentiment", "confidence", "criticite", "serieux", "sarcasm_detected", "noise_level",
               "is_contructive", "keywords"]:
+        out[c] = out[c].astype(object)
         out.loc[fail, c] = None
     return out
 
