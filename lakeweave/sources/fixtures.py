@@ -118,8 +118,9 @@ def _lit_array(values):
     return F.array(*[F.lit(v) for v in values])
 
 
-def _combat_events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+def _combat_events_base(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    src = events if events is not None else read(spark, sf_dir, "events")
+    ev = src.select("event_id", "ts", "user_id", "event_type", "value", "props")
     ts = F.col("ts").cast("timestamp")
     return ev.select(
         "event_id", "user_id", F.col("event_type").alias("src_type"), "value",
@@ -215,9 +216,11 @@ def combat_abilities_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("ability_"), F.col("ai").cast("string"), F.lit(".jpg")).alias("icon"))
 
 
-def combat_events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per log event (``combatantinfo`` rows added at fight start)."""
-    ev = _combat_events_base(spark, sf_dir)
+def combat_events_bronze(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """One row per log event (``combatantinfo`` rows added at fight start).
+
+    ``events`` lets a streaming micro-batch of raw events be shaped the same way."""
+    ev = _combat_events_base(spark, sf_dir, events)
     eid, k, u, st = F.col("event_id"), F.col("k"), F.col("user_id"), F.col("src_type")
     etype = (F.when(st == "purchase", F.when(eid % 10 == 0, "absorbed").otherwise("damage"))
               .when(st == "click", F.when(eid % 4 == 0, "cast").otherwise("heal"))

@@ -10,7 +10,6 @@ used by jobs and by streaming ``foreachBatch`` alike.
 from __future__ import annotations
 
 import json
-import os
 import time
 import uuid
 
@@ -71,28 +70,62 @@ def conform(df: DataFrame, target_schema) -> DataFrame:
 
 
 # ------------------------------------------------------------------ versioned path tables
+class _HadoopFS:
+    """Small helper over the cluster file system (HDFS/S3/ABFS/local) via the JVM."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        jvm = spark.sparkContext._jvm
+        self._Path = jvm.org.apache.hadoop.fs.Path
+        self.fs = self._Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def read_text(self, path: str) -> str | None:
+        p = self._Path(path)
+        if not self.fs.exists(p):
+            return None
+        length = self.fs.getFileStatus(p).getLen()
+        if length > 1 << 20:
+            raise ValueError("pointer file too large")
+        stream = self.fs.open(p)
+        try:
+            data = bytes(stream.read() & 0xFF for _ in range(length))
+        finally:
+            stream.close()
+        return data.decode("utf-8")
+
+    def write_text_atomic(self, path: str, text: str) -> None:
+        tmp = self._Path(f"{path}.{uuid.uuid4().hex}.tmp")
+        out = self.fs.create(tmp, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        dst = self._Path(path)
+        if self.fs.exists(dst):
+            self.fs.delete(dst, False)
+        if not self.fs.rename(tmp, dst):
+            raise OSError(f"could not publish {path}")
+
+
 class VersionedTable:
     """A path table whose current version is named by ``_current.json``.
 
-    Writes go to ``<root>/v=<ts>-<id>``; the pointer is replaced atomically
-    (write temp + rename) on the shared file system.  Intended for a single
-    writer per table (documented contract)."""
+    Writes go to ``<root>/v=<ts>-<id>``; the pointer file is replaced after
+    the data is complete, through the Hadoop FileSystem API, so the same code
+    runs on HDFS/object stores and locally.  Contract: one writer per table."""
 
     def __init__(self, spark: SparkSession, root: str, partition_by: list | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = partition_by or []
+        self._fs = _HadoopFS(spark, self.root)
 
     @property
     def _pointer(self) -> str:
-        return os.path.join(self.root, "_current.json")
+        return f"{self.root}/_current.json"
 
     def current_path(self) -> str | None:
-        try:
-            with open(self._pointer) as fh:
-                return json.load(fh)["path"]
-        except FileNotFoundError:
-            return None
+        txt = self._fs.read_text(self._pointer)
+        return None if txt is None else json.loads(txt)["path"]
 
     def exists(self) -> bool:
         return self.current_path() is not None
@@ -104,16 +137,12 @@ class VersionedTable:
         return self.spark.read.option("mergeSchema", "true").parquet(path)
 
     def _commit(self, df: DataFrame) -> str:
-        os.makedirs(self.root, exist_ok=True)
-        path = os.path.join(self.root, f"v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}")
+        path = f"{self.root}/v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
         w = df.write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(path)
-        tmp = self._pointer + f".{uuid.uuid4().hex}.tmp"
-        with open(tmp, "w") as fh:
-            json.dump({"path": path, "committed_at": time.time()}, fh)
-        os.replace(tmp, self._pointer)
+        self._fs.write_text_atomic(self._pointer, json.dumps({"path": path, "committed_at": time.time()}))
         return path
 
     def overwrite(self, df: DataFrame, skip_if_empty: bool = False) -> str | None:
@@ -126,8 +155,7 @@ class VersionedTable:
         """Append with additive schema merge."""
         if not self.exists():
             return self._commit(df)
-        cur = self.read()
-        return self._commit(cur.unionByName(df, allowMissingColumns=True))
+        return self._commit(self.read().unionByName(df, allowMissingColumns=True))
 
     def upsert(self, updates: DataFrame, keys: list, **kw) -> str:
         if not self.exists():
@@ -135,6 +163,7 @@ class VersionedTable:
         return self._commit(upsert(self.read(), updates, keys, **kw))
 
     def replace_groups(self, incoming: DataFrame, group_cols: list) -> str | None:
+        """Replace the groups present in ``incoming``; empty input is a no-op."""
         if incoming.isEmpty():
             return self.current_path()
         if not self.exists():
