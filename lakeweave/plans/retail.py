@@ -303,5 +303,6 @@ QUERIES = {
 
 
 def _fact_orders(spark, sf):
-    clean = _clean(spark, sf)
+    # the cleaned lines feed both the scores and the facts: materialise once
+    clean = _clean(spark, sf).checkpoint(eager=True)
     return fact_orders(clean, add_rfm_scores(compute_rfm(clean)))
