@@ -27,3 +27,8 @@ def queries() -> dict:
 
 def oracles() -> dict:
     return _load("ORACLES")
+
+
+def family_queries(family: str) -> dict:
+    mod = importlib.import_module(f"lakeweave.plans.{family}")
+    return dict(getattr(mod, "QUERIES", {}))
