@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["retail", "climate", "combat", "combat_ops", "reviews", "reference", "streaming"]
+FAMILIES = ["retail", "climate", "combat", "combat_ops", "reviews", "reference", "streaming", "quality_jobs"]
 
 
 def _load(attr: str) -> dict:
