@@ -21,6 +21,7 @@ from ..functions.labels import (BUFF_TYPES, CAST_TYPES, consumable_type, content
                                 difficulty_label)
 from ..operators.intervals import uptime_from_transitions
 from ..operators.joins import any_join_by_priority
+from ..session import materialize
 from ..sources import fixtures as fx
 
 EVENT_JSON_SCHEMA = T.StructType([
@@ -63,7 +64,7 @@ class Bronze:
             return fn(self.spark, self.sf_dir)
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in Bronze._landed:
-            Bronze._landed[key] = fn(self.spark, self.sf_dir).checkpoint(eager=True)
+            Bronze._landed[key] = materialize(fn(self.spark, self.sf_dir))
         return Bronze._landed[key]
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import materialize
 from ..operators.quality import (expect_accepted_values, expect_not_empty, expect_not_null, expect_unique,
                                  union_results)
 from . import combat as C
@@ -58,7 +59,7 @@ def run_schema_tests(marts: dict) -> DataFrame:
 
 def schema_tests_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the tests run on built tables, as after a dbt run: each mart is materialised once
-    built = {k: v.checkpoint(eager=True) for k, v in _marts(spark, sf_dir).items()}
+    built = {k: materialize(v) for k, v in _marts(spark, sf_dir).items()}
     return run_schema_tests(built)
 
 

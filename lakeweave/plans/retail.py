@@ -15,6 +15,7 @@ from ..functions.labels import rfm_category, rfm_segment
 from ..operators.dedupe import first_by_key
 from ..operators.ranking import (exact_quantiles, global_row_number, qcut_bin,
                                  qcut_edges, rank_first_bin)
+from ..session import materialize
 from ..sources.fixtures import retail_lines
 
 RAW_COLUMNS = ["invoice", "stock_code", "description", "quantity",
@@ -104,13 +105,13 @@ def quality_report(raw: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ RFM
 def compute_rfm(clean: DataFrame) -> DataFrame:
     """Recency (whole days to max date + 1 day), frequency, monetary."""
-    # scalar subquery: evaluated once, shipped to every task as a literal
-    snapshot = clean.agg(F.max("invoice_date") + F.expr("INTERVAL 1 DAY")).scalar()
     per_customer = clean.groupBy("customer_id").agg(
         F.max("invoice_date").alias("_last"),
         F.count_distinct("invoice").alias("frequency"),
         F.sum("total_price").alias("monetary"),
     )
+    # scalar subquery over the same aggregate: its shuffle is reused, the lines are read once
+    snapshot = per_customer.agg(F.max("_last") + F.expr("INTERVAL 1 DAY")).scalar()
     return per_customer.select("customer_id",
                                days_between_floor(snapshot, "_last").alias("recency"),
                                "frequency", "monetary")
@@ -118,7 +119,7 @@ def compute_rfm(clean: DataFrame) -> DataFrame:
 
 def add_rfm_scores(rfm: DataFrame, q: int = 5) -> DataFrame:
     """Qcut recency (labels reversed), rank-first qcut frequency, qcut monetary."""
-    rfm = rfm.checkpoint(eager=True)   # reused by three rank passes
+    rfm = materialize(rfm)   # reused by three rank passes
     n = rfm.count()
     r_edges = qcut_edges(rfm, "recency", q, ["customer_id"])
     m_edges = qcut_edges(rfm, "monetary", q, ["customer_id"])
@@ -304,5 +305,5 @@ QUERIES = {
 
 def _fact_orders(spark, sf):
     # the cleaned lines feed both the scores and the facts: materialise once
-    clean = _clean(spark, sf).checkpoint(eager=True)
+    clean = materialize(_clean(spark, sf))
     return fact_orders(clean, add_rfm_scores(compute_rfm(clean)))

@@ -77,3 +77,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Reliable checkpoint computed once.
+
+    ``Dataset.checkpoint(eager=True)`` runs the plan for its count and again
+    to write the checkpoint files; persisting first makes the second pass read
+    the cached blocks.  The cache is released once the files are written, and
+    the returned frame's lineage starts at the shared checkpoint folder."""
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist(blocking=False)
