@@ -161,6 +161,15 @@ def rain_year(clim: DataFrame) -> DataFrame:
                  F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude")))
 
 
+def wettest_month(clim: DataFrame) -> DataFrame:
+    """Per station and year, the month with the most rain and the annual total."""
+    m = rain_month(clim)
+    return m.groupBy("station_id", "annee").agg(
+        F.max_by("mois", F.struct("rr_sum_mm", F.col("mois"))).alias("mois_le_plus_pluvieux"),
+        F.max("rr_sum_mm").alias("rr_mois_max"),
+        F.round(F.sum("rr_sum_mm"), 1).alias("rr_total_annuel"))
+
+
 def hot_cold_year(clim: DataFrame) -> DataFrame:
     day = day_vs_normal(clim, keep_coords=True)
     coords = day.groupBy("station_id").agg(F.max("latitude").alias("latitude"),
@@ -386,6 +395,7 @@ QUERIES = {
     "climate_rain_month": lambda s, d: rain_month(_c(s, d)),
     "climate_rain_year": lambda s, d: rain_year(_c(s, d)),
     "climate_hot_cold_year": lambda s, d: hot_cold_year(_c(s, d)),
+    "climate_wettest_month": lambda s, d: wettest_month(_c(s, d)),
     "climate_last_day_kpis": lambda s, d: last_day_kpis(_c(s, d)),
     "climate_calendar": lambda s, d: calendar_grid(_c(s, d)),
     "climate_period_series": lambda s, d: period_series(_c(s, d)),

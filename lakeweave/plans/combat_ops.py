@@ -258,3 +258,66 @@ QUERIES = {
     "corpus_deaths_per_player": _b(corpus_deaths_per_player),
     "corpus_players_per_class_spec": _b(corpus_players_per_class_spec),
 }
+
+
+# ------------------------------------------------------------------ S14: report sources with precedence
+def report_sources(b: C.Bronze) -> DataFrame:
+    """Guild reports win over personal ones: union, one row per code, tag log_source."""
+    r = C.silver_reports(b)
+    personal = r.select("report_code", "title", "owner_name", F.lit("personal").alias("log_source"),
+                        F.lit(2).alias("_prio"))
+    guild = r.filter(F.col("guild_name").isNotNull()).select(
+        "report_code", "title", "owner_name", F.lit("guild").alias("log_source"), F.lit(1).alias("_prio"))
+    u = personal.unionByName(guild)
+    best = u.groupBy("report_code").agg(
+        F.min_by(F.struct("title", "owner_name", "log_source"), F.col("_prio")).alias("_v"))
+    return best.select("report_code", "_v.*")
+
+
+# ------------------------------------------------------------------ P15: filtered marts of the pages
+def combat_filter(df: DataFrame, guild: str | None = None, raid: str | None = None, bosses=None,
+                  difficulties=None, kills_only: bool = False, guild_members_only: bool = False) -> DataFrame:
+    """Optional filters folded into one predicate (NULL-safe, IN lists)."""
+    preds = []
+    if guild:
+        preds.append(F.lower(F.coalesce(F.col("report_guild_name"), F.lit(""))).contains(guild.lower()))
+    if raid:
+        preds.append(F.col("raid_or_dungeon") == raid)
+    if bosses:
+        preds.append(F.col("boss_name").isin(*bosses))
+    if difficulties:
+        preds.append(F.col("difficulty_label").isin(*difficulties))
+    if kills_only:
+        preds.append(F.col("is_kill") == 1)
+    if guild_members_only:
+        preds.append(F.col("is_guild_member") == 1)
+    for p in preds:
+        df = df.filter(p)
+    return df
+
+
+def dps_series(b: C.Bronze) -> DataFrame:
+    """DPS evolution: per night, boss and difficulty, boss fights of guild members."""
+    p = combat_filter(C.gold_fight_player_perf(b), guild_members_only=True).filter(F.col("is_boss") == 1)
+    return p.groupBy("report_date", "boss_name", "difficulty_label").agg(
+        F.count_distinct("report_code", "fight_id").alias("fights"),
+        F.count_distinct("player_name").alias("players"),
+        F.bround(F.avg("dps"), 0).alias("avg_dps"), F.max("dps").alias("max_dps"))
+
+
+def consumable_views(b: C.Bronze) -> DataFrame:
+    """Per player: best uptime per buff type, potions and healthstones used, fights seen."""
+    c = C.gold_consumables(b)
+    return c.groupBy("player_name").agg(
+        F.count_distinct("report_code", "fight_id").alias("fights"),
+        F.max(F.when(F.col("consumable_type") == "flask", F.col("uptime_pct"))).alias("max_flask_uptime_pct"),
+        F.max(F.when(F.col("consumable_type") == "food", F.col("uptime_pct"))).alias("max_food_uptime_pct"),
+        F.sum(F.when(F.col("consumable_type") == "potion", F.col("casts"))).alias("potions"),
+        F.sum(F.when(F.col("consumable_type") == "healthstone", F.col("casts"))).alias("healthstones"))
+
+
+QUERIES.update({
+    "combat_report_sources": _b(report_sources),
+    "dps_series": _b(dps_series),
+    "consumable_views": _b(consumable_views),
+})

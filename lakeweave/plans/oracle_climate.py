@@ -79,6 +79,9 @@ ORACLES = {
              AND d.jour = n1.jour AND n1.annee = d.annee - 1
         LEFT JOIN rec r ON d.station_id = r.station_id AND d.mois = r.mois AND d.jour = r.jour""",
     "climate_normals": f"{W} SELECT * FROM climate_normals",
+    "climate_wettest_month": f"""{W} SELECT station_id, annee,
+        arg_max(mois, (rr_sum_mm, mois)) AS mois_le_plus_pluvieux, max(rr_sum_mm) AS rr_mois_max,
+        round(sum(rr_sum_mm), 1) AS rr_total_annuel FROM climate_rain_month GROUP BY station_id, annee""",
     "climate_day": f"{W} SELECT * FROM climate_day",
     "climate_rain_month": f"{W} SELECT * FROM climate_rain_month",
     "climate_rain_year": f"""{W} SELECT station_id, max(station_nom) AS station_nom, annee,

@@ -125,3 +125,24 @@ ORACLES = {
     "corpus_players_per_class_spec": f"""{_PERF} SELECT class_name, spec_id,
         CAST(count(DISTINCT player_name) AS BIGINT) AS players FROM perf GROUP BY class_name, spec_id""",
 }
+
+_CONS = _GOLD["gold_consumables"]
+
+ORACLES.update({
+    "combat_report_sources": f"""{W}, u AS (
+            SELECT report_code, title, owner_name, 'personal' AS log_source, 2 AS prio FROM s_reports
+            UNION ALL SELECT report_code, title, owner_name, 'guild', 1 FROM s_reports WHERE guild_name IS NOT NULL)
+        SELECT report_code, title, owner_name, log_source FROM (
+            SELECT *, row_number() OVER (PARTITION BY report_code ORDER BY prio) AS rn FROM u) WHERE rn = 1""",
+    "dps_series": f"""{_PERF} SELECT report_date, boss_name, difficulty_label,
+            CAST(count(DISTINCT (report_code, fight_id)) AS BIGINT) AS fights,
+            CAST(count(DISTINCT player_name) AS BIGINT) AS players,
+            round_even(avg(dps), 0) AS avg_dps, max(dps) AS max_dps
+        FROM perf WHERE is_guild_member = 1 AND is_boss = 1 GROUP BY ALL""",
+    "consumable_views": f"""SELECT player_name, CAST(count(DISTINCT (report_code, fight_id)) AS BIGINT) AS fights,
+            max(CASE WHEN consumable_type = 'flask' THEN uptime_pct END) AS max_flask_uptime_pct,
+            max(CASE WHEN consumable_type = 'food' THEN uptime_pct END) AS max_food_uptime_pct,
+            CAST(sum(CASE WHEN consumable_type = 'potion' THEN casts END) AS BIGINT) AS potions,
+            CAST(sum(CASE WHEN consumable_type = 'healthstone' THEN casts END) AS BIGINT) AS healthstones
+        FROM ({_CONS}) c GROUP BY player_name""",
+})

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import days_between_floor, try_double, try_timestamp
 from ..functions.labels import rfm_category, rfm_segment
 from ..operators.dedupe import first_by_key
+from ..operators.quality import profile
 from ..operators.ranking import (exact_quantiles, global_row_number, qcut_bin,
                                  qcut_edges, rank_first_bin)
 from ..session import materialize
@@ -300,6 +301,7 @@ QUERIES = {
     "rfm_sample": lambda s, d: rfm_sample(_scores(s, d)),
     "retail_cleaning_losses": lambda s, d: cleaning_losses(retail_lines(s, d)),
     "retail_quality_report": lambda s, d: quality_report(retail_lines(s, d)),
+    "retail_profile": lambda s, d: profile(retail_lines(s, d)),
 }
 
 

@@ -113,10 +113,16 @@ class VersionedTable:
     the data is complete, through the Hadoop FileSystem API, so the same code
     runs on HDFS/object stores and locally.  Contract: one writer per table."""
 
-    def __init__(self, spark: SparkSession, root: str, partition_by: list | None = None):
+    def __init__(self, spark: SparkSession, root: str, partition_by: list | None = None,
+                 cluster_by: list | None = None, sort_by: list | None = None):
+        """``cluster_by``/``sort_by`` give the stored layout (O6): rows of one key
+        land in one file and are sorted inside it, so Parquet min/max statistics
+        prune row groups for filters on the sort key."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = partition_by or []
+        self.cluster_by = cluster_by or []
+        self.sort_by = sort_by or []
         self._fs = _HadoopFS(spark, self.root)
 
     @property
@@ -138,6 +144,10 @@ class VersionedTable:
 
     def _commit(self, df: DataFrame) -> str:
         path = f"{self.root}/v={int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+        if self.cluster_by:
+            df = df.repartition(*self.cluster_by)
+        if self.sort_by:
+            df = df.sortWithinPartitions(*self.sort_by)
         w = df.write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)

@@ -62,6 +62,28 @@ def ingest_events_to_bronze(spark: SparkSession, source: str, table: VersionedTa
     return table
 
 
+def ingest_and_refresh_silver(spark: SparkSession, source: str, bronze: VersionedTable,
+                              silver: VersionedTable, checkpoint: str) -> VersionedTable:
+    """T4 + T6: after each bronze batch, rebuild silver events only for the
+    reports the batch touched (all their pages, from the bronze table) and
+    swap those report groups in the silver table (delete + insert by report)."""
+    from types import SimpleNamespace
+
+    from ..plans.combat import silver_events
+
+    stream = events_stream(spark, source)
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        new_bronze = fx.combat_events_bronze(spark, None, events=batch)
+        bronze.replace_groups(new_bronze, EVENT_PAGE_KEY)
+        touched = new_bronze.select("report_code").distinct()
+        events = bronze.read().join(touched, "report_code", "left_semi")
+        silver.replace_groups(silver_events(SimpleNamespace(events=events)), ["report_code"])
+
+    run_available_now(stream, sink, checkpoint)
+    return silver
+
+
 def hourly_event_counts(spark: SparkSession, source: str, table: VersionedTable, checkpoint: str,
                         watermark: str = "2 hours") -> VersionedTable:
     """Tumbling one-hour counts per event type with a watermark (our extra);
