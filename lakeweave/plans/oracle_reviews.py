@@ -69,7 +69,7 @@ ORACLES = {
     "reviews_search": f"""{W} SELECT review_uid, rating, review_date_parsed FROM reviews_dated
         WHERE rating IN (4, 5) AND regexp_matches(coalesce(review_text, ''), '(?i)le')
           AND review_date_parsed >= DATE '2023-03-01' AND review_date_parsed < DATE '2024-06-30' + INTERVAL 1 DAY""",
-    "pages_links": """SELECT page_id, href, min(pos) AS first_pos,
+    "pages_links": """SELECT page_id, href, CAST(min(pos) AS INTEGER) AS first_pos,
             lower(regexp_replace(href, '^/+|/+$', '', 'g')) AS slug
         FROM (SELECT page_id, unnest(l) AS href, unnest(generate_series(0, len(l) - 1)) AS pos
               FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS l FROM pages))
