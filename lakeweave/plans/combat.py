@@ -40,7 +40,8 @@ INFO_SCHEMA = T.StructType([
         T.StructField("stacks", T.IntegerType()), T.StructField("name", T.StringType()),
         T.StructField("icon", T.StringType())]))),
 ])
-GUILD_LIKE = "%nightmares asylum%"
+# the home guild of the lake (LIKE pattern on the report guild name)
+GUILD_LIKE = "%les gardiens%"
 
 
 class Bronze:
@@ -126,7 +127,7 @@ def silver_roster(b: Bronze) -> DataFrame:
     r = b.roster
     out = r.select(
         F.col("guild_id").cast("bigint").alias("guild_id"), "guild_name", "server_region", "server_slug",
-        F.col("wcl_character_id").cast("bigint").alias("wcl_character_id"),
+        F.col("log_character_id").cast("bigint").alias("log_character_id"),
         F.col("canonical_id").cast("bigint").alias("canonical_id"),
         F.col("player_guid").cast("bigint").alias("player_guid"), "character_name",
         F.col("class_id").cast("int").alias("class_id"),
@@ -166,7 +167,7 @@ def silver_actors(b: Bronze) -> DataFrame:
     alts = [
         [(F.col("player_guid"), "player_guid")],
         [(F.col("player_guid"), "canonical_id")],
-        [F.col("resolved_actor_type") == "Player", (F.col("actor_id").cast("bigint"), "wcl_character_id")],
+        [F.col("resolved_actor_type") == "Player", (F.col("actor_id").cast("bigint"), "log_character_id")],
         [F.col("resolved_player_name") != "",
          (_norm(F.col("resolved_player_name")), _norm(F.col("character_name"))),
          (_norm(F.col("server")), _norm(F.col("server_slug")))],
@@ -190,7 +191,7 @@ def silver_player_details(b: Bronze) -> DataFrame:
     alts = [
         [(F.col("player_guid"), "player_guid")],
         [(F.col("player_guid"), "canonical_id")],
-        [(F.col("player_actor_id").cast("bigint"), "wcl_character_id")],
+        [(F.col("player_actor_id").cast("bigint"), "log_character_id")],
         [F.col("player_name") != "",
          (_norm(F.col("player_name")), _norm(F.col("character_name"))),
          (_norm(F.col("server")), _norm(F.col("server_slug")))],
@@ -353,7 +354,7 @@ def gold_fight_player_perf(b: Bronze) -> DataFrame:
         "player_name", "player_guid", "class_name", "spec_id", "avg_item_level", "role",
         F.coalesce(F.col("is_guild_member"), F.lit(0)).alias("is_guild_member"), "player_guild_name",
         F.when(F.lower(F.coalesce(F.col("guild_name"), F.lit(""))).like(GUILD_LIKE), 1).otherwise(0)
-         .alias("is_nightmares_asylum_report"),
+         .alias("is_home_guild_report"),
         z("damage_done").alias("damage_done"), F.bround(safe_div(z("damage_done"), dur), 0).alias("dps"),
         z("crit_hits").alias("crit_hits"), z("damage_events").alias("damage_events"),
         z("damage_taken").alias("damage_taken"), F.bround(safe_div(z("damage_taken"), dur), 0).alias("dtps"),
@@ -455,7 +456,7 @@ def gold_raid_nights(b: Bronze) -> DataFrame:
         "report_start_at", F.to_date("report_start_at").alias("report_date"), "report_code",
         F.col("title").alias("report_title"), F.col("guild_name").alias("report_guild_name"),
         F.when(F.lower(F.coalesce(F.col("guild_name"), F.lit(""))).like(GUILD_LIKE), 1).otherwise(0)
-         .alias("is_nightmares_asylum_report"),
+         .alias("is_home_guild_report"),
         F.col("zone_name").alias("raid_or_dungeon"), F.bround(hours, 2).alias("report_hours"),
         "total_pulls", "boss_pulls", "boss_kills", "boss_wipes", "distinct_bosses", "mythic_plus_runs",
         "combat_minutes", "avg_boss_pull_sec", "best_wipe_boss_pct",

@@ -50,9 +50,9 @@ ORACLES = {
         FROM items GROUP BY gift_theme_valeur""",
     "reference_species": f"{W} SELECT nom, num, nullif(ideal_habitat, '') AS ideal_habitat_valeur FROM species",
     "reference_specialties": f"{W} SELECT DISTINCT unnest(specialties) AS valeur FROM species",
-    "reference_species_specialties": f"""{W} SELECT nom AS pokemon_nom, unnest(specialties) AS specialty_valeur,
+    "reference_species_specialties": f"""{W} SELECT nom AS species_nom, unnest(specialties) AS specialty_valeur,
             CAST(unnest(generate_series(1, len(specialties))) AS INTEGER) AS ordre FROM species""",
-    "reference_species_favorites": f"""{W} SELECT nom AS pokemon_nom, unnest(favorites) AS favorite_valeur,
+    "reference_species_favorites": f"""{W} SELECT nom AS species_nom, unnest(favorites) AS favorite_valeur,
             CAST(unnest(generate_series(1, len(favorites))) AS INTEGER) AS ordre FROM species""",
     "reference_favorite_themes": _FAV,
     "sales_silver": f"WITH {SALES} SELECT * FROM sales_silver",

@@ -59,9 +59,9 @@ def species_tables(spark: SparkSession, sf_dir: str) -> dict:
     s = fx.species_records(spark, sf_dir)
     species = s.select("nom", "num", F.nullif(F.col("ideal_habitat"), F.lit("")).alias("ideal_habitat_valeur"))
     spec_links = s.select("nom", F.posexplode("specialties").alias("p", "v")).select(
-        F.col("nom").alias("pokemon_nom"), F.col("v").alias("specialty_valeur"), (F.col("p") + 1).alias("ordre"))
+        F.col("nom").alias("species_nom"), F.col("v").alias("specialty_valeur"), (F.col("p") + 1).alias("ordre"))
     fav_links = s.select("nom", F.posexplode("favorites").alias("p", "v")).select(
-        F.col("nom").alias("pokemon_nom"), F.col("v").alias("favorite_valeur"), (F.col("p") + 1).alias("ordre"))
+        F.col("nom").alias("species_nom"), F.col("v").alias("favorite_valeur"), (F.col("p") + 1).alias("ordre"))
     specialties = spec_links.select(F.col("specialty_valeur").alias("valeur")).distinct()
     habitats = species.select(F.col("ideal_habitat_valeur").alias("valeur")).dropna().distinct()
     favorites = fav_links.select(F.col("favorite_valeur").alias("valeur")).distinct()

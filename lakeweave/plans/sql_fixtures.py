@@ -202,7 +202,7 @@ cb_ev AS (
 b_reports AS (
     SELECT report_code,
            CASE WHEN dom % 3 IN (0, 1) THEN 77 + dom % 3 END AS guild_id,
-           CASE dom % 3 WHEN 0 THEN 'Nightmares Asylum' WHEN 1 THEN 'Les Veilleurs' END AS guild_name,
+           CASE dom % 3 WHEN 0 THEN 'Les Gardiens' WHEN 1 THEN 'Les Veilleurs' END AS guild_name,
            'EU' AS server_region, 'hyjal' AS server_slug,
            'Raid ' || strftime(day, '%Y-%m-%d') AS title,
            CASE WHEN dom % 2 = 0 THEN 'Palais des Nerubiens' ELSE 'Liberation of Undermine' END AS zone_name,
@@ -297,9 +297,9 @@ b_events AS (
     FROM cb_typed WHERE src_type = 'view' AND event_id % 3 = 0
 ),
 b_roster AS (
-    SELECT 77 AS guild_id, 'Nightmares Asylum' AS guild_name, 'EU' AS server_region,
+    SELECT 77 AS guild_id, 'Les Gardiens' AS guild_name, 'EU' AS server_region,
            CASE WHEN user_id % 4 = 0 THEN 'ysondre' ELSE 'hyjal' END AS server_slug,
-           CASE WHEN user_id % 4 IN (0, 2) THEN user_id ELSE 90000 + user_id END AS wcl_character_id,
+           CASE WHEN user_id % 4 IN (0, 2) THEN user_id ELSE 90000 + user_id END AS log_character_id,
            CASE WHEN user_id % 4 = 1 THEN 7000000 + user_id END AS canonical_id,
            CASE WHEN user_id % 4 = 0 THEN 7000000 + user_id ELSE 8000000 + user_id END AS player_guid,
            CASE WHEN user_id % 4 = 3 THEN ' PLAYER_' || CAST(user_id AS VARCHAR) || ' '
@@ -308,7 +308,7 @@ b_roster AS (
            CAST(user_id % 13 + 1 AS INTEGER) AS class_id, 80 AS character_level, user_id % 5 AS guild_rank
     FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0)
     UNION ALL
-    SELECT 77, 'Nightmares Asylum', 'EU', 'ysondre', 95000 + user_id, NULL, 8500000 + user_id,
+    SELECT 77, 'Les Gardiens', 'EU', 'ysondre', 95000 + user_id, NULL, 8500000 + user_id,
            'player_' || CAST(user_id AS VARCHAR), CAST(user_id % 13 + 1 AS INTEGER), 80, 9
     FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 12 = 0)
 ),
@@ -408,7 +408,7 @@ reviews AS (
            CASE WHEN rating_raw != '' THEN CAST(rating_raw AS INTEGER) END AS rating,
            review_date_raw, experience_date_raw,
            {_collapse("coalesce(text0, '')")} AS review_text,
-           'avis-verifies' AS source
+           'review-site' AS source
     FROM rv_first
 ),
 responses AS (

@@ -136,7 +136,7 @@ def _combat_events_base(spark: SparkSession, sf_dir: str, events: DataFrame | No
 def combat_reports_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _combat_events_base(spark, sf_dir)
     r = ev.groupBy("report_code", "day", "dom").agg(F.count(F.lit(1)).alias("_n"))
-    guild = (F.when(F.col("dom") % 3 == 0, F.lit("Nightmares Asylum"))
+    guild = (F.when(F.col("dom") % 3 == 0, F.lit("Les Gardiens"))
               .when(F.col("dom") % 3 == 1, F.lit("Les Veilleurs")))
     start_ms = F.unix_millis(F.col("day").cast("timestamp"))
     return r.select(
@@ -282,10 +282,10 @@ def combat_roster_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.col("user_id")
     cls_id = (u % 13 + 1).cast("int")
     base = ev.select(
-        F.lit(77).cast("bigint").alias("guild_id"), F.lit("Nightmares Asylum").alias("guild_name"),
+        F.lit(77).cast("bigint").alias("guild_id"), F.lit("Les Gardiens").alias("guild_name"),
         F.lit("EU").alias("server_region"),
         F.when(u % 4 == 0, F.lit("ysondre")).otherwise(F.lit("hyjal")).alias("server_slug"),
-        F.when(u % 4 == 0, u).when(u % 4 == 2, u).otherwise(F.lit(90000) + u).alias("wcl_character_id"),
+        F.when(u % 4 == 0, u).when(u % 4 == 2, u).otherwise(F.lit(90000) + u).alias("log_character_id"),
         F.when(u % 4 == 1, F.lit(7_000_000) + u).alias("canonical_id"),
         F.when(u % 4 == 0, F.lit(7_000_000) + u).otherwise(F.lit(8_000_000) + u).alias("player_guid"),
         F.when(u % 4 == 3, F.concat(F.lit(" PLAYER_"), u.cast("string"), F.lit(" ")))
@@ -293,9 +293,9 @@ def combat_roster_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.concat(F.lit("Perso_"), u.cast("string"))).alias("character_name"),
         cls_id.alias("class_id"), F.lit(80).alias("character_level"), (u % 5).alias("guild_rank"))
     alts = ev.filter(u % 12 == 0).select(
-        F.lit(77).cast("bigint").alias("guild_id"), F.lit("Nightmares Asylum").alias("guild_name"),
+        F.lit(77).cast("bigint").alias("guild_id"), F.lit("Les Gardiens").alias("guild_name"),
         F.lit("EU").alias("server_region"), F.lit("ysondre").alias("server_slug"),
-        (F.lit(95000) + u).alias("wcl_character_id"), F.lit(None).cast("bigint").alias("canonical_id"),
+        (F.lit(95000) + u).alias("log_character_id"), F.lit(None).cast("bigint").alias("canonical_id"),
         (F.lit(8_500_000) + u).alias("player_guid"),
         F.concat(F.lit("player_"), u.cast("string")).alias("character_name"),
         cls_id.alias("class_id"), F.lit(80).alias("character_level"), F.lit(9).cast("bigint").alias("guild_rank"))

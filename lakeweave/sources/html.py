@@ -57,7 +57,7 @@ def review_blocks(pages: DataFrame, page_col: str = "page_no", html_col: str = "
                  .filter(F.col("block_pos") > 0))
 
 
-def extract_reviews(pages: DataFrame, source: str = "avis-verifies"):
+def extract_reviews(pages: DataFrame, source: str = "review-site"):
     """Pages -> (reviews, responses). Blocks without id are dropped;
     a review id seen on several pages keeps its first occurrence."""
     b = review_blocks(pages)
