@@ -21,8 +21,6 @@ from ..sources.sinks import VersionedTable
 from ..sources.tables import table_path
 
 EVENT_PAGE_KEY = ["report_code", "page_index"]
-DEDUPE_KEY = ["report_code", "timestamp_ms", "event_type", "source_id", "target_id", "ability_game_id",
-              "_json_hash"]
 
 
 def scratch_root(spark: SparkSession, name: str) -> str:
@@ -44,18 +42,21 @@ def events_stream(spark: SparkSession, source: str) -> DataFrame:
 
 
 def ingest_events_to_bronze(spark: SparkSession, source: str, table: VersionedTable, checkpoint: str,
-                            dedupe_within_watermark: bool = False) -> VersionedTable:
+                            dedupe_within_watermark: bool = False,
+                            watermark: str = "1 hour") -> VersionedTable:
     """T1+T2(+T3): landed raw event files -> bronze events, replaced per (report, page).
 
-    ``dedupe_within_watermark`` drops identical events seen again (page border
-    duplicates); off by default because two identical hits in one ms exist."""
+    ``dedupe_within_watermark`` drops a raw event seen again (same event id,
+    e.g. a page delivered twice or a page-border duplicate) within the
+    watermark, across files and micro-batches; state older than the
+    watermark is discarded, so the dedupe state stays bounded."""
     stream = events_stream(spark, source)
+    if dedupe_within_watermark:
+        stream = (stream.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", watermark)
+                        .dropDuplicatesWithinWatermark(["event_id"]).drop("_ts"))
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         bronze = fx.combat_events_bronze(spark, None, events=batch)
-        if dedupe_within_watermark:
-            bronze = (bronze.withColumn("_json_hash", F.xxhash64("event_json"))
-                            .dropDuplicates(DEDUPE_KEY).drop("_json_hash"))
         table.replace_groups(bronze, EVENT_PAGE_KEY)
 
     run_available_now(stream, sink, checkpoint)
