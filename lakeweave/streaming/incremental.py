@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
-from ..sources.sinks import VersionedTable
+from ..sources.sinks import BucketedTable, VersionedTable
 from ..sources.tables import table_path
 
 EVENT_PAGE_KEY = ["report_code", "page_index"]
@@ -41,7 +41,7 @@ def events_stream(spark: SparkSession, source: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(source)
 
 
-def ingest_events_to_bronze(spark: SparkSession, source: str, table: VersionedTable, checkpoint: str,
+def ingest_events_to_bronze(spark: SparkSession, source: str, table, checkpoint: str,
                             dedupe_within_watermark: bool = False,
                             watermark: str = "1 hour") -> VersionedTable:
     """T1+T2(+T3): landed raw event files -> bronze events, replaced per (report, page).
@@ -63,8 +63,7 @@ def ingest_events_to_bronze(spark: SparkSession, source: str, table: VersionedTa
     return table
 
 
-def ingest_and_refresh_silver(spark: SparkSession, source: str, bronze: VersionedTable,
-                              silver: VersionedTable, checkpoint: str) -> VersionedTable:
+def ingest_and_refresh_silver(spark: SparkSession, source: str, bronze, silver, checkpoint: str):
     """T4 + T6: after each bronze batch, rebuild silver events only for the
     reports the batch touched (all their pages, from the bronze table) and
     swap those report groups in the silver table (delete + insert by report)."""
@@ -78,15 +77,18 @@ def ingest_and_refresh_silver(spark: SparkSession, source: str, bronze: Versione
         new_bronze = fx.combat_events_bronze(spark, None, events=batch)
         bronze.replace_groups(new_bronze, EVENT_PAGE_KEY)
         touched = new_bronze.select("report_code").distinct()
-        events = bronze.read().join(touched, "report_code", "left_semi")
+        if hasattr(bronze, "read_keys"):          # bucketed: scan the touched buckets only
+            events = bronze.read_keys(touched)
+        else:
+            events = bronze.read().join(touched, "report_code", "left_semi")
         silver.replace_groups(silver_events(SimpleNamespace(events=events)), ["report_code"])
 
     run_available_now(stream, sink, checkpoint)
     return silver
 
 
-def hourly_event_counts(spark: SparkSession, source: str, table: VersionedTable, checkpoint: str,
-                        watermark: str = "2 hours") -> VersionedTable:
+def hourly_event_counts(spark: SparkSession, source: str, table, checkpoint: str,
+                        watermark: str = "2 hours"):
     """Tumbling one-hour counts per event type with a watermark (our extra);
     update-mode rows are upserted by (window, type), so the table holds final values."""
     s = events_stream(spark, source).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -124,15 +126,15 @@ def _events_glob(sf_dir: str) -> str:
 
 def stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_root(spark, "stream-bronze")
-    t = ingest_events_to_bronze(spark, _events_glob(sf_dir), VersionedTable(spark, root + "/table"),
-                                root + "/checkpoint")
+    table = BucketedTable(spark, root + "/table", ["report_code"], buckets=16)
+    t = ingest_events_to_bronze(spark, _events_glob(sf_dir), table, root + "/checkpoint")
     return t.read()
 
 
 def stream_hourly_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_root(spark, "stream-hourly")
-    t = hourly_event_counts(spark, _events_glob(sf_dir), VersionedTable(spark, root + "/table"),
-                            root + "/checkpoint")
+    t = hourly_event_counts(spark, _events_glob(sf_dir), BucketedTable(spark, root + "/table", ["window_start"],
+                                                                        buckets=16), root + "/checkpoint")
     return t.read().withColumn("value_sum", F.round("value_sum", 2))
 
 
