@@ -30,6 +30,7 @@ def any_join_by_priority(left: DataFrame, right: DataFrame, left_id: list,
     pick: right columns breaking ties inside one priority (smallest wins).
     """
     cand = []
+    right_cols = list(dict.fromkeys([*take, *pick]))     # ordered, unique
     for prio, alt in enumerate(alternatives, start=1):
         eqs = [item for item in alt if isinstance(item, tuple)]
         filters = [item for item in alt if isinstance(item, Column)]
@@ -37,14 +38,14 @@ def any_join_by_priority(left: DataFrame, right: DataFrame, left_id: list,
         for f in filters:
             lf = lf.filter(f)
         lsel = lf.select(*left_id, *[le.alias(f"_lk{i}") for i, (le, _) in enumerate(eqs)])
-        rsel = right.select(*set(take) | set(pick),
+        rsel = right.select(*right_cols,
                             *[(F.col(re) if isinstance(re, str) else re).alias(f"_rk{i}")
                               for i, (_, re) in enumerate(eqs)])
         cond = reduce(lambda a, b: a & b,
                       [F.col(f"l._lk{i}") == F.col(f"r._rk{i}") for i in range(len(eqs))])
         m = (lsel.alias("l").join(rsel.alias("r"), cond)
                  .select(*[F.col(f"l.{c}").alias(c) for c in left_id],
-                         F.lit(prio).alias("_prio"), *[F.col(f"r.{c}").alias(c) for c in set(take) | set(pick)]))
+                         F.lit(prio).alias("_prio"), *[F.col(f"r.{c}").alias(c) for c in right_cols]))
         cand.append(m)
     allc = reduce(lambda a, b: a.unionByName(b), cand)
     best = (allc.groupBy(*left_id)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.casts import week_ending_monday
 from ..operators.quality import ratio_round
+from ..session import materialize
 from ..sources import fixtures as fx
 from ..sources.html import extract_links, extract_reviews, page_title, py_strip
 from ..sources.sinks import replace_by_group, upsert
@@ -38,7 +39,9 @@ def parse_french_date(col) -> Column:
 
 # ------------------------------------------------------------------ extraction + KPIs
 def reviews_and_responses(spark: SparkSession, sf_dir: str):
-    return extract_reviews(fx.review_pages(spark, sf_dir))
+    """Silver reviews/responses: extracted once (the entity UDF runs once per
+    block) and materialised, as the scraped tables are stored in the lake."""
+    return extract_reviews(fx.review_pages(spark, sf_dir), materialize_first=True)
 
 
 def reviews_with_dates(reviews: DataFrame) -> DataFrame:
@@ -65,10 +68,10 @@ def reviews_weekly(reviews: DataFrame) -> DataFrame:
              .withColumn("semaine", week_ending_monday("review_date_parsed")))
     weekly = dated.groupBy("semaine").agg(F.round(F.avg("rating"), 4).alias("note_moyenne"),
                                           F.count(F.lit(1)).alias("nb_avis"))
-    lo = dated.agg(F.min("semaine")).scalar()
-    hi = dated.agg(F.max("semaine")).scalar()
-    cal = reviews.sparkSession.range(1).select(
-        F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))).alias("semaine"))
+    # calendar from the weekly aggregate itself (one row per week, bounded);
+    # both uses share the aggregate's shuffle
+    cal = (weekly.agg(F.min("semaine").alias("lo"), F.max("semaine").alias("hi"))
+                 .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias("semaine")))
     return cal.join(weekly, "semaine", "left")
 
 
@@ -206,10 +209,11 @@ def annotations(spark: SparkSession, sf_dir: str):
     """Two runs: first the even reviews on the first three models, then everything
     still missing; results upserted by analysis_id, keywords replaced per analysis."""
     src = sentiment_source(spark, sf_dir)
+    # each scoring run calls the model once per unit: its output is materialised
     first_units = pending_units(src.filter(F.col("review_id") % 2 == 0), None, MODELS[:3])
-    a1, k1, e1 = annotation_tables(score_units(first_units), run_ts="2024-06-01 00:00:00")
+    a1, k1, e1 = annotation_tables(materialize(score_units(first_units)), run_ts="2024-06-01 00:00:00")
     second_units = pending_units(src, a1)
-    a2, k2, e2 = annotation_tables(score_units(second_units), run_ts="2024-06-02 00:00:00")
+    a2, k2, e2 = annotation_tables(materialize(score_units(second_units)), run_ts="2024-06-02 00:00:00")
     ann = upsert(a1, a2, ["analysis_id"])
     kw = replace_by_group(k1, k2, ["analysis_id"])
     err = e1.unionByName(e2)

@@ -57,7 +57,7 @@ def review_blocks(pages: DataFrame, page_col: str = "page_no", html_col: str = "
                  .filter(F.col("block_pos") > 0))
 
 
-def extract_reviews(pages: DataFrame, source: str = "review-site"):
+def extract_reviews(pages: DataFrame, source: str = "review-site", materialize_first: bool = False):
     """Pages -> (reviews, responses). Blocks without id are dropped;
     a review id seen on several pages keeps its first occurrence."""
     b = review_blocks(pages)
@@ -77,6 +77,9 @@ def extract_reviews(pages: DataFrame, source: str = "review-site"):
     cols = ["author", "rating", "review_date_raw", "experience_date_raw", "review_text", "_h", "_t"]
     first = (rv.groupBy("review_uid").agg(F.min_by(F.struct(*cols), order).alias("_v"))
                .select("review_uid", "_v.*"))
+    if materialize_first:      # reviews and responses both derive from it: extract once
+        from ..session import materialize
+        first = materialize(first)
     reviews = first.select("review_uid", "author", "rating", "review_date_raw", "experience_date_raw",
                            "review_text", F.lit(source).alias("source"))
     resp = first.select("review_uid", F.posexplode(F.arrays_zip(F.col("_h").alias("h"), F.col("_t").alias("t")))
