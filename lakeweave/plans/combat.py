@@ -294,10 +294,13 @@ def gold_fight_player_perf(b: Bronze) -> DataFrame:
     sides = ev.select(
         "report_code", "fight_id", "event_type", "amount", "absorbed", "overheal", "hit_type",
         "consumable_type",
-        F.explode(F.array(F.struct(F.lit("s").alias("side"), F.col("source_id").alias("actor_id")),
-                          F.struct(F.lit("t").alias("side"), F.col("target_id").alias("actor_id")))).alias("_x"))
+        # the target side only matters for damage taken and deaths
+        F.explode(F.array(
+            F.struct(F.lit("s").alias("side"), F.col("source_id").alias("actor_id")),
+            F.when(F.col("event_type").isin("damage", "death"),
+                   F.struct(F.lit("t").alias("side"), F.col("target_id").alias("actor_id"))))).alias("_x"))
     sides = sides.select("*", F.col("_x.side").alias("side"), F.col("_x.actor_id").alias("actor_id")).drop("_x")
-    sides = sides.filter(F.col("actor_id").isNotNull())
+    sides = sides.filter(F.col("actor_id").isNotNull())    # no side, or no actor on that side
     ev_rows = sides.join(players, ["report_code", "actor_id"]).withColumns(
         {"spec_id": F.lit(None).cast("int"), "avg_item_level": F.lit(None).cast("double")})
     pc = silver_pull_combatants(b).withColumnRenamed("player_actor_id", "actor_id")
