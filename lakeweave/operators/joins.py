@@ -2,10 +2,10 @@
 
 ``any_join_by_priority`` (J7): a LEFT join whose condition is an OR of several
 key equalities, keeping at most one right row per left row.  Written as an OR
-it becomes a nested-loop join; here every alternative is its own equi-join
-(hash/sort-merge, broadcast when AQE sees a small side), the candidates are
-tagged with the alternative's priority and reduced per left row with
-``min_by`` (a partial aggregate), then joined back on the left row id.
+it becomes a nested-loop join; here each side is exploded into one row per
+alternative key (tagged with its priority), the two are equi-joined once on
+(priority, key), the candidates are reduced per left row with ``min_by`` (a
+partial aggregate), then joined back on the left row id.
 
 ``label_match`` (J13): candidate keys derived from a label in priority order,
 exploded, equi-joined to the dictionary, best candidate per label kept.
@@ -19,36 +19,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _key(parts: list) -> Column:
+    """One string key per alternative; NULL if any component is NULL (no match)."""
+    strs = [p.cast("string") for p in parts]
+    if len(strs) == 1:
+        return strs[0]
+    out = [strs[0]]
+    for p in strs[1:]:
+        out += [F.lit("\u0001"), p]
+    return F.concat(*out)
+
+
 def any_join_by_priority(left: DataFrame, right: DataFrame, left_id: list,
                          alternatives: list, pick: list, take: list,
                          prefix: str = "") -> DataFrame:
     """LEFT join ``right`` columns ``take`` onto ``left`` through the first matching alternative.
 
-    alternatives: list of lists of (left Column, right Column) equalities, in
-    priority order (first = strongest); an extra ``Column`` item is used as a
-    filter on the left side for that alternative.
+    alternatives: list of lists of (left Column, right Column|name) equalities,
+    in priority order (first = strongest); an extra ``Column`` item is a
+    condition on the left row for that alternative.
     pick: right columns breaking ties inside one priority (smallest wins).
+
+    Plan: both sides are exploded into (alternative, key) rows and joined once
+    on that pair (one equi-join instead of one join per alternative); the best
+    candidate per left row is a ``min_by`` partial aggregate.
     """
-    cand = []
     right_cols = list(dict.fromkeys([*take, *pick]))     # ordered, unique
+    lkeys, rkeys = [], []
     for prio, alt in enumerate(alternatives, start=1):
         eqs = [item for item in alt if isinstance(item, tuple)]
-        filters = [item for item in alt if isinstance(item, Column)]
-        lf = left
-        for f in filters:
-            lf = lf.filter(f)
-        lsel = lf.select(*left_id, *[le.alias(f"_lk{i}") for i, (le, _) in enumerate(eqs)])
-        rsel = right.select(*right_cols,
-                            *[(F.col(re) if isinstance(re, str) else re).alias(f"_rk{i}")
-                              for i, (_, re) in enumerate(eqs)])
-        cond = reduce(lambda a, b: a & b,
-                      [F.col(f"l._lk{i}") == F.col(f"r._rk{i}") for i in range(len(eqs))])
-        m = (lsel.alias("l").join(rsel.alias("r"), cond)
-                 .select(*[F.col(f"l.{c}").alias(c) for c in left_id],
-                         F.lit(prio).alias("_prio"), *[F.col(f"r.{c}").alias(c) for c in right_cols]))
-        cand.append(m)
-    allc = reduce(lambda a, b: a.unionByName(b), cand)
-    best = (allc.groupBy(*left_id)
+        conds = [item for item in alt if isinstance(item, Column)]
+        lk = _key([le for le, _ in eqs])
+        for c in conds:
+            lk = F.when(c, lk)
+        rk = _key([F.col(re) if isinstance(re, str) else re for _, re in eqs])
+        lkeys.append(F.struct(F.lit(prio).alias("_prio"), lk.alias("_k")))
+        rkeys.append(F.struct(F.lit(prio).alias("_prio"), rk.alias("_k")))
+    lx = (left.select(*left_id, F.explode(F.array(*lkeys)).alias("_x"))
+              .select(*left_id, "_x._prio", "_x._k").filter(F.col("_k").isNotNull()))
+    rx = (right.select(*right_cols, F.explode(F.array(*rkeys)).alias("_x"))
+               .select(*right_cols, "_x._prio", "_x._k").filter(F.col("_k").isNotNull()))
+    cand = lx.join(rx, ["_prio", "_k"])
+    best = (cand.groupBy(*left_id)
                 .agg(F.min_by(F.struct(*take), F.struct("_prio", *pick)).alias("_best"))
                 .select(*left_id, *[F.col("_best")[c].alias(prefix + c) for c in take]))
     return left.join(best, left_id, "left")

@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # client-side call-site capture on every DataFrame call: costs seconds of
+    # plan-building time on large plans, no effect on execution
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -46,6 +49,10 @@ def get_spark(master: str | None = None, app: str = "lakeweave",
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings a job relies on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
+    except Exception:  # noqa: BLE001 - optional client setting
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
