@@ -311,35 +311,42 @@ def _num(c):
 
 
 def qc_files(raw: DataFrame) -> DataFrame:
-    """Per delivery file: null shares, zeros, sentinels, ranges, duplicates, alerts."""
+    """Per delivery file: null shares, zeros, sentinels, ranges, duplicates, alerts.
+
+    One scan: counts at the (file, station, day) grain, rolled up to stations
+    and files on the pre-aggregated rows (partial aggregation at each level)."""
     tn, tx = _num("TN"), _num("TX")
     month = F.month(F.try_to_timestamp(F.col("AAAAMMJJ"), F.lit("yyyyMMdd")))
-    per_station = (raw.groupBy("_file", "NUM_POSTE")
-                      .agg(F.max(tx.isNotNull().cast("int")).alias("_has_tx"))
-                      .groupBy("_file")
-                      .agg(F.count(F.lit(1)).alias("stations"),
-                           F.sum("_has_tx").alias("stations_avec_tx")))
-    keys = (raw.groupBy("_file", "NUM_POSTE", "AAAAMMJJ").agg(F.count(F.lit(1)).alias("_n"))
-               .groupBy("_file").agg(F.sum(F.col("_n") - 1).alias("doublons_station_date")))
-    main = raw.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("lignes"),
-        ratio_round(F.count_if(tn.isNull()) * 100, F.count(F.lit(1)), 1).alias("pct_tn_null"),
-        ratio_round(F.count_if(tx.isNull()) * 100, F.count(F.lit(1)), 1).alias("pct_tx_null"),
-        F.count_if(tn == 0).alias("tn_zero"), F.count_if(tx == 0).alias("tx_zero"),
-        F.count_if(tn.isin(*SENTINELS)).alias("tn_sentinelles"),
-        F.count_if(tx.isin(*SENTINELS)).alias("tx_sentinelles"),
-        F.min(tn).alias("tn_min"), F.max(tn).alias("tn_max"),
-        F.min(tx).alias("tx_min"), F.max(tx).alias("tx_max"),
-        F.count_if((tn == 0) & month.isin(6, 7, 8)).alias("tn_zero_ete"),
-        F.count_if(tn.isNotNull() & tx.isNotNull() & (tx < tn)).alias("tx_lt_tn"),
-        F.count_if((tn < RANGE_TN[0]) | (tn > RANGE_TN[1])).alias("tn_hors_plage"),
-        F.count_if((tx < RANGE_TX[0]) | (tx > RANGE_TX[1])).alias("tx_hors_plage"),
-    )
-    out = main.join(per_station, "_file").join(keys, "_file")
-    out = out.withColumns({
-        "stations_sans_tx": F.col("stations") - F.col("stations_avec_tx"),
-        "pct_stations_thermo": ratio_round(F.col("stations_avec_tx") * 100, F.col("stations"), 1),
-    })
+    cnt = lambda c: F.count_if(c)
+    key = raw.groupBy("_file", "NUM_POSTE", "AAAAMMJJ").agg(
+        F.count(F.lit(1)).alias("n"), cnt(tn.isNull()).alias("tn_null"), cnt(tx.isNull()).alias("tx_null"),
+        cnt(tn == 0).alias("tn_zero"), cnt(tx == 0).alias("tx_zero"),
+        cnt(tn.isin(*SENTINELS)).alias("tn_sentinelles"), cnt(tx.isin(*SENTINELS)).alias("tx_sentinelles"),
+        F.min(tn).alias("tn_min"), F.max(tn).alias("tn_max"), F.min(tx).alias("tx_min"), F.max(tx).alias("tx_max"),
+        cnt((tn == 0) & month.isin(6, 7, 8)).alias("tn_zero_ete"),
+        cnt(tn.isNotNull() & tx.isNotNull() & (tx < tn)).alias("tx_lt_tn"),
+        cnt((tn < RANGE_TN[0]) | (tn > RANGE_TN[1])).alias("tn_hors_plage"),
+        cnt((tx < RANGE_TX[0]) | (tx > RANGE_TX[1])).alias("tx_hors_plage"),
+        F.max(tx.isNotNull().cast("int")).alias("has_tx"))
+    sums = ["n", "tn_null", "tx_null", "tn_zero", "tx_zero", "tn_sentinelles", "tx_sentinelles", "tn_zero_ete",
+            "tx_lt_tn", "tn_hors_plage", "tx_hors_plage"]
+    extremes = [F.min("tn_min").alias("tn_min"), F.max("tn_max").alias("tn_max"),
+                F.min("tx_min").alias("tx_min"), F.max("tx_max").alias("tx_max")]
+    station = key.groupBy("_file", "NUM_POSTE").agg(
+        *[F.sum(c).alias(c) for c in sums], *extremes, F.max("has_tx").alias("has_tx"),
+        F.sum(F.col("n") - 1).alias("dups"))
+    f = station.groupBy("_file").agg(
+        *[F.sum(c).alias(c) for c in sums], *extremes, F.count(F.lit(1)).alias("stations"),
+        F.sum("has_tx").alias("stations_avec_tx"), F.sum("dups").alias("doublons_station_date"))
+    out = f.select(
+        F.col("_file").alias("fichier"), F.col("n").alias("lignes"),
+        ratio_round(F.col("tn_null") * 100, F.col("n"), 1).alias("pct_tn_null"),
+        ratio_round(F.col("tx_null") * 100, F.col("n"), 1).alias("pct_tx_null"),
+        "tn_zero", "tx_zero", "tn_sentinelles", "tx_sentinelles", "tn_min", "tn_max", "tx_min", "tx_max",
+        "tn_zero_ete", "tx_lt_tn", "tn_hors_plage", "tx_hors_plage", "stations", "stations_avec_tx",
+        "doublons_station_date",
+        (F.col("stations") - F.col("stations_avec_tx")).alias("stations_sans_tx"),
+        ratio_round(F.col("stations_avec_tx") * 100, F.col("stations"), 1).alias("pct_stations_thermo"))
     alerts = F.concat_ws(" | ",
         F.when(F.col("tn_hors_plage") > 0, F.format_string("%d TN hors plage", F.col("tn_hors_plage"))),
         F.when((F.col("tn_sentinelles") + F.col("tx_sentinelles")) > 0,
@@ -347,7 +354,7 @@ def qc_files(raw: DataFrame) -> DataFrame:
         F.when(F.col("tn_zero_ete") > 50, F.format_string("%d TN=0 en ete", F.col("tn_zero_ete"))),
         F.when(F.col("tx_lt_tn") > 0, F.format_string("%d lignes avec TX < TN", F.col("tx_lt_tn"))),
         F.when(F.col("pct_tn_null") > 60, F.lit("TN vides > 60 %")))
-    return out.withColumn("alertes", alerts).withColumnRenamed("_file", "fichier")
+    return out.withColumn("alertes", alerts)
 
 
 def qc_fusion(raw: DataFrame) -> DataFrame:
