@@ -59,3 +59,24 @@ def test_build_runner_orders_layers_and_replays(spark, scratch):
     assert first.keys() == again.keys()
     t = VersionedTable(spark, scratch + "/gold/gold_raid_nights")
     assert t.read().count() > 0
+
+
+def test_required_columns_and_renames(spark):
+    """Workbook headers renamed, missing expected columns listed in the error."""
+    import pytest
+
+    df = spark.createDataFrame([("1", "A", "x", "2", "2024-01-01", "1.5", "7", "FR")],
+                               "Invoice string, StockCode string, Description string, Quantity string, "
+                               "InvoiceDate string, Price string, `Customer ID` string, Country string")
+    out = retail.normalize_raw(df)
+    assert out.columns == retail.RAW_COLUMNS
+    with pytest.raises(KeyError, match="customer_id"):
+        retail.normalize_raw(df.drop("Customer ID"))
+
+
+def test_reference_refresh_items_only(spark, scratch):
+    """Refresh only the item tables of the reference family, in layer order."""
+    names = ["reference_items", "reference_gift_themes", "reference_items_by_category"]
+    written = build(spark, SF_SMALL, scratch, names=names)
+    assert set(written) == set(names)
+    assert not os.path.exists(scratch + "/silver/reference_species")
