@@ -51,14 +51,16 @@ def _lerp(a: float, b: float, t: float) -> float:
     return b - diff * (1 - t) if t >= 0.5 else a + diff * t
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, tiebreak: list) -> list:
+def exact_quantiles(df: DataFrame, col: str, probs, tiebreak: list, n: int | None = None) -> list:
     """Exact linear-interpolation quantiles (pandas/numpy ``linear``).
 
     Nulls are ignored.  Only the values at the <= 2 * len(probs) needed ranks
-    reach the driver.
+    reach the driver.  ``n`` (the non-null count) may be passed when the
+    caller already knows it, saving a pass.
     """
     base = df.select(col, *tiebreak).filter(F.col(col).isNotNull())
-    n = base.count()
+    if n is None:
+        n = base.count()
     if n == 0:
         return [None] * len(probs)
     wanted = {}
@@ -80,10 +82,10 @@ def exact_quantiles(df: DataFrame, col: str, probs, tiebreak: list) -> list:
 
 
 def qcut_edges(df: DataFrame, col: str, q: int, tiebreak: list,
-               duplicates: str = "raise") -> list:
+               duplicates: str = "raise", n: int | None = None) -> list:
     """Edges of ``pandas.qcut(col, q)``; repeated edges raise like pandas."""
     probs = np.linspace(0, 1, q + 1)
-    edges = exact_quantiles(df, col, probs, tiebreak)
+    edges = exact_quantiles(df, col, probs, tiebreak, n=n)
     if any(e is None for e in edges):
         raise ValueError(f"qcut on empty column {col!r}")
     uniq = sorted(set(edges))

@@ -122,8 +122,9 @@ def add_rfm_scores(rfm: DataFrame, q: int = 5) -> DataFrame:
     """Qcut recency (labels reversed), rank-first qcut frequency, qcut monetary."""
     rfm = materialize(rfm)   # reused by three rank passes
     n = rfm.count()
-    r_edges = qcut_edges(rfm, "recency", q, ["customer_id"])
-    m_edges = qcut_edges(rfm, "monetary", q, ["customer_id"])
+    # recency and monetary are never NULL (built from cleaned, non-null lines): share the count
+    r_edges = qcut_edges(rfm, "recency", q, ["customer_id"], n=n)
+    m_edges = qcut_edges(rfm, "monetary", q, ["customer_id"], n=n)
     ranked = global_row_number(rfm, ["frequency", "customer_id"], name="_frank")
     scored = ranked.select(
         "customer_id", "recency", "frequency", "monetary",
