@@ -42,9 +42,9 @@ ORACLES = {
         round(c.quantity * c.price, 2) AS total_line,
         s.r_score, s.f_score, s.m_score, s.rfm_score, s.rfm_total, s.segment, s.categorisation
         FROM clean_orders c LEFT JOIN rfm_scores s ON c.customer_id = s.customer_id""",
-    "rfm_kpis": f"""{W} SELECT CAST(count(*) AS BIGINT) AS nb_clients, round(sum(monetary), 2) AS total_ca,
+    "rfm_kpis": f"""{W} SELECT CAST(count(*) AS BIGINT) AS nb_clients, (sum(CAST(round(monetary * 100) AS BIGINT)) / 100.0) AS total_ca,
         round(avg(recency), 4) AS avg_recency, round(avg(frequency), 4) AS avg_frequency,
-        round(avg(monetary), 2) AS avg_monetary, round(quantile_cont(monetary, 0.5), 2) AS median_monetary,
+        ((sum(CAST(round(monetary * 100) AS BIGINT)) * 200 + count(monetary) * 100) // (2 * count(monetary) * 100) / 100.0) AS avg_monetary, ((CAST(round(quantile_cont(monetary, 0.5) * 200) AS BIGINT) * 200 + 200) // 400 / 100.0) AS median_monetary,
         CAST(count(DISTINCT segment) AS BIGINT) AS nb_segments,
         CAST(count(*) FILTER (WHERE segment = 'Champion') AS BIGINT) AS champions,
         round(count(*) FILTER (WHERE segment = 'Champion') * 100.0::DOUBLE / count(*), 4) AS pct_champions,
@@ -52,17 +52,17 @@ ORACLES = {
         FROM rfm_scores""",
     "rfm_segment_stats": f"""{W} SELECT segment, CAST(count(*) AS BIGINT) AS nb_clients,
         round(avg(recency), 4) AS recency_moy, round(avg(frequency), 4) AS freq_moy,
-        round(avg(monetary), 2) AS monetary_moy, round(sum(monetary), 2) AS ca,
+        ((sum(CAST(round(monetary * 100) AS BIGINT)) * 200 + count(monetary) * 100) // (2 * count(monetary) * 100) / 100.0) AS monetary_moy, (sum(CAST(round(monetary * 100) AS BIGINT)) / 100.0) AS ca,
         round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM rfm_scores), 4) AS pct_clients,
         round(sum(monetary) * 100.0::DOUBLE / (SELECT sum(monetary) FROM rfm_scores), 4) AS pct_ca
         FROM rfm_scores GROUP BY segment""",
     "rfm_category_stats": f"""{W} SELECT categorisation, CAST(count(*) AS BIGINT) AS nb_clients,
-        round(sum(monetary), 2) AS ca,
+        (sum(CAST(round(monetary * 100) AS BIGINT)) / 100.0) AS ca,
         round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM rfm_scores), 4) AS pct_clients,
         round(sum(monetary) * 100.0::DOUBLE / (SELECT sum(monetary) FROM rfm_scores), 4) AS pct_ca
         FROM rfm_scores GROUP BY categorisation""",
     "rfm_rf_grid": f"""{W} SELECT r_score, f_score, CAST(count(*) AS BIGINT) AS nb,
-        round(avg(monetary), 2) AS ca_moy FROM rfm_scores GROUP BY r_score, f_score""",
+        ((sum(CAST(round(monetary * 100) AS BIGINT)) * 200 + count(monetary) * 100) // (2 * count(monetary) * 100) / 100.0) AS ca_moy FROM rfm_scores GROUP BY r_score, f_score""",
     "rfm_histograms": f"{W} {_hist('recency', 40)} UNION ALL {_hist('frequency', 30)} UNION ALL {_hist('monetary', 35)}",
     "rfm_top_customers": f"""{W} SELECT customer_id, segment, categorisation, recency, frequency,
         round(monetary, 2) AS monetary, rfm_score, rfm_total FROM rfm_scores

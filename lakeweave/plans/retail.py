@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import days_between_floor, try_double, try_timestamp
 from ..functions.labels import rfm_category, rfm_segment
 from ..operators.dedupe import first_by_key
-from ..operators.quality import profile
+from ..operators.quality import profile, ratio_round
 from ..operators.ranking import (exact_quantiles, global_row_number, qcut_bin,
                                  qcut_edges, rank_first_bin)
 from ..session import materialize
@@ -194,15 +194,31 @@ def fact_orders(clean: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ dashboard
+def _cents(col: str):
+    return F.round(F.col(col) * 100).cast("bigint")
+
+
+def money_sum(col: str):
+    """Sum of money on exact cents (engine-independent, no float-order drift)."""
+    return F.sum(_cents(col)) / F.lit(100.0)
+
+
+def money_avg(col: str):
+    """Mean of money, exact half-up to the cent (sum of cents / count)."""
+    return ratio_round(F.sum(_cents(col)), F.count(F.col(col)) * 100, 2)
+
+
 def rfm_kpis(scores: DataFrame) -> DataFrame:
     median_m = exact_quantiles(scores, "monetary", [0.5], ["customer_id"])[0]
     return scores.agg(
         F.count(F.lit(1)).alias("nb_clients"),
-        F.round(F.sum("monetary"), 2).alias("total_ca"),
+        money_sum("monetary").alias("total_ca"),
         F.round(F.avg("recency"), 4).alias("avg_recency"),
         F.round(F.avg("frequency"), 4).alias("avg_frequency"),
-        F.round(F.avg("monetary"), 2).alias("avg_monetary"),
-        F.round(F.lit(median_m).cast("double"), 2).alias("median_monetary"),
+        money_avg("monetary").alias("avg_monetary"),
+        # the median of cent values is a multiple of half a cent: round it exactly
+        ratio_round(F.round(F.lit(median_m).cast("double") * 200).cast("bigint"), F.lit(200), 2)
+         .alias("median_monetary"),
         F.count_distinct("segment").alias("nb_segments"),
         F.count_if(F.col("segment") == "Champion").alias("champions"),
         F.round(F.count_if(F.col("segment") == "Champion") * 100.0 / F.count(F.lit(1)), 4)
@@ -225,21 +241,22 @@ def rfm_segment_stats(scores: DataFrame) -> DataFrame:
         F.sum("monetary").alias("_ca"),
         F.round(F.avg("recency"), 4).alias("recency_moy"),
         F.round(F.avg("frequency"), 4).alias("freq_moy"),
-        F.round(F.avg("monetary"), 2).alias("monetary_moy"),
-    ).withColumn("ca", F.round("_ca", 2))
+        money_avg("monetary").alias("monetary_moy"),
+        money_sum("monetary").alias("ca"),
+    )
     return _with_share(seg, scores)
 
 
 def rfm_category_stats(scores: DataFrame) -> DataFrame:
     cat = scores.groupBy("categorisation").agg(
         F.count(F.lit(1)).alias("nb_clients"), F.sum("monetary").alias("_ca"),
-    ).withColumn("ca", F.round("_ca", 2))
+        money_sum("monetary").alias("ca"))
     return _with_share(cat, scores)
 
 
 def rfm_rf_grid(scores: DataFrame) -> DataFrame:
     return scores.groupBy("r_score", "f_score").agg(
-        F.count(F.lit(1)).alias("nb"), F.round(F.avg("monetary"), 2).alias("ca_moy"))
+        F.count(F.lit(1)).alias("nb"), money_avg("monetary").alias("ca_moy"))
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
