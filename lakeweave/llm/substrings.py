@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,7 +164,7 @@ def _describe(window: int, rounds: int):
 
 
 def _emit(window: int, rounds: int):
-    """(document, window hash, place) of the windows whose anchor stands in several documents."""
+    """(document, window hash, places) of the windows whose anchor stands in several documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,10 +177,14 @@ def _emit(window: int, rounds: int):
                     mine = signed(anchor[a:b])
                     found = np.flatnonzero(names[np.minimum(np.searchsorted(names, mine), len(names) - 1)] == mine)
                     if len(found):
-                        size = len(found)
+                        order = found[np.argsort(own[a:b][found], kind="stable")]
+                        h = own[a:b][order]
+                        head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+                        size = len(head)
                         yield pa.RecordBatch.from_arrays([
                             pa.array(np.full(size, part["doc_id"][d].as_py()), pa.int64()), pa.array(np.full(size, part["key"][d].as_py()), pa.int64()),
-                            pa.array(mine[found]), pa.array(signed(own[a:b])[found]), pa.array((at[a:b][found] - words.first[d]).astype(np.int32))],
+                            pa.array(mine[order[head]]), pa.array(signed(h[head])),
+                            pa.ListArray.from_arrays(np.append(head, len(order)).astype(np.int32), (at[a:b][order] - words.first[d]).astype(np.int32))],
                             names=["doc_id", "key", "anchor", "hash", "at"])
     return run
 
@@ -235,9 +238,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     emit = _emit(window, rounds)
     keyed = source.withColumn("key", key)
     windows = keyed.join(sized(candidates, 64, F.size("shared") * 8), ["doc_id", "key"]).mapInArrow(
-        lambda batches: _merge_batches(emit(batches)), "doc_id long, key long, anchor long, hash long, at int")
+        lambda batches: _merge_batches(emit(batches)), "doc_id long, key long, anchor long, hash long, at array<int>")
     least = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least <> most").select("anchor", "hash", "least")
-    flags = stored(windows.join(least, ["anchor", "hash"]).where("least < doc_id").groupBy("doc_id", "key").agg(F.collect_list("at").alias("places")), "places")
+    flags = stored(windows.join(least, ["anchor", "hash"]).where("least < doc_id").groupBy("doc_id", "key").agg(F.flatten(F.collect_list("at")).alias("places")), "places")
     cut = stored(keyed.join(sized(flags, 64, F.size("places") * 4), ["doc_id", "key"]).mapInArrow(_cut(window), "doc_id long, key long, removed long, kept string"), "cut")
     cut = cut.groupBy("doc_id", "key").agg(F.first("removed").alias("removed"), F.first("kept").alias("kept"))
 
