@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from . import decontaminate, ngram_join, substrings
+from . import bpe, decontaminate, licenses, ngram_join, perplexity, style_tree, substrings, warc
 
 QUERIES = {
     "op2_ngram_join": ngram_join.op2_ngram_join,
+    "op3_perplexity_rules": perplexity.op3_perplexity_rules,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_substring_dedup": substrings.op5_substring_dedup,
+    "op7_style_tree": style_tree.op7_style_tree,
+    "op8_byte_bpe": bpe.op8_byte_bpe,
+    "op9_warc_bundles": warc.op9_warc_bundles,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 
 ORACLES = {
     "op2_ngram_join": ngram_join.ORACLE,
     "op5_substring_dedup": substrings.ORACLE,
+    "op9_warc_bundles": warc.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
 }

@@ -119,10 +119,7 @@ class Words:
     def hash(self) -> np.ndarray:
         """64-bit hash of each word's bytes."""
         if self._hash is None:
-            up, down = _BYTE_POWERS.get(len(self.raw) + 1)
-            total = np.zeros(len(self.raw) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE_VALUE[self.raw] * up[:len(self.raw)], out=total[1:])
-            self._hash = mix((total[self.end] - total[self.start]) * down[self.start])
+            self._hash = byte_hashes(self.raw, self.start, self.end)
         return self._hash
 
     def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +130,14 @@ class Words:
         return at, h[at]
 
 
+def byte_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges [start, end)."""
+    up, down = _BYTE_POWERS.get(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_VALUE[raw] * up[:len(raw)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of words[i:i + size] for every i with so many words after it."""
     n = len(words)
