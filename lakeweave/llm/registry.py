@@ -1,18 +1,23 @@
-"""Name -> query and name -> oracle SQL of the operators."""
+"""Name -> query and name -> oracle SQL of the operators and the pipeline."""
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, ngram_join, perplexity, style_tree, substrings, warc
+import corpus_pipeline
+
+from . import bpe, decontaminate, licenses, ngram_join, perplexity, pii, quality_net, style_tree, substrings, warc
 
 QUERIES = {
+    "op1_quality_net": quality_net.op1_quality_net,
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_perplexity_rules": perplexity.op3_perplexity_rules,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_substring_dedup": substrings.op5_substring_dedup,
+    "op6_pii_tagger": pii.op6_pii_tagger,
     "op7_style_tree": style_tree.op7_style_tree,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_warc_bundles": warc.op9_warc_bundles,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
@@ -21,3 +26,5 @@ ORACLES = {
     "op9_warc_bundles": warc.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
