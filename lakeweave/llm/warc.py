@@ -29,6 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .base import column, shared_path, sized, stored, table, tuned
 from .words import pieces
 
@@ -229,7 +230,8 @@ def read_archives(index: DataFrame) -> DataFrame:
                     names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     frames = index.select("bundle", "frame").distinct()
-    return frames.repartition("bundle", F.floor(F.col("frame") / 64)).sortWithinPartitions("bundle", "frame").mapInArrow(run, RECORDS)
+    # few bytes of index stand for much work: the number of tasks is given, not derived from their size
+    return frames.repartition(shuffle_partitions(index.sparkSession), "bundle", F.floor(F.col("frame") / 64)).sortWithinPartitions("bundle", "frame").mapInArrow(run, RECORDS)
 
 
 def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
