@@ -36,7 +36,7 @@ from .words import pieces, text_bytes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of text in one block; a longer text is a block of its own.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 14_000_000
 #: Buckets of words; with more shuffle partitions there are more.
 BUCKETS = 2048
 _NEXT = 1 << 20

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
