@@ -14,8 +14,13 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+_NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def try_double(col) -> Column:
-    return _c(col).try_cast("double")
+    """A plain decimal number, else NULL: ``NaN``, ``3d`` and ``inf`` are no numbers here."""
+    c = _c(col)
+    return F.when(c.cast("string").rlike(_NUMBER), c.try_cast("double"))
 
 
 def try_long(col) -> Column:

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, materialize, shuffle_partitions
+from ..session import ensure_checkpoint_dir, pinned, shuffle_partitions
 
 _PART_SHIFT = 1 << 33  # monotonically_increasing_id = partition_id << 33 | record_no
 
@@ -33,7 +33,7 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ordered = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    ordered = pinned(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
     ordered = ordered.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_local", F.monotonically_increasing_id() - F.col("_pid").cast("long") * F.lit(_PART_SHIFT))
     # one row per partition: bounded by the partition count, safe to combine

@@ -71,8 +71,7 @@ def climate_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S22 as a job: table loaded from file 1, then file 2 upserted into it."""
     cur = curate(climate_raw(spark, sf_dir))
     existing = keep_last_rows(cur.filter(F.col("_file") == 1), KEY, ["_file"]).drop("_file")
-    updates = cur.filter(F.col("_file") == 2).drop("_file")
-    return upsert(existing, updates, KEY)
+    return upsert(existing, cur.filter(F.col("_file") == 2), KEY, order=["_file"])
 
 
 # ------------------------------------------------------------------ gold views

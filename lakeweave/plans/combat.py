@@ -48,9 +48,11 @@ class Bronze:
     """The bronze tables of one lake.
 
     In the lake these are stored tables written by ingestion; here they are
-    derived from the driver tables and landed once per session as reliable
-    checkpoints in the shared checkpoint folder (``spark.checkpoint.dir``),
-    so every silver/gold job reads stored bronze, as in production."""
+    derived from the driver tables and landed once per session as Parquet in
+    the shared checkpoint folder (``spark.checkpoint.dir``), so every
+    silver/gold job reads stored bronze with pruned columns and pushed
+    filters, as in production.  Events are sorted by report, fight and type
+    inside their files."""
 
     _landed: dict = {}
 
@@ -65,7 +67,10 @@ class Bronze:
             return fn(self.spark, self.sf_dir)
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in Bronze._landed:
-            Bronze._landed[key] = materialize(fn(self.spark, self.sf_dir))
+            df = fn(self.spark, self.sf_dir)
+            if name == "events":
+                df = df.sortWithinPartitions("report_code", "fight_id", "event_type", "timestamp_ms")
+            Bronze._landed[key] = materialize(df, f"bronze-{name}")
         return Bronze._landed[key]
 
 
@@ -131,7 +136,7 @@ def silver_roster(b: Bronze) -> DataFrame:
         F.col("canonical_id").cast("bigint").alias("canonical_id"),
         F.col("player_guid").cast("bigint").alias("player_guid"), "character_name",
         F.col("class_id").cast("int").alias("class_id"),
-        F.element_at(F.array(*[F.lit(n) for n in fx.CLASS_NAMES]), F.col("class_id").cast("int")).alias("class_name"),
+        F.when(F.col("class_id") > 0, F.try_element_at(F.array(*[F.lit(n) for n in fx.CLASS_NAMES]), F.col("class_id").cast("int"))).alias("class_name"),
         F.col("character_level").cast("int").alias("character_level"),
         F.col("guild_rank").cast("int").alias("guild_rank"))
     return out.filter((F.col("character_name") != "") & F.col("player_guid").isNotNull()
@@ -216,12 +221,12 @@ def silver_pull_combatants(b: Bronze) -> DataFrame:
     ci = _combatantinfo(b)
     ilvls = F.filter(F.transform(F.col("_j.gear"), lambda g: g["itemLevel"]), lambda x: x > 1)
     ci = ci.withColumn("_il", ilvls)
-    avg = F.aggregate("_il", F.lit(0).cast("bigint"), lambda acc, x: acc + x) / F.size("_il")
+    avg = safe_div(F.aggregate("_il", F.lit(0).cast("bigint"), lambda acc, x: acc + x), F.size("_il"))
     return ci.select(
         "report_code", "fight_id", "player_actor_id", "pull_timestamp_ms",
         F.col("_j.specID").alias("spec_id"), F.col("_j.faction").alias("faction"),
-        F.when(F.size("_il") == 0, F.lit(None)).otherwise(F.bround(avg, 1)).alias("avg_item_level"),
-        F.size("_il").alias("gear_count"), F.coalesce(F.size("_j.auras"), F.lit(0)).alias("auras_count"))
+        F.when(F.size("_il") > 0, F.bround(avg, 1)).alias("avg_item_level"),
+        F.coalesce(F.size("_il"), F.lit(0)).alias("gear_count"), F.coalesce(F.size("_j.auras"), F.lit(0)).alias("auras_count"))
 
 
 def silver_pull_auras(b: Bronze) -> DataFrame:
@@ -304,7 +309,9 @@ def gold_fight_player_perf(b: Bronze) -> DataFrame:
     ev_rows = sides.join(players, ["report_code", "actor_id"]).withColumns(
         {"spec_id": F.lit(None).cast("int"), "avg_item_level": F.lit(None).cast("double")})
     pc = silver_pull_combatants(b).withColumnRenamed("player_actor_id", "actor_id")
-    pull_rows = pc.join(players, ["report_code", "actor_id"]).select(
+    # pull information keeps every actor: an unresolved pet has a row of its own
+    everyone = actors.select("report_code", "actor_id", F.col("resolved_player_name").alias("player_name"))
+    pull_rows = pc.join(everyone, ["report_code", "actor_id"]).select(
         "report_code", "fight_id", F.lit("pull").alias("event_type"), F.lit(None).cast("bigint").alias("amount"),
         F.lit(None).cast("bigint").alias("absorbed"), F.lit(None).cast("bigint").alias("overheal"),
         F.lit(None).cast("int").alias("hit_type"), F.lit(None).cast("string").alias("consumable_type"),
@@ -378,28 +385,29 @@ def gold_damage_taken(b: Bronze) -> DataFrame:
                         F.col("sub_type").alias("_src_type"))
     ab = silver_abilities(b).select("report_code", "ability_game_id", F.col("name").alias("_ab_name"))
     gf = guild_flags(b, actors=actors, with_roster_name=False).select("report_code", "player_name", "is_guild_member")
-    j = (ev.join(tgt, ["report_code", "target_id"])
-           .join(src, ["report_code", "source_id"], "left")
-           .join(ab, ["report_code", "ability_game_id"], "left")
-           .join(_fight_context(b), ["report_code", "fight_id"])
-           .join(gf, ["report_code", "player_name"], "left"))
-    j = j.withColumns({
-        "source_name": F.coalesce(F.col("_src_name"), F.lit("(inconnu)")),
-        "source_type": F.coalesce(F.col("_src_type"), F.lit("")),
-        "ability_name": F.coalesce(F.col("_ab_name"),
-                                   F.concat(F.lit("ability_"), F.col("ability_game_id").cast("string"))),
-        "is_guild_member": F.coalesce(F.col("is_guild_member"), F.lit(0)),
-    })
-    keys = ["report_start_at", "report_code", "guild_name", "zone_name", "fight_id", "fight_name", "is_boss",
-            "is_kill", "difficulty", "keystone_level", "duration_sec", "player_name", "player_guid",
-            "class_name", "is_guild_member", "source_name", "source_type", "ability_name"]
     amt = F.coalesce(F.col("amount"), F.lit(0))
-    g = j.groupBy(*keys).agg(
+    # events are summed by their ids first; names are joined to the small result
+    ids = ["report_code", "fight_id", "target_id", "source_id", "ability_game_id"]
+    by_id = ev.groupBy(*ids).agg(
         F.sum(amt).alias("damage_taken"), F.sum(F.coalesce(F.col("absorbed"), F.lit(0))).alias("damage_absorbed"),
         F.sum(F.coalesce(F.col("unmitigated_amount"), F.lit(0))).alias("unmitigated_damage"),
         F.count(F.lit(1)).alias("hits"),
         F.count_if(F.coalesce(F.col("overkill"), F.lit(0)) > 0).alias("killing_hits"),
         F.max(amt).alias("max_hit"))
+    j = (by_id.join(tgt, ["report_code", "target_id"])
+              .join(src, ["report_code", "source_id"], "left")
+              .join(ab, ["report_code", "ability_game_id"], "left"))
+    j = j.withColumns({
+        "source_name": F.coalesce(F.col("_src_name"), F.lit("(inconnu)")),
+        "source_type": F.coalesce(F.col("_src_type"), F.lit("")),
+        "ability_name": F.coalesce(F.col("_ab_name"),
+                                   F.concat(F.lit("ability_"), F.col("ability_game_id").cast("string")))})
+    keys = ["report_code", "fight_id", "player_name", "player_guid", "class_name", "source_name", "source_type", "ability_name"]
+    named = j.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in ("damage_taken", "damage_absorbed", "unmitigated_damage", "hits", "killing_hits")),
+                                 F.max("max_hit").alias("max_hit"))
+    g = (named.join(_fight_context(b), ["report_code", "fight_id"])
+              .join(gf, ["report_code", "player_name"], "left")
+              .withColumn("is_guild_member", F.coalesce(F.col("is_guild_member"), F.lit(0))))
     return g.select(
         "report_start_at", F.to_date("report_start_at").alias("report_date"), "report_code",
         F.col("guild_name").alias("report_guild_name"), F.col("zone_name").alias("raid_or_dungeon"),

@@ -16,12 +16,15 @@ from . import combat as C
 RUN_TS = "2024-02-01 00:00:00"
 STATE_COLS = ["report_code", "status", "title", "start_time_ms", "last_error", "ingestion_attempts",
               "last_ingest_points", "synced_at", "fetched_at", "catalog_json"]
-ERROR_TEXT_LIMIT = 2000
+CATALOGUE_COLS = ["report_code", "title", "start_time_ms", "guild_id", "guild_name", "server_region", "server_slug"]
 
 
 def _catalog_json():
-    return F.to_json(F.struct(F.col("report_code").alias("code"), F.col("title"),
-                              F.col("start_time_ms").alias("startTime")))
+    """The report, its guild and the keys it was found by."""
+    return F.to_json(F.struct(
+        F.struct(F.col("report_code").alias("code"), F.col("title"), F.col("start_time_ms").alias("startTime")).alias("report"),
+        F.struct(F.col("guild_id").alias("id"), F.col("guild_name").alias("name")).alias("guild"),
+        F.struct("guild_name", "server_region", "server_slug").alias("keys")), {"ignoreNullFields": "false"})
 
 
 def state_before(b: C.Bronze) -> DataFrame:
@@ -40,12 +43,16 @@ def state_before(b: C.Bronze) -> DataFrame:
 
 
 def catalogue(b: C.Bronze) -> DataFrame:
-    return b.reports.select("report_code", "title", "start_time_ms")
+    return b.reports.select(*CATALOGUE_COLS)
 
 
 def refresh_catalogue(state: DataFrame, cat: DataFrame, run_ts: str = RUN_TS) -> DataFrame:
     """One full outer join: 'ok' rows untouched, others reset to pending
     with the attempts counter kept, new reports inserted as pending."""
+    # entries without a code are skipped; of a repeated code the latest start wins
+    rest = [c for c in cat.columns if c != "report_code"]
+    cat = cat.filter(F.col("report_code").isNotNull() & (F.col("report_code") != "")).groupBy("report_code").agg(
+        F.max_by(F.struct(*rest), F.struct(F.coalesce("start_time_ms", F.lit(0)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rest])).alias("_v")).select("report_code", "_v.*")
     e = state.select(*[F.col(c).alias(f"e_{c}") for c in STATE_COLS])
     j = e.join(cat, F.col("e_report_code") == F.col("report_code"), "full_outer")
     keep = F.col("report_code").isNull() | (F.col("e_status") == "ok")
@@ -60,7 +67,7 @@ def refresh_catalogue(state: DataFrame, cat: DataFrame, run_ts: str = RUN_TS) ->
 
 
 def apply_results(state: DataFrame, results: DataFrame, run_ts: str = RUN_TS) -> DataFrame:
-    """Mark ok (points) / mark error (text cut to 2000 chars, attempts + 1)."""
+    """Mark ok (points) / mark error (whole text, attempts + 1)."""
     r = results.select(F.col("report_code").alias("r_code"), "outcome", "points", "error")
     j = state.join(r, F.col("report_code") == F.col("r_code"), "left")
     ok, err = F.col("outcome") == "ok", F.col("outcome") == "error"
@@ -69,7 +76,7 @@ def apply_results(state: DataFrame, results: DataFrame, run_ts: str = RUN_TS) ->
         "report_code",
         F.when(ok, F.lit("ok")).when(err, F.lit("error")).otherwise(F.col("status")).alias("status"),
         "title", "start_time_ms",
-        F.when(ok, F.lit(None).cast("string")).when(err, F.substring("error", 1, ERROR_TEXT_LIMIT))
+        F.when(ok, F.lit(None).cast("string")).when(err, F.col("error"))
          .otherwise(F.col("last_error")).alias("last_error"),
         F.when(err, F.col("ingestion_attempts") + 1).otherwise(F.col("ingestion_attempts")).alias("ingestion_attempts"),
         F.when(ok & F.col("points").isNotNull(), F.col("points").cast("bigint"))

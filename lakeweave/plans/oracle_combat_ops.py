@@ -13,8 +13,10 @@ def _rr(num, den, scale):
 
 
 def _cj(prefix=""):
-    return (f"json_object('code', {prefix}report_code, 'title', {prefix}title, "
-            f"'startTime', {prefix}start_time_ms)::VARCHAR")
+    p = prefix
+    return (f"json_object('report', json_object('code', {p}report_code, 'title', {p}title, 'startTime', {p}start_time_ms), "
+            f"'guild', json_object('id', {p}guild_id, 'name', {p}guild_name), "
+            f"'keys', json_object('guild_name', {p}guild_name, 'server_region', {p}server_region, 'server_slug', {p}server_slug))::VARCHAR")
 
 
 STATE = f"""{W},
@@ -27,7 +29,7 @@ state0 AS (
            CASE WHEN dom % 4 IN (1, 3) THEN epoch_ms(start_time_ms) + INTERVAL 1 HOUR END AS synced_at,
            epoch_ms(start_time_ms) AS fetched_at, {_cj()} AS catalog_json
     FROM rep WHERE dom % 5 != 0),
-cat AS (SELECT report_code, title, start_time_ms FROM b_reports),
+cat AS (SELECT * FROM b_reports),
 refreshed AS (
     SELECT CASE WHEN keep THEN e.report_code ELSE c.report_code END AS report_code,
            CASE WHEN keep THEN e.status ELSE 'pending' END AS status,
@@ -54,7 +56,7 @@ after_run AS (
     SELECT s.report_code,
            CASE r.outcome WHEN 'ok' THEN 'ok' WHEN 'error' THEN 'error' ELSE s.status END AS status,
            s.title, s.start_time_ms,
-           CASE r.outcome WHEN 'ok' THEN NULL WHEN 'error' THEN substr(r.error, 1, 2000) ELSE s.last_error END AS last_error,
+           CASE r.outcome WHEN 'ok' THEN NULL WHEN 'error' THEN r.error ELSE s.last_error END AS last_error,
            CASE WHEN r.outcome = 'error' THEN s.ingestion_attempts + 1 ELSE s.ingestion_attempts END AS ingestion_attempts,
            CASE WHEN r.outcome = 'ok' AND r.points IS NOT NULL THEN CAST(r.points AS BIGINT) ELSE s.last_ingest_points END AS last_ingest_points,
            CASE WHEN r.outcome = 'ok' THEN TIMESTAMP '2024-02-01 00:00:00' ELSE s.synced_at END AS synced_at,

@@ -86,19 +86,19 @@ ORACLES = {
     "model_errors": f"{SCORING} SELECT * FROM err",
     "model_comparison": f"""{SCORING} SELECT model_used, CAST(count(*) AS BIGINT) AS analyses,
             CAST(count(DISTINCT review_id) AS BIGINT) AS reviews,
-            round(avg(CAST(sentiment = source_polarity AS INTEGER)) * 100, 4) AS match_pct,
+            {_rr('sum(CAST(sentiment = source_polarity AS INTEGER)) * 100', 'count(*)', 2)} AS match_pct,
             round(avg(confidence), 4) AS confidence_mean, round(stddev_samp(confidence), 4) AS confidence_std,
             round(avg(criticite), 4) AS criticite_mean, round(stddev_samp(criticite), 4) AS criticite_std,
             round(avg(serieux), 4) AS serieux_mean, round(stddev_samp(serieux), 4) AS serieux_std,
             round(avg(noise_level), 4) AS noise_level_mean,
-            round(avg(CAST(sarcasm_detected AS INTEGER)) * 100, 4) AS sarcasm_pct
+            {_rr('sum(CAST(sarcasm_detected AS INTEGER)) * 100', 'count(*)', 2)} AS sarcasm_pct
         FROM ann GROUP BY model_used""",
     "model_majority_agreement": f"""{SCORING},
         votes AS (SELECT review_id, sentiment, count(*) AS v FROM ann GROUP BY ALL),
         maj AS (SELECT review_id, sentiment AS majority_sentiment FROM (
                   SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY v DESC, sentiment) AS rn FROM votes)
                 WHERE rn = 1)
-        SELECT model_used, round(avg(CAST(a.sentiment = m.majority_sentiment AS INTEGER)) * 100, 4) AS agreement_pct
+        SELECT model_used, {_rr('sum(CAST(a.sentiment = m.majority_sentiment AS INTEGER)) * 100', 'count(*)', 2)} AS agreement_pct
         FROM ann a JOIN maj m ON a.review_id = m.review_id GROUP BY model_used""",
     "model_inter_std": f"""{SCORING} SELECT review_id,
             round(coalesce(stddev_samp(confidence), 0.0), 4) AS confidence_std,

@@ -1,11 +1,15 @@
 """DuckDB oracles for the streaming jobs (the batch equivalent of the stream)."""
 
+from .oracle_climate import ORACLES as CLIMATE_ORACLES
 from .sql_fixtures import COMBAT_BRONZE
 
 ORACLES = {
     "stream_bronze_events": f"""WITH {COMBAT_BRONZE} SELECT *, CAST(NULL AS BIGINT) AS source_instance,
             CAST(NULL AS BIGINT) AS target_instance FROM b_events""",
+    "stream_climate_upsert": CLIMATE_ORACLES["climate_upsert"],
     "stream_hourly_event_counts": """SELECT date_trunc('hour', ts) AS window_start, event_type,
             CAST(count(*) AS BIGINT) AS events, round(sum(value), 2) AS value_sum
         FROM events GROUP BY ALL""",
 }
+
+ORACLES["stream_bronze_two_batches"] = ORACLES["stream_bronze_events"]

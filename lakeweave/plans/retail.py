@@ -109,7 +109,8 @@ def compute_rfm(clean: DataFrame) -> DataFrame:
     per_customer = clean.groupBy("customer_id").agg(
         F.max("invoice_date").alias("_last"),
         F.count_distinct("invoice").alias("frequency"),
-        F.sum("total_price").alias("monetary"),
+        # an exact sum: the order of addition can't move a customer over a quintile edge
+        F.sum(F.col("total_price").cast("decimal(28,6)")).cast("double").alias("monetary"),
     )
     # scalar subquery over the same aggregate: its shuffle is reused, the lines are read once
     snapshot = per_customer.agg(F.max("_last") + F.expr("INTERVAL 1 DAY")).scalar()

@@ -214,7 +214,7 @@ def annotations(spark: SparkSession, sf_dir: str):
     a1, k1, e1 = annotation_tables(materialize(score_units(first_units)), run_ts="2024-06-01 00:00:00")
     second_units = pending_units(src, a1)
     a2, k2, e2 = annotation_tables(materialize(score_units(second_units)), run_ts="2024-06-02 00:00:00")
-    ann = upsert(a1, a2, ["analysis_id"])
+    ann = upsert(a1, a2, ["analysis_id"], order=["model_used"])
     kw = replace_by_group(k1, k2, ["analysis_id"])
     err = e1.unionByName(e2)
     return ann, kw, err
@@ -232,12 +232,12 @@ def model_comparison(work: DataFrame) -> DataFrame:
     r4 = lambda c: F.round(c, 4)
     return work.groupBy("model_used").agg(
         F.count(F.lit(1)).alias("analyses"), F.count_distinct("review_id").alias("reviews"),
-        r4(F.avg(match) * 100).alias("match_pct"),
+        ratio_round(F.sum(match) * 100, F.count(match), 2).alias("match_pct"),
         r4(F.avg("confidence")).alias("confidence_mean"), r4(F.stddev_samp("confidence")).alias("confidence_std"),
         r4(F.avg("criticite")).alias("criticite_mean"), r4(F.stddev_samp("criticite")).alias("criticite_std"),
         r4(F.avg("serieux")).alias("serieux_mean"), r4(F.stddev_samp("serieux")).alias("serieux_std"),
         r4(F.avg("noise_level")).alias("noise_level_mean"),
-        r4(F.avg(F.col("sarcasm_detected").cast("int")) * 100).alias("sarcasm_pct"))
+        ratio_round(F.sum(F.col("sarcasm_detected").cast("int")) * 100, F.count("sarcasm_detected"), 2).alias("sarcasm_pct"))
 
 
 def majority_votes(work: DataFrame) -> DataFrame:
@@ -252,7 +252,7 @@ def majority_agreement(work: DataFrame) -> DataFrame:
     m = majority_votes(work)
     j = work.join(m, "review_id")
     return j.groupBy("model_used").agg(
-        F.round(F.avg((F.col("sentiment") == F.col("majority_sentiment")).cast("int")) * 100, 4)
+        ratio_round(F.sum((F.col("sentiment") == F.col("majority_sentiment")).cast("int")) * 100, F.count(F.lit(1)), 2)
          .alias("agreement_pct"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -86,18 +87,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df):
-    """Reliable checkpoint computed once.
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
-    ``Dataset.checkpoint(eager=True)`` runs the plan for its count and again
-    to write the checkpoint files; persisting first makes the second pass read
-    the cached blocks.  The cache is released once the files are written, and
-    the returned frame's lineage starts at the shared checkpoint folder."""
-    from pyspark import StorageLevel
 
+def materialize(df, tag: str = "table"):
+    """The frame written once as Parquet in the shared folder and read again.
+
+    Readers get pruned columns, pushed filters and file statistics, and a lost
+    executor costs a read, not a recomputation."""
+    path = shared_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pinned(df):
+    """Reliable checkpoint that keeps partitions and their row order (a sorted frame's ranks
+    are positions in them)."""
     ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist(blocking=False)
+    return df.checkpoint(eager=True)

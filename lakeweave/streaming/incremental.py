@@ -1,11 +1,10 @@
 """Incremental ingest with Structured Streaming.
 
-The reference runs ingestion as scheduled micro-batches.  Here a file source
-(new landed files only, tracked by the checkpoint) is drained with
-``trigger(availableNow=True)`` and every micro-batch goes through
-``foreachBatch`` into a versioned table with a replace-by-group or upsert
-write, so a replayed batch (after a failure) produces the same table.
-Checkpoints and tables live under the shared ``spark.checkpoint.dir``.
+Ingestion runs as scheduled micro-batches.  A file source (new landed files
+only, tracked by the checkpoint) is drained with ``trigger(availableNow=True)``
+and every micro-batch goes through ``foreachBatch`` into a table with an
+upsert or a replace by group, so a replayed batch (after a failure) produces
+the same table.  Checkpoints and tables live under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -15,12 +14,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import keep_last_rows
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources.sinks import BucketedTable, VersionedTable
 from ..sources.tables import table_path
 
-EVENT_PAGE_KEY = ["report_code", "page_index"]
+EVENT_KEY = ["report_code", "page_index", "event_index"]
 
 
 def scratch_root(spark: SparkSession, name: str) -> str:
@@ -36,30 +36,33 @@ def run_available_now(stream: DataFrame, sink, checkpoint: str, output_mode: str
         raise q.exception()
 
 
-def events_stream(spark: SparkSession, source: str) -> DataFrame:
+def landed_stream(spark: SparkSession, source: str, per_trigger: int | None = None) -> DataFrame:
+    """New files only; ``_landed`` orders two deliveries of one row (time, then file)."""
     schema = spark.read.parquet(source).schema
-    return spark.readStream.schema(schema).parquet(source)
+    reader = spark.readStream.schema(schema)
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    return reader.parquet(source).select("*", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("_landed"))
 
 
-def ingest_events_to_bronze(spark: SparkSession, source: str, table, checkpoint: str,
-                            dedupe_within_watermark: bool = False,
-                            watermark: str = "1 hour") -> VersionedTable:
-    """T1+T2(+T3): landed raw event files -> bronze events, replaced per (report, page).
+def _bronze(spark: SparkSession, batch: DataFrame) -> DataFrame:
+    """Bronze rows of a batch; of an event delivered twice in it the later delivery counts."""
+    rest = [c for c in batch.columns if c not in ("event_id", "_landed")]
+    last = batch.groupBy("event_id").agg(F.max_by(F.struct(*rest), F.col("_landed")).alias("_v")).select("event_id", "_v.*")
+    return fx.combat_events_bronze(spark, None, events=last)
 
-    ``dedupe_within_watermark`` drops a raw event seen again (same event id,
-    e.g. a page delivered twice or a page-border duplicate) within the
-    watermark, across files and micro-batches; state older than the
-    watermark is discarded, so the dedupe state stays bounded."""
-    stream = events_stream(spark, source)
-    if dedupe_within_watermark:
-        stream = (stream.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", watermark)
-                        .dropDuplicatesWithinWatermark(["event_id"]).drop("_ts"))
 
+def ingest_events_to_bronze(spark: SparkSession, source: str, table, checkpoint: str, per_trigger: int | None = None):
+    """Landed raw event files -> bronze events, merged by (report, page, event).
+
+    A page may arrive in pieces over files and batches, again, or grown by events: its
+    rows are those of all deliveries, the latest of each event.  Nothing depends on
+    when a file arrives, so there is no watermark and no late row is lost.  A
+    replayed batch gives the same table."""
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        bronze = fx.combat_events_bronze(spark, None, events=batch)
-        table.replace_groups(bronze, EVENT_PAGE_KEY)
+        table.upsert(_bronze(spark, batch), EVENT_KEY, order=["timestamp_ms"])
 
-    run_available_now(stream, sink, checkpoint)
+    run_available_now(landed_stream(spark, source, per_trigger), sink, checkpoint)
     return table
 
 
@@ -71,50 +74,49 @@ def ingest_and_refresh_silver(spark: SparkSession, source: str, bronze, silver,
 
     from ..plans.combat import silver_events
 
-    stream = events_stream(spark, source)
-
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        new_bronze = fx.combat_events_bronze(spark, None, events=batch)
-        bronze.replace_groups(new_bronze, EVENT_PAGE_KEY)
-        touched = new_bronze.select("report_code").distinct()
-        if hasattr(bronze, "read_keys"):          # bucketed: scan the touched buckets only
+        new = _bronze(spark, batch)
+        bronze.upsert(new, EVENT_KEY, order=["timestamp_ms"])
+        touched = new.select("report_code").distinct()
+        if isinstance(bronze, BucketedTable):     # scan the touched buckets only
             events = bronze.read_keys(touched)
         else:
             events = bronze.read().join(touched, "report_code", "left_semi")
         silver.replace_groups(silver_events(SimpleNamespace(events=events)), ["report_code"])
 
-    run_available_now(stream, sink, checkpoint)
+    run_available_now(landed_stream(spark, source), sink, checkpoint)
     return silver
 
 
-def hourly_event_counts(spark: SparkSession, source: str, table, checkpoint: str,
-                        watermark: str = "2 hours"):
-    """Tumbling one-hour counts per event type with a watermark (our extra);
-    update-mode rows are upserted by (window, type), so the table holds final values."""
-    s = events_stream(spark, source).withColumn("ts", F.col("ts").cast("timestamp"))
-    agg = (s.withWatermark("ts", watermark)
-            .groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
-            .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum")))
+def hourly_event_counts(spark: SparkSession, source: str, table, checkpoint: str, per_trigger: int | None = None):
+    """Tumbling one-hour counts per event type (our extra).
 
+    The table holds the counts of each landed file; a replayed file replaces its own.
+    ``hourly_totals`` sums them, so events of any age count whenever they arrive."""
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.select(F.col("w.start").alias("window_start"), "event_type", "events", "value_sum")
-        table.upsert(rows, ["window_start", "event_type"])
+        ts = F.col("ts").cast("timestamp")
+        rows = batch.groupBy(F.col("_landed.file_path").alias("file"), F.window(ts, "1 hour").alias("w"), "event_type").agg(
+            F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum"))
+        table.replace_groups(rows.select("file", F.col("w.start").alias("window_start"), "event_type", "events", "value_sum"), ["file"])
 
-    run_available_now(agg, sink, checkpoint, output_mode="update")
+    run_available_now(landed_stream(spark, source, per_trigger), sink, checkpoint)
     return table
 
 
-def climate_daily_upsert(spark: SparkSession, source: str, table: VersionedTable, checkpoint: str,
-                         curate) -> VersionedTable:
-    """T5: each landed daily file is curated and upserted by (station, date)."""
-    schema = spark.read.parquet(source).schema
-    stream = spark.readStream.schema(schema).parquet(source)
+def hourly_totals(table) -> DataFrame:
+    return table.read().groupBy("window_start", "event_type").agg(F.sum("events").alias("events"), F.sum("value_sum").alias("value_sum"))
+
+
+def climate_daily_upsert(spark: SparkSession, source: str, table, checkpoint: str, curate, per_trigger: int | None = None):
+    """T5: each landed daily file is curated and upserted by (station, date); of two
+    deliveries of a day in one batch the later file counts."""
+    from ..plans.climate import KEY
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        table.upsert(curate(batch).drop("_file"), ["station_id", "date_mesure"],
-                     order=["_file"] if "_file" in batch.columns else None)
+        rows = keep_last_rows(curate(batch.drop("_landed")), KEY, ["_file"]).drop("_file")
+        table.upsert(rows, KEY, order=KEY)
 
-    run_available_now(stream, sink, checkpoint)
+    run_available_now(landed_stream(spark, source, per_trigger), sink, checkpoint)
     return table
 
 
@@ -131,14 +133,37 @@ def stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read()
 
 
+def stream_bronze_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events land in two files that split every page; each is a batch, and the first is delivered again."""
+    root = scratch_root(spark, "stream-two")
+    events = spark.read.parquet(table_path(sf_dir, "events"))
+    for k, part in enumerate((F.col("event_id") % 3 == 0, F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0)):
+        events.filter(part).coalesce(1).write.parquet(f"{root}/landing/part={k}")
+    table = BucketedTable(spark, root + "/table", ["report_code"], buckets=16)
+    return ingest_events_to_bronze(spark, f"{root}/landing/part=*", table, root + "/checkpoint", per_trigger=1).read()
+
+
+def stream_climate_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 as a job: the two climate deliveries land as files and are upserted one after the other."""
+    from ..plans.climate import climate_raw, curate
+
+    root = scratch_root(spark, "stream-climate")
+    raw = climate_raw(spark, sf_dir)
+    for k in (1, 2):
+        raw.filter(F.col("_file") == k).coalesce(1).write.parquet(f"{root}/landing/part={k}")
+    table = VersionedTable(spark, root + "/table")
+    return climate_daily_upsert(spark, f"{root}/landing/part=*", table, root + "/checkpoint", curate, per_trigger=1).read()
+
+
 def stream_hourly_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_root(spark, "stream-hourly")
-    t = hourly_event_counts(spark, _events_glob(sf_dir), BucketedTable(spark, root + "/table", ["window_start"],
-                                                                        buckets=16), root + "/checkpoint")
-    return t.read().withColumn("value_sum", F.round("value_sum", 2))
+    t = hourly_event_counts(spark, _events_glob(sf_dir), BucketedTable(spark, root + "/table", ["file"], buckets=16), root + "/checkpoint")
+    return hourly_totals(t).withColumn("value_sum", F.round("value_sum", 2))
 
 
 QUERIES = {
     "stream_bronze_events": stream_bronze_events,
+    "stream_bronze_two_batches": stream_bronze_two_batches,
+    "stream_climate_upsert": stream_climate_upsert,
     "stream_hourly_event_counts": stream_hourly_event_counts,
 }

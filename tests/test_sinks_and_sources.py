@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeweave.plans.reviews import parse_french_date
@@ -17,9 +18,9 @@ def _rows(df):
 def test_upsert_insert_update_and_idempotent(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
-    once = upsert(old, new, ["k"])
+    once = upsert(old, new, ["k"], order=["v"])
     assert _rows(once) == [(1, "a"), (2, "B"), (3, "c")]
-    assert _rows(upsert(once, new, ["k"])) == _rows(once)
+    assert _rows(upsert(once, new, ["k"], order=["v"])) == _rows(once)
 
 
 def test_upsert_keep_last_and_created_at(spark):
@@ -59,7 +60,7 @@ def test_versioned_table_overwrite_guard_and_replace(spark, scratch):
     assert t.overwrite(df.limit(0), skip_if_empty=True) == p1
     t.replace_groups(spark.createDataFrame([("r1", 5)], "report_code string, n int"), ["report_code"])
     assert _rows(t.read()) == [("r1", 5), ("r2", 2)]
-    t.upsert(spark.createDataFrame([("r3", 3)], "report_code string, n int"), ["report_code"])
+    t.upsert(spark.createDataFrame([("r3", 3)], "report_code string, n int"), ["report_code"], order=["n"])
     assert t.read().count() == 3
 
 
@@ -151,22 +152,49 @@ def test_append_with_schema_merge(spark, scratch):
     assert sorted(tuple(r) for r in t.read().collect()) == [(1, None), (2, "x")]
 
 
-def test_stream_dedupe_within_watermark(spark, scratch):
-    """The same page landed twice in one batch is ingested once with dedupe on."""
+def test_pages_in_pieces_again_and_grown(spark, scratch):
+    """A page delivered twice, over two files, and again with more events keeps every event once."""
     from lakeweave.sources import fixtures as fx
     from lakeweave.streaming.incremental import ingest_events_to_bronze
 
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").filter(F.col("event_id") < 200)
     land = scratch + "/landing"
-    events.write.parquet(land + "/part=1")
-    events.write.parquet(land + "/part=2")           # delivered twice
-    plain = VersionedTable(spark, scratch + "/plain")
-    ingest_events_to_bronze(spark, land + "/part=*", plain, scratch + "/c1")
-    deduped = VersionedTable(spark, scratch + "/dedup")
-    ingest_events_to_bronze(spark, land + "/part=*", deduped, scratch + "/c2", dedupe_within_watermark=True)
-    once = fx.combat_events_bronze(spark, None, events=events).count()
-    assert plain.read().count() == 2 * once
-    assert deduped.read().count() == once
+    table = VersionedTable(spark, scratch + "/bronze")
+    events.filter("event_id % 2 = 0").write.parquet(land + "/part=1")
+    events.filter("event_id % 2 = 0").write.parquet(land + "/part=2")           # delivered twice
+    ingest_events_to_bronze(spark, land + "/part=*", table, scratch + "/c")
+    events.filter("event_id % 2 = 1 and event_id < 150").write.parquet(land + "/part=3")   # the other half
+    ingest_events_to_bronze(spark, land + "/part=*", table, scratch + "/c")
+    events.filter("event_id >= 100").write.parquet(land + "/part=4")             # a page again, grown
+    ingest_events_to_bronze(spark, land + "/part=*", table, scratch + "/c")
+    want = fx.combat_events_bronze(spark, None, events=events)
+    assert table.read().count() == want.count()
+    assert want.exceptAll(table.read().select(*want.columns)).count() == 0
+
+
+def test_hourly_counts_keep_events_of_any_age(spark, scratch):
+    from lakeweave.sources.sinks import BucketedTable
+    from lakeweave.streaming.incremental import hourly_event_counts, hourly_totals
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    half = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
+    newer = F.unix_micros(F.col("ts").cast("timestamp")) >= half
+    land, table = scratch + "/landing", BucketedTable(spark, scratch + "/hourly", ["file"], buckets=4)
+    for k, part in enumerate((newer, ~newer)):                                   # the older half lands last
+        events.filter(part).write.parquet(f"{land}/part={k}")
+        hourly_event_counts(spark, land + "/part=*", table, scratch + "/c")
+    assert hourly_totals(table).agg(F.sum("events")).first()[0] == events.count()
+    hourly_event_counts(spark, land + "/part=*", table, scratch + "/again")      # replay of all files
+    assert hourly_totals(table).agg(F.sum("events")).first()[0] == events.count()
+
+
+def test_a_crash_before_the_commit_leaves_the_table(spark, scratch):
+    t = VersionedTable(spark, scratch + "/t")
+    t.overwrite(spark.createDataFrame([(1,), (2,)], "a int"))
+    spark.createDataFrame([(9,)], "a int").write.parquet(scratch + "/t/v=unfinished")   # data without its commit
+    assert _rows(t.read()) == [(1,), (2,)]
+    t.upsert(spark.createDataFrame([(2,), (3,)], "a int"), ["a"], order=["a"])
+    assert _rows(t.read()) == [(1,), (2,), (3,)]
 
 
 def test_bucketed_table_rewrites_only_touched_buckets(spark, scratch):
@@ -191,5 +219,10 @@ def test_bucketed_table_rewrites_only_touched_buckets(spark, scratch):
     t.replace_groups(inc, ["report_code", "page_index"])        # replay: same table
     assert t.read().count() == 120
     t.upsert(spark.createDataFrame([("R99", 0, 5)], "report_code string, page_index int, n int"),
-             ["report_code", "page_index"])
+             ["report_code", "page_index"], order=["n"])
     assert t.read().count() == 121
+    twice = spark.createDataFrame([("R99", 0, 6), ("R99", 0, 7)], "report_code string, page_index int, n int")
+    t.upsert(twice, ["report_code", "page_index"], order=["n"])
+    assert [r["n"] for r in t.read().filter("report_code = 'R99'").collect()] == [7]
+    with pytest.raises(ValueError):
+        t.upsert(twice, ["report_code", "page_index"], order=[])
