@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 def uptime_from_transitions(transitions: DataFrame, group_cols: list, ts: str = "ts",
                             state: str = "state", end_col: str = "end_ts",
-                            start_col: str = "start_ts") -> DataFrame:
-    """Per group: ``uptime`` (sum of active time) and ``present_at_start``.
+                            start_col: str = "start_ts", carry: list | None = None) -> DataFrame:
+    """Per group: ``uptime`` (sum of active time), ``present_at_start`` and the smallest value of each ``carry`` column.
 
     ``transitions`` has one row per transition with ``ts``, ``state`` (1 active,
     0 inactive) and the group's ``start_ts``/``end_ts`` on every row."""
@@ -27,4 +27,5 @@ def uptime_from_transitions(transitions: DataFrame, group_cols: list, ts: str =
         "_seg", F.when(F.col(state) == 1, F.greatest(nxt - F.col(ts), F.lit(0))).otherwise(F.lit(0)))
     return seg.groupBy(*group_cols).agg(
         F.sum("_seg").alias("uptime"),
-        F.max(((F.col(state) == 1) & (F.col(ts) <= F.col(start_col))).cast("int")).alias("present_at_start"))
+        F.max(((F.col(state) == 1) & (F.col(ts) <= F.col(start_col))).cast("int")).alias("present_at_start"),
+        *(F.min(c).alias(c) for c in carry or []))

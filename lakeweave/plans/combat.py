@@ -12,6 +12,8 @@ millions of events, so every key below includes fight and player/actor):
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,6 +75,21 @@ class Bronze:
             Bronze._landed[key] = materialize(df, f"bronze-{name}")
         return Bronze._landed[key]
 
+    def keep(self, name: str, build) -> DataFrame:
+        """A silver or gold table of this lake, built once per session and then read as Parquet."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in Bronze._landed:
+            Bronze._landed[key] = materialize(build(self), name)
+        return Bronze._landed[key]
+
+
+def _stored(build):
+    """Gold reads silver tables: a lake that lands its bronze lands its silver too."""
+    @wraps(build)
+    def table(b):
+        return b.keep(build.__name__, build) if getattr(b, "land", False) else build(b)
+    return table
+
 
 # ------------------------------------------------------------------ silver
 def silver_reports(b: Bronze) -> DataFrame:
@@ -102,6 +119,7 @@ def silver_fights(b: Bronze) -> DataFrame:
         (enc != 0).cast("int").alias("is_boss"))
 
 
+@_stored
 def silver_events(b: Bronze) -> DataFrame:
     e = b.events.filter(F.col("event_type") != "combatantinfo")
     j = F.from_json("event_json", EVENT_JSON_SCHEMA)
@@ -125,7 +143,7 @@ def silver_events(b: Bronze) -> DataFrame:
 def silver_abilities(b: Bronze) -> DataFrame:
     a = b.abilities.filter(F.col("ability_game_id").isNotNull())
     return a.select("report_code", F.col("ability_game_id").cast("bigint").alias("ability_game_id"),
-                    "name", "ability_type")
+                    "name", "ability_type", "icon")
 
 
 def silver_roster(b: Bronze) -> DataFrame:
@@ -152,6 +170,7 @@ def _roster_flags(df: DataFrame) -> DataFrame:
         F.col("roster_character_name").isNotNull() & (F.col("roster_character_name") != ""), 1).otherwise(0))
 
 
+@_stored
 def silver_actors(b: Bronze) -> DataFrame:
     a = b.actors.select(
         "report_code", F.col("actor_id").cast("int").alias("actor_id"),
@@ -185,6 +204,7 @@ def silver_actors(b: Bronze) -> DataFrame:
     return _roster_flags(joined)
 
 
+@_stored
 def silver_player_details(b: Bronze) -> DataFrame:
     pd_ = b.player_details.select(
         "report_code", "role", F.col("player_id").cast("int").alias("player_actor_id"),
@@ -217,6 +237,7 @@ def _combatantinfo(b: Bronze) -> DataFrame:
                     F.from_json("event_json", INFO_SCHEMA).alias("_j"))
 
 
+@_stored
 def silver_pull_combatants(b: Bronze) -> DataFrame:
     ci = _combatantinfo(b)
     ilvls = F.filter(F.transform(F.col("_j.gear"), lambda g: g["itemLevel"]), lambda x: x > 1)
@@ -229,6 +250,7 @@ def silver_pull_combatants(b: Bronze) -> DataFrame:
         F.coalesce(F.size("_il"), F.lit(0)).alias("gear_count"), F.coalesce(F.size("_j.auras"), F.lit(0)).alias("auras_count"))
 
 
+@_stored
 def silver_pull_auras(b: Bronze) -> DataFrame:
     ci = _combatantinfo(b)
     return ci.select("report_code", "fight_id", "player_actor_id",
@@ -520,10 +542,8 @@ def gold_consumables(b: Bronze) -> DataFrame:
     trans = buff_changes.unionByName(seeds).join(fights, ["report_code", "fight_id"])
     keys = ["report_code", "fight_id", "player_actor_id", "ability_game_id"]
     up = uptime_from_transitions(trans, keys, ts="ts", state="state", end_col="end_time_ms",
-                                 start_col="start_time_ms")
-    names = trans.groupBy(*keys).agg(F.min("ability_name").alias("ability_name"),
-                                     F.min("consumable_type").alias("consumable_type"))
-    buffs = up.join(names, keys).select(
+                                 start_col="start_time_ms", carry=["ability_name", "consumable_type"])
+    buffs = up.select(
         *keys, "ability_name", "consumable_type", F.col("present_at_start").alias("present_at_pull"),
         F.col("uptime").cast("bigint").alias("uptime_ms"), F.lit(None).cast("bigint").alias("casts"))
     casts = (ev.filter(F.col("event_type") == "cast")
@@ -587,6 +607,9 @@ def _actors_out(b: Bronze) -> DataFrame:
 QUERIES = {
     "combat_silver_reports": _b(silver_reports),
     "combat_silver_fights": _b(silver_fights),
+    "combat_silver_events": _b(silver_events),
+    "combat_silver_abilities": _b(silver_abilities),
+    "combat_silver_guild_roster": _b(silver_roster),
     "combat_silver_actors": _b(_actors_out),
     "combat_silver_player_details": _b(silver_player_details),
     "combat_silver_pull_combatants": _b(silver_pull_combatants),
