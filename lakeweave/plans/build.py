@@ -1,12 +1,14 @@
 """Build outputs as tables: one table per job under ``<root>/<layer>/<name>``.
 
 S31/S35/S36: jobs are plain functions; ``build`` writes the selected ones
-(by name, layer or family) in dependency order through versioned tables, so
+(by name, layer or family), what is read before what reads it, through versioned tables, so
 a rebuild is replayable and readers never see a half-written table.
 """
 
 from __future__ import annotations
 
+from graphlib import TopologicalSorter
+
 from pyspark.sql import SparkSession
 
 from ..sources.sinks import VersionedTable
@@ -17,7 +19,13 @@ LAYERS = {"combat_silver_": "silver", "gold_": "gold", "climate_": "gold", "rfm_
           "dim_": "gold", "fact_": "gold", "sales_silver": "silver", "sales_": "gold",
           "reviews_": "silver", "model_": "gold", "reference_": "silver", "corpus_": "adhoc",
           "ingestion_": "state", "retail_": "silver", "stream_": "bronze", "metric_long": "gold"}
-ORDER = ["bronze", "state", "silver", "gold", "adhoc"]
+# which jobs read the tables of which others, by prefix
+READS = {
+    "gold_": ["combat_silver_", "payload_"], "metric_long": ["gold_fight_player_perf"], "corpus_": ["gold_", "metric_long", "combat_silver_", "ingestion_state"],
+    "dps_series": ["gold_fight_player_perf"], "consumable_views": ["gold_consumables"], "combat_silver_": ["payload_"], "combat_guild_flags": ["combat_silver_"],
+    "gold_schema_tests": ["gold_"], "lake_": ["combat_silver_", "ingestion_state"], "reference_items_by": ["reference_items"],
+    "rfm_": ["retail_clean_orders"], "dim_": ["retail_clean_orders"], "fact_": ["retail_clean_orders", "rfm_scores"], "v_rfm_": ["rfm_scores"],
+    "sales_daily_kpis": ["sales_silver"], "model_": ["sentiment_reviews"], "reviews_": ["reviews_extract"], "climate_": ["climate_curate"]}
 
 
 def layer_of(name: str) -> str:
@@ -32,7 +40,9 @@ def plan_build(names=None, layer: str | None = None, family: str | None = None)
     chosen = [n for n in qs if (names is None or n in names)
               and (layer is None or layer_of(n) == layer)
               and (family is None or n in registry.family_queries(family))]
-    return sorted(chosen, key=lambda n: (ORDER.index(layer_of(n)), n))
+    starts = lambda n, prefixes: any(n.startswith(p) for p in prefixes)
+    reads = {n: {m for m in chosen if m != n and any(n.startswith(p) and starts(m, sources) and not starts(n, sources) for p, sources in READS.items())} for n in sorted(chosen)}
+    return list(TopologicalSorter(reads).static_order())
 
 
 def build(spark: SparkSession, sf_dir: str, root: str, names=None, layer=None, family=None,

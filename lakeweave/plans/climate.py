@@ -368,6 +368,16 @@ def qc_fusion(raw: DataFrame) -> DataFrame:
     ).withColumn("fusion_chevauchement_cles", overlap)
 
 
+def qc_drift(raw: DataFrame, table: DataFrame, limit: float = 1.0) -> DataFrame:
+    """Q7: does the stored table miss more minima than the deliveries did?  Under ``limit``
+    points of difference the NULLs come from the source, else from ingestion."""
+    seen = raw.agg(ratio_round(F.count_if(_num("TN").isNull()) * 100, F.count(F.lit(1)), 1)).scalar()
+    kept = table.agg(F.count(F.lit(1)).alias("table_rows"), ratio_round(F.count_if(F.col("temp_min").isNull()) * 100, F.count(F.lit(1)), 1).alias("pct_table_null"))
+    gap = F.round(F.abs(F.col("pct_table_null") - F.col("pct_raw_null")), 1)
+    return kept.withColumn("pct_raw_null", seen).withColumn("gap", gap).withColumn(
+        "verdict", F.when(F.col("gap") < limit, F.lit("source")).otherwise(F.lit("ingestion")))
+
+
 def qc_transform_loss(raw: DataFrame) -> DataFrame:
     """Q6: NULL TN/TX before (lenient parse of the raw text) and after curation."""
     cur = curate(raw)
@@ -414,6 +424,7 @@ QUERIES = {
     "climate_day_records": lambda s, d: summer_day_records(_c(s, d)),
     "climate_qc_files": lambda s, d: qc_files(climate_raw(s, d)),
     "climate_qc_fusion": lambda s, d: qc_fusion(climate_raw(s, d)),
+    "climate_qc_drift": lambda s, d: qc_drift(climate_raw(s, d), _c(s, d)),
     "climate_qc_transform": lambda s, d: qc_transform_loss(climate_raw(s, d)),
     "climate_station_completeness": lambda s, d: station_completeness(climate_raw(s, d)),
 }

@@ -178,4 +178,28 @@ def silver_ingestion_state(b) -> DataFrame:
         "synced_at", F.substring("last_error", 1, 500).alias("last_error_preview"), F.col("last_ingest_points").cast("int").alias("last_ingest_points"), F.col("fetched_at").alias("bronze_fetched_at"))
 
 
+def lake_tables(b) -> dict:
+    """The ten tables of the lake, as stored."""
+    from . import payloads as P
+
+    raw = b.keep("reports_raw", P.report_payloads)
+    return {
+        "ingestion_state": b.keep("ingestion_state", O._after_run), "guild_reports": b.reports, "fights": b.fights, "reports_raw": raw, "master_info": P.master_info(raw),
+        "master_actors": b.actors, "master_abilities": b.abilities, "player_details": b.player_details, "events": b.events, "guild_roster": b.roster}
+
+
+def register_lake_views(b) -> list:
+    """One view ``v_<table>`` each, for ad-hoc SQL."""
+    tables = lake_tables(b)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"v_{name}")
+    return list(tables)
+
+
+def lake_view_counts(b) -> DataFrame:
+    """Volumes of the lake by SQL over its views."""
+    return b.spark.sql(" UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM v_{t}" for t in register_lake_views(b)))
+
+
+STATEMENTS["lake_view_counts"] = lake_view_counts
 QUERIES = {name: C._b(build) for name, build in {**STATEMENTS, "combat_silver_ingestion_state": silver_ingestion_state}.items()}

@@ -157,6 +157,11 @@ ORACLES = {
                (SELECT CAST(count(*) AS BIGINT) FROM k WHERE nf = (SELECT count(DISTINCT _file) FROM climate_raw))
                  AS fusion_chevauchement_cles
         FROM climate_raw""",
+    "climate_qc_drift": f"""{W}, x AS (SELECT (SELECT count(*) FROM climat_data) AS table_rows,
+            (SELECT {_rr("count(*) FILTER (WHERE temp_min IS NULL) * 100", "count(*)")} FROM climat_data) AS pct_table_null,
+            (SELECT {_rr("count(*) FILTER (WHERE TRY_CAST(TN AS DOUBLE) IS NULL) * 100", "count(*)")} FROM climate_raw) AS pct_raw_null)
+        SELECT CAST(table_rows AS BIGINT) AS table_rows, pct_table_null, pct_raw_null, round(abs(pct_table_null - pct_raw_null), 1) AS gap,
+            CASE WHEN round(abs(pct_table_null - pct_raw_null), 1) < 1.0 THEN 'source' ELSE 'ingestion' END AS verdict FROM x""",
     "climate_qc_transform": f"""{W} SELECT
         CAST(count(*) FILTER (WHERE TRY_CAST(TN AS DOUBLE) IS NULL) AS BIGINT) AS tn_null_brut,
         CAST(count(*) FILTER (WHERE TRY_CAST(TX AS DOUBLE) IS NULL) AS BIGINT) AS tx_null_brut,

@@ -79,3 +79,7 @@ ORACLES = {
         epoch_ms(start_time_ms) AS report_start_at, synced_at, substr(last_error, 1, 500) AS last_error_preview,
         CAST(last_ingest_points AS INTEGER) AS last_ingest_points, fetched_at AS bronze_fetched_at FROM after_run""",
 }
+
+_SIZES = {"ingestion_state": "after_run", "guild_reports": "b_reports", "fights": "b_fights", "reports_raw": "b_reports", "master_info": "b_reports", "master_actors": "b_actors",
+          "master_abilities": "b_abilities", "player_details": "b_player_details", "events": "b_events", "guild_roster": "b_roster"}
+ORACLES["lake_view_counts"] = f"{STATE} " + " UNION ALL ".join(f"SELECT '{t}' AS t, CAST(count(*) AS BIGINT) AS n FROM {source}" for t, source in _SIZES.items())

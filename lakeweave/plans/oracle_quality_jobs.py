@@ -1,6 +1,7 @@
 """DuckDB oracle for the schema tests: each mart's oracle wrapped as a subquery."""
 
 from .oracle_combat import ORACLES as COMBAT
+from .oracle_combat import W
 from .oracle_reference import ORACLES as REFERENCE
 from .quality_jobs import SCHEMA_TESTS
 
@@ -31,3 +32,19 @@ def _checks() -> str:
 
 
 ORACLES = {"gold_schema_tests": _checks()}
+
+
+def _orphans(model, child, parent, keys):
+    on = " AND ".join(f"p.{k} = c.{k}" for k in keys)
+    some = " AND ".join(f"c.{k} IS NOT NULL" for k in keys)
+    return (f"SELECT 'relationships' AS test, '{model}' AS model, '{','.join(keys)}' AS column_name, CAST(count(*) AS BIGINT) AS failures FROM ({child}) c "
+            f"WHERE {some} AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE {on})")
+
+
+_FIGHT = ["report_code", "fight_id"]
+ORACLES["lake_foreign_keys"] = W + " " + " UNION ALL ".join([
+    _orphans("fights", "SELECT * FROM s_fights", "s_reports", ["report_code"]),
+    _orphans("events", "SELECT * FROM s_events", "s_fights", _FIGHT),
+    _orphans("event_sources", "SELECT report_code, source_id AS actor_id FROM s_events", "s_actors", ["report_code", "actor_id"]),
+    _orphans("pet_owners", "SELECT report_code, pet_owner_id AS actor_id FROM s_actors", "s_actors", ["report_code", "actor_id"]),
+    _orphans("pull_combatants", "SELECT * FROM s_pull_combatants", "s_fights", _FIGHT)])

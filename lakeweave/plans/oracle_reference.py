@@ -50,6 +50,8 @@ ORACLES = {
         FROM items GROUP BY gift_theme_valeur""",
     "reference_species": f"{W} SELECT nom, num, nullif(ideal_habitat, '') AS ideal_habitat_valeur FROM species",
     "reference_specialties": f"{W} SELECT DISTINCT unnest(specialties) AS valeur FROM species",
+    "reference_ideal_habitats": f"{W} SELECT DISTINCT ideal_habitat AS valeur FROM species WHERE ideal_habitat <> ''",
+    "reference_favorites": f"{W} SELECT DISTINCT unnest(favorites) AS valeur FROM species",
     "reference_species_specialties": f"""{W} SELECT nom AS species_nom, unnest(specialties) AS specialty_valeur,
             CAST(unnest(generate_series(1, len(specialties))) AS INTEGER) AS ordre FROM species""",
     "reference_species_favorites": f"""{W} SELECT nom AS species_nom, unnest(favorites) AS favorite_valeur,

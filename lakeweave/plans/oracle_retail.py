@@ -80,6 +80,8 @@ ORACLES = {
                  - count(*) FILTER (WHERE NOT s_null AND NOT s_ret AND s_inv)
                  - (SELECT count(*) FROM clean_orders) AS BIGINT) AS removed_duplicates
         FROM t""",
+    "rfm_sample": f"""{W} SELECT customer_id, segment, recency, frequency, round(monetary, 2) AS monetary, rfm_score
+        FROM rfm_scores ORDER BY md5(customer_id || '/42'), customer_id LIMIT 5000""",
     "retail_quality_report": f"""{W} SELECT CAST(count(*) AS BIGINT) AS rows,
         CAST(count(*) FILTER (WHERE customer_id IS NULL) AS BIGINT) AS missing_customer,
         CAST(count(DISTINCT country) AS BIGINT) AS countries,

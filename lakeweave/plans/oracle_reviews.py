@@ -69,6 +69,11 @@ ORACLES = {
     "reviews_search": f"""{W} SELECT review_uid, rating, review_date_parsed FROM reviews_dated
         WHERE rating IN (4, 5) AND regexp_matches(coalesce(review_text, ''), '(?i)le')
           AND review_date_parsed >= DATE '2023-03-01' AND review_date_parsed < DATE '2024-06-30' + INTERVAL 1 DAY""",
+    # the four entities that page titles hold, with and without their semicolon
+    "pages_titles": r"""SELECT page_id, nullif(regexp_replace(replace(replace(replace(replace(
+            regexp_replace(regexp_replace(regexp_replace(t, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;', '&'), '&amp', '&'), '&copy;', '©'), '&middot;', '·'),
+            '^\s+|\s+$', '', 'g'), '') AS title
+        FROM (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t FROM pages)""",
     "pages_links": """SELECT page_id, href, CAST(min(pos) AS INTEGER) AS first_pos,
             lower(regexp_replace(href, '^/+|/+$', '', 'g')) AS slug
         FROM (SELECT page_id, unnest(l) AS href, unnest(generate_series(0, len(l) - 1)) AS pos

@@ -26,7 +26,7 @@ def _whole(payload: str) -> Column:
 
 def _items(df: DataFrame, array: Column, keep: list) -> DataFrame:
     """One row per object of the array: its place and its text."""
-    return df.select(*keep, F.posexplode(array).alias("place", "item")).filter(F.col("item").startswith("{"))
+    return df.select(*keep, F.posexplode(array).alias("place", "item")).filter(F.col("item").startswith("{") & F.json_object_keys("item").isNotNull())
 
 
 def event_rows(pages: DataFrame) -> DataFrame:

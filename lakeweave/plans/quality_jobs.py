@@ -7,10 +7,11 @@ Each check is one aggregate pass per mart; the result is a small table
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import materialize
-from ..operators.quality import (expect_accepted_values, expect_not_empty, expect_not_null, expect_unique,
-                                 union_results)
+from ..operators.quality import (expect_accepted_values, expect_foreign_key, expect_not_empty, expect_not_null,
+                                 expect_unique, union_results)
 from . import combat as C
 from .reference import sales_daily_kpis, silver_sales
 from ..sources import fixtures as fx
@@ -63,4 +64,19 @@ def schema_tests_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_schema_tests(built)
 
 
-QUERIES = {"gold_schema_tests": schema_tests_job}
+def foreign_key_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9: relationships of the lake; pets whose owner isn't in the report are found here."""
+    b = C.Bronze(spark, sf_dir)
+    reports, fights, actors = C.silver_reports(b), C.silver_fights(b), C.silver_actors(b)
+    owner = actors.select("report_code", F.col("pet_owner_id").alias("actor_id"))
+    source = C.silver_events(b).select("report_code", F.col("source_id").alias("actor_id"))
+    checks = [
+        expect_foreign_key(fights, reports, ["report_code"], "fights"),
+        expect_foreign_key(C.silver_events(b), fights, ["report_code", "fight_id"], "events"),
+        expect_foreign_key(source, actors, ["report_code", "actor_id"], "event_sources"),
+        expect_foreign_key(owner, actors, ["report_code", "actor_id"], "pet_owners"),
+        expect_foreign_key(C.silver_pull_combatants(b), fights, ["report_code", "fight_id"], "pull_combatants")]
+    return union_results([f.select("test", "model", "column_name", "failures") for f in checks])
+
+
+QUERIES = {"gold_schema_tests": schema_tests_job, "lake_foreign_keys": foreign_key_job}

@@ -113,6 +113,8 @@ QUERIES = {
     "reference_items_by_theme": items_by_theme,
     "reference_species": lambda s, d: species_tables(s, d)["species"],
     "reference_specialties": lambda s, d: species_tables(s, d)["specialty"],
+    "reference_ideal_habitats": lambda s, d: species_tables(s, d)["ideal_habitat"],
+    "reference_favorites": lambda s, d: species_tables(s, d)["favorite"],
     "reference_species_specialties": species_specialties,
     "reference_species_favorites": lambda s, d: species_tables(s, d)["species_favorite"],
     "reference_favorite_themes": match_favorites_to_themes,

@@ -288,7 +288,7 @@ def rfm_top_customers(scores: DataFrame, n: int = 25) -> DataFrame:
 
 def rfm_sample(scores: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
     """Stable sample of at most n customers (hash order, same every run)."""
-    return (scores.orderBy(F.xxhash64(F.col("customer_id"), F.lit(seed)), "customer_id").limit(n)
+    return (scores.orderBy(F.md5(F.concat(F.col("customer_id"), F.lit(f"/{seed}"))), "customer_id").limit(n)
                   .select("customer_id", "segment", "recency", "frequency",
                           F.round("monetary", 2).alias("monetary"), "rfm_score"))
 

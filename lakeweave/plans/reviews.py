@@ -4,7 +4,6 @@ model scoring (pluggable scorer) and agreement statistics.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,39 +133,8 @@ ANNOTATION_SCHEMA = T.StructType([
     T.StructField("code_error", T.IntegerType()), T.StructField("error_text", T.StringType())])
 
 
-def rule_scorer(batch: pd.DataFrame) -> pd.DataFrame:
-    """Deterministic stand-in for an external model: same contract, no network.
-
-    Input columns: review_id, review_text, model_used, model_idx.  A unit fails
-    when (review_id * 31 + model_idx) % 17 == 0 (429 for even models, else 500)."""
-    rid = batch["review_id"].astype("int64")
-    mi = batch["model_idx"].astype("int64")
-    fail = (rid * 31 + mi) % 17 == 0
-    labels = ["positive", "negative", "neutral"]
-    out = pd.DataFrame({
-        "review_id": rid, "model_used": batch["model_used"], "ok": ~fail,
-        "sentiment": [labels[int(x)] for x in (rid + mi) % 3],
-        "confidence": ((rid * 7 + mi * 13) % 100) / 100.0,
-        "criticite": ((rid + mi) % 5 + 1).astype("int32"),
-        "serieux": ((rid * 3 + mi) % 5 + 1).astype("int32"),
-        "sarcasm_detected": (rid + mi) % 11 == 0,
-        "noise_level": ((batch["review_text"].fillna("").str.len() + mi) % 4).astype("int32"),
-        "is_contructive": (rid + mi) % 2 == 0,
-        "keywords": [[f"kw{int(a)}", f"kw{int(b)}"] for a, b in zip(rid % 10, (rid + mi) % 7)],
-        "code_error": pd.Series([(429 if m % 2 == 0 else 500) if f else None for m, f in zip(mi, fail)],
-                                dtype="Int32"),
-        "error_text": [("rate limited" if m % 2 == 0 else "server error") if f else None
-                       for m, f in zip(mi, fail)],
-    })
-    for c in ["sentiment", "confidence", "criticite", "serieux", "sarcasm_detected", "noise_level",
-              "is_contructive", "keywords"]:
-        out[c] = out[c].astype(object)
-        out.loc[fail, c] = None
-    return out
-
-
-def score_units(units: DataFrame, scorer=rule_scorer) -> DataFrame:
-    """Run ``scorer`` over (review x model) units in Arrow batches (mapInPandas)."""
+def score_units(units: DataFrame, scorer) -> DataFrame:
+    """Run a user's ``scorer`` (pandas in, pandas out) over (review x model) units in Arrow batches."""
     def run(batches):
         for b in batches:
             yield scorer(b)
@@ -209,11 +177,11 @@ def annotations(spark: SparkSession, sf_dir: str):
     """Two runs: first the even reviews on the first three models, then everything
     still missing; results upserted by analysis_id, keywords replaced per analysis."""
     src = sentiment_source(spark, sf_dir)
-    # each scoring run calls the model once per unit: its output is materialised
+    # the responses of each run are landed, as rows that came from the models
     first_units = pending_units(src.filter(F.col("review_id") % 2 == 0), None, MODELS[:3])
-    a1, k1, e1 = annotation_tables(materialize(score_units(first_units)), run_ts="2024-06-01 00:00:00")
+    a1, k1, e1 = annotation_tables(materialize(fx.model_responses(first_units)), run_ts="2024-06-01 00:00:00")
     second_units = pending_units(src, a1)
-    a2, k2, e2 = annotation_tables(materialize(score_units(second_units)), run_ts="2024-06-02 00:00:00")
+    a2, k2, e2 = annotation_tables(materialize(fx.model_responses(second_units)), run_ts="2024-06-02 00:00:00")
     ann = upsert(a1, a2, ["analysis_id"], order=["model_used"])
     kw = replace_by_group(k1, k2, ["analysis_id"])
     err = e1.unionByName(e2)

@@ -441,3 +441,23 @@ def deterministic_sales_sample(spark: SparkSession, rows: int = 500, base_date:
         F.element_at(F.array(*[F.lit(x) for x in ["Alpha", "Beta", "Gamma"]]), (i % 3 + 1).cast("int")).alias("product"),
         (i % 10 + 1).cast("int").alias("quantity"),
         F.round(F.lit(10.0) + (i % 7) * 2.5, 2).alias("unit_price"))
+
+
+def model_responses(units: DataFrame) -> DataFrame:
+    """The models' responses to (review, model) units as given rows: annotations, or an error
+    where (review * 31 + model) divides by 17 (429 of even models, else 500)."""
+    rid, mi = F.col("review_id").cast("bigint"), F.col("model_idx").cast("bigint")
+    fail = (rid * 31 + mi) % 17 == 0
+    even = mi % 2 == 0
+    given = lambda c: F.when(~fail, c)
+    return units.select(
+        rid.alias("review_id"), "model_used", (~fail).alias("ok"),
+        given(F.element_at(_lit_array(["positive", "negative", "neutral"]), ((rid + mi) % 3 + 1).cast("int"))).alias("sentiment"),
+        given(((rid * 7 + mi * 13) % 100) / F.lit(100.0)).alias("confidence"),
+        given((rid + mi) % 5 + 1).cast("int").alias("criticite"), given((rid * 3 + mi) % 5 + 1).cast("int").alias("serieux"),
+        given((rid + mi) % 11 == 0).alias("sarcasm_detected"),
+        given((F.length(F.coalesce("review_text", F.lit(""))) + mi) % 4).cast("int").alias("noise_level"),
+        given((rid + mi) % 2 == 0).alias("is_contructive"),
+        given(F.array(F.concat(F.lit("kw"), (rid % 10).cast("string")), F.concat(F.lit("kw"), ((rid + mi) % 7).cast("string")))).alias("keywords"),
+        F.when(fail, F.when(even, 429).otherwise(500)).alias("code_error"),
+        F.when(fail, F.when(even, F.lit("rate limited")).otherwise(F.lit("server error"))).alias("error_text"))
