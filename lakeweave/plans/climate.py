@@ -18,6 +18,7 @@ from ..operators.dedupe import keep_last_rows
 from ..operators.quality import ratio_round
 from ..sources.fixtures import climate_raw
 from ..sources.sinks import upsert
+from ..sources.tables import kept
 
 KEY = ["station_id", "date_mesure"]
 
@@ -224,10 +225,13 @@ def period_series(clim: DataFrame, month_from: int = 11, month_to: int = 2) -> D
 def station_labels(clim: DataFrame) -> DataFrame:
     """Name, or 'name (id)' when several stations share the name."""
     st = clim.groupBy("station_id").agg(F.max("station_nom").alias("station_nom"))
-    shared = F.count(F.lit(1)).over(Window.partitionBy("station_nom")) > 1
+    # counts per name joined back: a name that most stations share is one partial count, not one window
+    names = st.groupBy("station_nom").agg((F.count(F.lit(1)) > 1).alias("_shared"))
+    st = st.join(names, st["station_nom"].eqNullSafe(names["station_nom"])).drop(names["station_nom"])
+    shared = F.col("_shared")
     return st.withColumn("label", F.when(shared, F.format_string("%s (%d)", F.col("station_nom"),
                                                                   F.col("station_id")))
-                                   .otherwise(F.col("station_nom")))
+                                   .otherwise(F.col("station_nom"))).drop("_shared")
 
 
 # ------------------------------------------------------------------ explorations
@@ -372,9 +376,9 @@ def qc_drift(raw: DataFrame, table: DataFrame, limit: float = 1.0) -> DataFrame:
     """Q7: does the stored table miss more minima than the deliveries did?  Under ``limit``
     points of difference the NULLs come from the source, else from ingestion."""
     seen = raw.agg(ratio_round(F.count_if(_num("TN").isNull()) * 100, F.count(F.lit(1)), 1)).scalar()
-    kept = table.agg(F.count(F.lit(1)).alias("table_rows"), ratio_round(F.count_if(F.col("temp_min").isNull()) * 100, F.count(F.lit(1)), 1).alias("pct_table_null"))
+    counts = table.agg(F.count(F.lit(1)).alias("table_rows"), ratio_round(F.count_if(F.col("temp_min").isNull()) * 100, F.count(F.lit(1)), 1).alias("pct_table_null"))
     gap = F.round(F.abs(F.col("pct_table_null") - F.col("pct_raw_null")), 1)
-    return kept.withColumn("pct_raw_null", seen).withColumn("gap", gap).withColumn(
+    return counts.withColumn("pct_raw_null", seen).withColumn("gap", gap).withColumn(
         "verdict", F.when(F.col("gap") < limit, F.lit("source")).otherwise(F.lit("ingestion")))
 
 
@@ -398,11 +402,12 @@ def station_completeness(raw: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ registered queries
 def _c(spark, sf):
-    return climat_data(spark, sf)
+    """The curated table as stored: gold jobs read it, only ``climate_curate`` builds it."""
+    return kept(spark, sf, "climat_data", lambda: climat_data(spark, sf))
 
 
 QUERIES = {
-    "climate_curate": _c,
+    "climate_curate": climat_data,
     "climate_upsert": climate_upsert,
     "climate_records": lambda s, d: records_per_station(_c(s, d)),
     "climate_evolution": lambda s, d: evolution(_c(s, d)),

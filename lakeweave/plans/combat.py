@@ -23,8 +23,8 @@ from ..functions.labels import (BUFF_TYPES, CAST_TYPES, consumable_type, content
                                 difficulty_label)
 from ..operators.intervals import uptime_from_transitions
 from ..operators.joins import any_join_by_priority
-from ..session import materialize
 from ..sources import fixtures as fx
+from ..sources.tables import kept
 
 EVENT_JSON_SCHEMA = T.StructType([
     T.StructField("amount", T.LongType()), T.StructField("unmitigatedAmount", T.LongType()),
@@ -56,8 +56,6 @@ class Bronze:
     filters, as in production.  Events are sorted by report, fight and type
     inside their files."""
 
-    _landed: dict = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True):
         self.spark, self.sf_dir, self.land = spark, sf_dir, land
 
@@ -67,20 +65,15 @@ class Bronze:
         fn = getattr(fx, f"combat_{name}_bronze")
         if not self.land:
             return fn(self.spark, self.sf_dir)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in Bronze._landed:
+
+        def build():
             df = fn(self.spark, self.sf_dir)
-            if name == "events":
-                df = df.sortWithinPartitions("report_code", "fight_id", "event_type", "timestamp_ms")
-            Bronze._landed[key] = materialize(df, f"bronze-{name}")
-        return Bronze._landed[key]
+            return df.sortWithinPartitions("report_code", "fight_id", "event_type", "timestamp_ms") if name == "events" else df
+        return kept(self.spark, self.sf_dir, f"bronze-{name}", build)
 
     def keep(self, name: str, build) -> DataFrame:
         """A silver or gold table of this lake, built once per session and then read as Parquet."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in Bronze._landed:
-            Bronze._landed[key] = materialize(build(self), name)
-        return Bronze._landed[key]
+        return kept(self.spark, self.sf_dir, name, lambda: build(self))
 
 
 def _stored(build):

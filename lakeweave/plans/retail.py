@@ -18,6 +18,7 @@ from ..operators.ranking import (exact_quantiles, global_row_number, qcut_bin,
                                  qcut_edges, rank_first_bin)
 from ..session import materialize
 from ..sources.fixtures import retail_lines
+from ..sources.tables import kept
 
 RAW_COLUMNS = ["invoice", "stock_code", "description", "quantity",
                "invoice_date", "price", "customer_id", "country"]
@@ -298,18 +299,28 @@ def _clean(spark, sf):
     return clean_orders(retail_lines(spark, sf))
 
 
+def _lines(spark, sf):
+    """The clean lines as stored; only ``retail_clean_orders`` builds them."""
+    return kept(spark, sf, "clean_orders", lambda: _clean(spark, sf))
+
+
+def _scored(spark, sf):
+    return add_rfm_scores(compute_rfm(_lines(spark, sf)))
+
+
 def _scores(spark, sf):
-    return add_rfm_scores(compute_rfm(_clean(spark, sf)))
+    """The score table as stored: views and dashboards read it."""
+    return kept(spark, sf, "rfm_scores", lambda: _scored(spark, sf))
 
 
 QUERIES = {
     "retail_clean_orders": _clean,
-    "rfm_scores": lambda s, d: present_scores(_scores(s, d)),
+    "rfm_scores": lambda s, d: present_scores(_scored(s, d)),
     "v_rfm_segmentation": lambda s, d: present_scores(v_rfm_segmentation(_scores(s, d))),
-    "dim_client": lambda s, d: dim_client(_clean(s, d)),
-    "dim_produit": lambda s, d: dim_produit(_clean(s, d)),
-    "dim_facture": lambda s, d: dim_facture(_clean(s, d)),
-    "fact_lignes": lambda s, d: fact_lignes(_clean(s, d)),
+    "dim_client": lambda s, d: dim_client(_lines(s, d)),
+    "dim_produit": lambda s, d: dim_produit(_lines(s, d)),
+    "dim_facture": lambda s, d: dim_facture(_lines(s, d)),
+    "fact_lignes": lambda s, d: fact_lignes(_lines(s, d)),
     "fact_orders": lambda s, d: _fact_orders(s, d),
     "rfm_kpis": lambda s, d: rfm_kpis(_scores(s, d)),
     "rfm_segment_stats": lambda s, d: rfm_segment_stats(_scores(s, d)),
@@ -325,6 +336,4 @@ QUERIES = {
 
 
 def _fact_orders(spark, sf):
-    # the cleaned lines feed both the scores and the facts: materialise once
-    clean = materialize(_clean(spark, sf))
-    return fact_orders(clean, add_rfm_scores(compute_rfm(clean)))
+    return fact_orders(_lines(spark, sf), _scores(spark, sf))

@@ -59,6 +59,6 @@ def export_csv_tables(tables: dict, out_dir: str, skip_empty: bool = True) -> li
 
 
 def export_json(df: DataFrame, path: str) -> str:
-    """A (small) report frame as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """A report frame as JSON lines, one file per partition."""
+    df.write.mode("overwrite").json(path)
     return path

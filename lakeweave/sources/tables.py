@@ -22,6 +22,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+_KEPT: dict = {}
+
+
+def kept(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived table of one input folder (taken as unchanging), built once per session and
+    then read as stored Parquet: marts read stored silver and curated tables."""
+    from ..session import materialize
+
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT:
+        _KEPT[key] = materialize(build(), name)
+    return _KEPT[key]
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
     """One temp view per lake table so ad-hoc SQL can run on them."""
     for name in names:
