@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lakeweave.llm import bpe, components, decontaminate, licenses, ngram_join, perplexity, pii, quality_net, style_tree, substrings, warc
 from lakeweave.llm.base import shared_path
@@ -204,6 +206,31 @@ def test_kneser_ney_probabilities(docs):
     # languages in several groups give the same as together
     one, many = (sorted((r["doc_id"] or -1, r["log_perplexity"]) for r in perplexity.measured(docs, model, entries=n).collect()) for n in (10**7, 10))
     assert one == many
+    # and so do languages dealt by shares, also for texts of which the model knows nothing
+    more = docs.unionByName(docs.limit(3).withColumn("text", F.lit("Zyx qwv #7 \u00df\u00df jjk")).withColumn("doc_id", F.lit(99).cast("long")))
+    sizes = {r["lang"]: r["count"] for r in model.groupBy("lang").count().collect()}
+    most = max(sizes.values()) // 3
+    plan = perplexity.passes(model, most=most)
+    assert len(plan) > 2 and all(sorted(x for units in plan for x in units.get(lang) or []) == list(range(perplexity.SHARES)) for lang, n in sizes.items() if n > most)
+    one, many = (sorted((r["doc_id"] or -1, r["log_perplexity"], r["n_words"]) for r in perplexity.measured(more, model, most=n).collect()) for n in (10**7, most))
+    assert len(one) == len(many) and np.allclose(np.array(one), np.array(many), rtol=1e-6)
+
+
+def test_symbol_runs_are_counted_whole():
+    """Tasks that must hand on early lose no count."""
+    r = random.Random(3)
+    lines = ["".join(r.choice("abc dE9,é") for _ in range(r.randrange(80))) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array([["", "en"][i % 2] for i in range(200)]), pa.array(lines)], names=["lang", "text"])
+    want = {}
+    for lang, code, _, _ in perplexity._by_language(batch, pa.array(lines, pa.large_string())):
+        for c in code.tolist():
+            want[lang, c] = want.get((lang, c), 0) + 1
+    for held in (10, 300, 10**6):
+        got = {}
+        for b in perplexity._counts(held)(iter([batch.slice(i, 20) for i in range(0, 200, 20)])):
+            for row in b.to_pylist():
+                got[row["lang"], row["run"]] = got.get((row["lang"], row["run"]), 0) + row["n"]
+        assert got == want
 
 
 def test_license_scan(docs, empty, texts):
