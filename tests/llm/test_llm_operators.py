@@ -216,6 +216,38 @@ def test_kneser_ney_probabilities(docs):
     assert len(one) == len(many) and np.allclose(np.array(one), np.array(many), rtol=1e-6)
 
 
+def test_texts_are_scored_without_their_copies(spark):
+    r = random.Random(11)
+    some = ["".join(r.choice("abcde fgh, X7") for _ in range(r.randrange(40, 120))) for _ in range(30)]
+    every = some + some[:1] * 60 + some[1:2]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(every)], "doc_id long, text string, lang string").repartition(3)
+    model = perplexity.estimate(docs)
+    whole = perplexity._models(tuple(perplexity._packed(model)))["en"]
+    got = by_id(perplexity.measured(docs, model))
+    runs_of = lambda t: perplexity.codes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
+    for i, text in enumerate(every[:5] + every[-2:]):
+        # the counts of a corpus without the text, with the discounts of the whole one
+        rest, levels = np.concatenate([runs_of(t) for t in every if t != text]), {}
+        for order in range(perplexity.ORDER, 0, -1):
+            run, raw = np.unique(rest & ((1 << 5 * order) - 1), return_counts=True)
+            above = levels[order + 1][0] & ((1 << 5 * order) - 1) if order < perplexity.ORDER else None
+            levels[order] = (run, raw if above is None else np.unique(above, return_counts=True)[1], raw)
+        plain = perplexity.Model(levels, {order: d[1:] for order, d in whole.discounts.items()})
+        want = -plain.log_probability(runs_of(text)).mean()
+        assert abs(got[every.index(text)][0]["log_perplexity"] - want) < 1e-9, i
+
+
+def test_bands_hold_a_fixed_share(spark):
+    """Both ends are quantiles; documents that fail the base rules don't move them."""
+    row = lambda i, x, repeated: (i, "en", 100, repeated, 600, x)
+    rows = [row(i, 2 + i / 1000, 0) for i in range(1000)] + [row(i, 0.1, 90) for i in range(1000, 1400)]
+    scores = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, n_repeat_words long, symbols long, log_perplexity double")
+    limits = perplexity.bands(scores)
+    away = (F.col("log_perplexity") - F.col("mid")) / perplexity._spread()
+    kept = scores.where("n_repeat_words = 0").join(limits, "lang").where(away.between(F.col("low"), F.col("high"))).count()
+    assert abs(kept - 1000 * (1 - 2 * perplexity.TAIL)) < 8
+
+
 def test_symbol_runs_are_counted_whole():
     """Tasks that must hand on early lose no count."""
     r = random.Random(3)
