@@ -1,11 +1,15 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a document, a template one notice or clause.  Tokens are ordered
+A block is a line of a document, or a stretch of words over several lines (notices are
+wrapped) that is no longer than the template allows; a template is one notice or clause.  Tokens are ordered
 by how often they stand in the corpus, the rarest first.  A block holds a template
 when it has at least ``CONTAINMENT`` of the template's tokens; then their prefixes in
 that order share a token, the block is long enough, and enough tokens stand behind the
 shared one: the three filters leave few candidates, and those are verified on their
-whole sets.  Nothing is estimated: every block that meets the threshold is found.
+whole sets.  A stretch over lines may have 1 / ``CONTAINMENT`` as many words as the template
+(its words need not all be the template's); one counting pass leaves the stretches with enough
+words of the template, and their sets are verified where they are found.  Nothing is
+estimated: every block that meets the threshold is found.
 
 The templates are a fixed list (its size is the bound of what is broadcast).
 
@@ -107,8 +111,23 @@ def token_order(docs: DataFrame, texts: list[str]) -> list[int]:
     return ranks
 
 
-def _scan(texts: list[str], phrases: list[tuple[list[int], str]], ranks: list[int], prefix: list[int]):
-    """Base columns of each document, and the lines that hold a token of some template's prefix."""
+def _wrapped(number: np.ndarray, doc: np.ndarray, line: np.ndarray, ends: np.ndarray, tokens: list[int], need: int, length: int) -> dict[int, int]:
+    """Texts with a stretch of up to ``length`` words over several lines that holds ``need`` of the tokens, and the most it holds."""
+    inside = np.isin(number, tokens)
+    upto = np.concatenate([[0], np.cumsum(inside)])
+    begin = np.flatnonzero(inside)
+    end = np.minimum(begin + length, ends[doc[begin]])
+    chosen = (upto[end] - upto[begin] >= need) & (line[begin] != line[end - 1])
+    out: dict[int, int] = {}
+    for a, b in zip(begin[chosen].tolist(), end[chosen].tolist()):
+        held = len(np.unique(number[a:b][inside[a:b]]))
+        if held >= need:
+            out[int(doc[a])] = max(out.get(int(doc[a]), 0), held)
+    return out
+
+
+def _scan(texts: list[str], phrases: list[tuple[list[int], str]], ranks: list[int], prefix: list[int], stretches: list[tuple[list[int], int, int]]):
+    """Base columns of each document, the lines that hold a token of some template's prefix, and the templates wrapped over lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, rank = _Lexicon(texts), np.array(ranks)
@@ -119,7 +138,7 @@ def _scan(texts: list[str], phrases: list[tuple[list[int], str]], ranks: list[in
             for part, texts_ in pieces(batch):
                 words = Words(texts_, ALNUM, lower=True)
                 number, n = lexicon.number(words), part.num_rows
-                doc, line = words.doc, None
+                doc = words.doc
                 places: list[tuple[np.ndarray, str]] = []
                 for tokens, label in phrases:
                     at = np.flatnonzero(number[:len(number) - len(tokens) + 1] == tokens[0]) if len(number) >= len(tokens) else np.zeros(0, np.int64)
@@ -149,11 +168,17 @@ def _scan(texts: list[str], phrases: list[tuple[list[int], str]], ranks: list[in
                     cuts = np.flatnonzero(np.diff(line[at], prepend=-1, append=-1))
                     for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
                         blocks[doc[at[a]]].append(np.unique(r[a:b]).tolist())
+                wrapped: list[list[dict[str, int]]] = [[] for _ in range(n)]
+                if len(known):
+                    for template, (tokens, need, length) in enumerate(stretches):
+                        for d, shared in _wrapped(number, doc, line, words.first[1:], tokens, need, length).items():
+                            wrapped[d].append({"template": template, "shared": shared})
                 null = lambda v: pa.array(v.astype(np.int64), mask=v < 0)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(row, row + n)), column(part, "doc_id"), pa.array(words.count.astype(np.int64)), pa.array(count.astype(np.int64)),
-                    null(first), null(last), pa.array([sorted(x) for x in labels], pa.list_(pa.string())), pa.array(blocks, pa.list_(pa.list_(pa.int32())))],
-                    names=["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "found", "blocks"])
+                    null(first), null(last), pa.array([sorted(x) for x in labels], pa.list_(pa.string())), pa.array(blocks, pa.list_(pa.list_(pa.int32()))),
+                    pa.array(wrapped, pa.list_(pa.struct([("template", pa.int32()), ("shared", pa.int32())])))],
+                    names=["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "found", "blocks", "wrapped"])
                 row += n
     return run
 
@@ -169,9 +194,10 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     sets = [sorted({ranks[t] for t in tokens}) for tokens in lexicon.of[:len(templates)]]
     need = [max(1, math.ceil(containment * len(s) - 1e-9)) for s in sets]
     prefixes = [s[:len(s) - o + 1] for s, o in zip(sets, need)]
+    stretches = [(sorted(set(tokens)), o, math.ceil(len(tokens) / containment - 1e-9)) for tokens, o in zip(lexicon.of, need)]
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    scanned = stored(source.mapInArrow(_scan(texts, phrases, ranks, sorted({r for p in prefixes for r in p})), (
-        "row long, doc_id long, n_words long, n_base long, first_word long, last_word long, found array<string>, blocks array<array<int>>")), "licenses")
+    scanned = stored(source.mapInArrow(_scan(texts, phrases, ranks, sorted({r for p in prefixes for r in p}), stretches), (
+        "row long, doc_id long, n_words long, n_base long, first_word long, last_word long, found array<string>, blocks array<array<int>>, wrapped array<struct<template: int, shared: int>>")), "licenses")
 
     rows = [(i, label, s, len(s), o, r, k) for i, ((label, _), s, o, p) in enumerate(zip(templates, sets, need, prefixes)) for k, r in enumerate(p)]
     index = spark.createDataFrame(rows, "template int, label string, tokens array<int>, size int, need int, token int, place int")
@@ -182,11 +208,14 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     candidates = begins.join(F.broadcast(index), "token").where((F.col("length") >= F.col("need")) & (after >= F.col("need"))) \
         .select("row", "template", "label", "block", "tokens", "size", "need").dropDuplicates(["row", "template", "block"])
     shared = F.size(F.array_intersect("block", "tokens"))
-    matches = candidates.withColumn("shared", shared).where(F.col("shared") >= F.col("need")).groupBy("row").agg(
+    in_lines = candidates.withColumn("shared", shared).where(F.col("shared") >= F.col("need")).select("row", "label", "shared", "size")
+    named = spark.createDataFrame([(i, label, len(s)) for i, ((label, _), s) in enumerate(zip(templates, sets))], "template int, label string, size int")
+    over_lines = scanned.select("row", F.explode("wrapped").alias("w")).select("row", "w.*").join(F.broadcast(named), "template").select("row", "label", "shared", "size")
+    matches = in_lines.unionByName(over_lines).groupBy("row").agg(
         F.collect_set("label").alias("more"), F.max(F.col("shared") / F.col("size")).alias("best"))
     some = F.coalesce("more", F.array().cast("array<string>"))
     score = F.greatest(F.coalesce("best", F.lit(0.0)), F.when(F.size("found") > 0, F.lit(1.0)).otherwise(0.0))
-    return scanned.drop("blocks").join(matches, "row", "left").select(
+    return scanned.drop("blocks", "wrapped").join(matches, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("found", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("found", some)), ",").alias("labels"), score.alias("score"))
 

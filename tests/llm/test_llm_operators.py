@@ -290,6 +290,23 @@ def test_license_scan(docs, empty, texts):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    import textwrap
+
+    rows = []
+    for width in (1, 20, 40, 72):
+        for label, template in licenses.TEMPLATES:
+            lines = textwrap.wrap(template, width, break_long_words=False, break_on_hyphens=False)
+            rows.append((len(rows), "Some words before.\n" + "\r\n".join(" * " + x for x in lines) + "\nand words after", label))
+    # the words stand in neighbouring lines, but not as one notice
+    rows.append((len(rows), "Licensed under the Apache License, Version 2.0.\nMIT License and all of the\nrights of authors are reserved", "apache-2.0"))
+    got = by_id(licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string, label string").repartition(3)))
+    for i, _, label in rows:
+        assert label in got[i][0]["labels"].split(",") and got[i][0]["score"] == 1.0, (i, label)
+    last = got[len(rows) - 1][0]["labels"]
+    assert "mit-notice" not in last and "all-rights-reserved" not in last
+
+
 def plain_spans(t):
     out = [(m.start(), m.end(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), m.end(), 1) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
