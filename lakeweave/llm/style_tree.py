@@ -5,9 +5,11 @@ id without digits).  For every path of a host the tree knows on how many pages i
 stands, with which child styles (presentation) and which text features (content).
 Both get an importance from their entropy over the pages: what is spread evenly over
 the pages of a site, as menus and notices are, tells little.  A branch is removed
-from each page when its importance is low, or when its tag or name gives it away as
+from each page when its importance is low, or when its tag gives it away as
 page furniture; where a page has an article (or main) element, what stands outside
-is furniture too.
+is furniture too.  A telling name (class or id) never decides alone: it divides the importance
+by ``NAMED``, and a named branch also goes when more than half of its text is links.  Names say
+nothing about an element that contains an article or main element, nor header names inside an article.
 
 importance(E) = (1 - g**l) * presentation(E) + g**l * content(E), with l child styles of
 E, content as the mean over the text features below E of 1 - H(feature), and H in
@@ -35,6 +37,8 @@ from .words import pieces
 
 THRESHOLD = 0.3
 GAMMA = 0.9
+#: The importance of a branch with a telling name counts this many times less.
+NAMED = 2
 #: Pages at which a host's own statistics weigh as much as those of all hosts.
 PRIOR = 20
 #: Pages on which a path must stand before its entropy can remove it.
@@ -50,6 +54,7 @@ ROOT = frozenset("article main".split())
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|"
     r"comments?|respond|replies|share|sharing|social|related|recommended|pagination|pager|toolbar|widget|login|signup|search|skip|copyright|disclaimer)(?:$|[\s_-])", re.I)
+HEADERS = re.compile(r"(?<![^\s_-])(?:header|masthead)(?![^\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PIECE = re.compile(r"[|·•»›–—]")
@@ -57,12 +62,17 @@ _SPACE = re.compile(r"\s+")
 
 
 class Page:
-    """The blocks of a page in order: (path of the block, text, in an article, page furniture)."""
+    """The blocks of a page in order: (path of the block, text, in an article, page furniture, named elements around it)."""
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[tuple[str, ...], str, bool, bool]] = []
+        self.blocks: list[tuple[tuple[str, ...], str, bool, bool, tuple[int, ...]]] = []
+        #: Of every element with a telling name: its path, its letters, those in links, and whether it contains an article.
+        self.named: list[list] = []
+        self._names: list[int] = []
+        self._link = False
+        self._links = 0
         self.children: dict[tuple[str, ...], list[str]] = {}
-        self._stack: list[tuple[str, str, bool]] = []  # tag, style, furniture
+        self._stack: list[tuple[str, bool, bool]] = []  # tag, furniture, named
         self._path: tuple[str, ...] = ()
         self._text: list[str] = []
         self._article = self._noise = self._silent = 0
@@ -74,10 +84,14 @@ class Page:
                 break
             if m.start() > at:
                 self._text.append(html[at:m.start()])
+                if self._link:
+                    self._links += len("".join(unescape(html[at:m.start()]).split()))
             at = m.end()
             if m[2] is None:
                 continue
             tag = m[2].lower()
+            if tag == "a":
+                self._link = not m[1]
             if m[1]:
                 self._close(tag)
                 continue
@@ -92,20 +106,33 @@ class Page:
         """Ends the block at hand."""
         if self._text:
             if not self._silent and (text := _SPACE.sub(" ", unescape("".join(self._text))).strip()):
-                self.blocks.append((self._path, text, self._article > 0, self._noise > 0))
+                self.blocks.append((self._path, text, self._article > 0, self._noise > 0, tuple(self._names)))
+                letters = len(text) - text.count(" ")
+                for k in self._names:
+                    self.named[k][1] += letters
+                    self.named[k][2] += min(letters, self._links)
             self._text.clear()
+        self._links = 0
 
-    def _push(self, tag: str, style: str, noise: bool) -> None:
-        self._stack.append((tag, style, noise))
+    def _push(self, tag: str, style: str, noise: bool, named: bool) -> None:
+        self._stack.append((tag, noise, named))
         self.children.setdefault(self._path, []).append(style)
         self._path += (style,)
         self.children.setdefault(self._path, [])
+        if tag in ROOT:
+            for k in self._names:
+                self.named[k][3] = True
+        if named:
+            self._names.append(len(self.named))
+            self.named.append([self._path, 0, 0, False])
         self._article += tag in ROOT
         self._noise += noise
         self._silent += tag in SILENT
 
     def _pop(self) -> str:
-        tag, _, noise = self._stack.pop()
+        tag, noise, named = self._stack.pop()
+        if named:
+            self._names.pop()
         self._path = self._path[:-1]
         self._article -= tag in ROOT
         self._noise -= noise
@@ -140,8 +167,9 @@ class Page:
                 else:
                     named.append(re.sub(r"\d+", "#", value.strip("\"'").lower()))
         style = ".".join([tag, *sorted(named)])
-        noise = hidden or tag in FURNITURE and not (tag == "header" and self._article) or any(NAMES.search(x) for x in named) and tag not in ("html", "body", "article", "main")
-        self._push(tag, style, noise)
+        noise = hidden or tag in FURNITURE and not (tag == "header" and self._article)
+        telling = (HEADERS.sub(" ", x) if self._article else x for x in named)
+        self._push(tag, style, noise, any(NAMES.search(x) for x in telling) and tag not in ("html", "body", "article", "main"))
 
     def _until(self, tag: str) -> None:
         while self._stack and self._pop() != tag:
@@ -153,10 +181,31 @@ class Page:
             if any(t == tag for t, _, _ in self._stack):
                 self._until(tag)
 
-    def content(self) -> list[tuple[tuple[str, ...], str]]:
-        """Blocks that aren't page furniture: those of the article if there is one."""
-        own = any(article and not noise for _, _, article, noise in self.blocks)
-        return [(path, text) for path, text, article, noise in self.blocks if not noise and (article or not own)]
+    def _own(self, blocks: list) -> list:
+        own = any(article and not noise for _, _, article, noise, _ in blocks)
+        return [b for b in blocks if not b[3] and (b[2] or not own)]
+
+    def _telling(self, k: int) -> bool:
+        return not self.named[k][3]
+
+    def unnamed(self) -> list[tuple[tuple[str, ...], str]]:
+        """Blocks that neither tag nor name calls page furniture (all that no tag does, if there are none)."""
+        own = self._own(self.blocks)
+        return [b[:2] for b in ([b for b in own if not any(map(self._telling, b[4]))] or own)]
+
+    def content(self, low: frozenset[int] = frozenset(), named_low: frozenset[int] = frozenset()) -> list[tuple[tuple[str, ...], str]]:
+        """Blocks that aren't page furniture: those of the article if there is one; without the nodes in ``low``,
+        the named ones in ``named_low`` and the named ones that are mostly links."""
+        gone = {k for k, (path, letters, links, _) in enumerate(self.named)
+                if self._telling(k) and (2 * links > letters or named_low and node(path) in named_low)}
+        kept: dict[tuple[str, ...], bool] = {}
+        out = []
+        for path, text, _, _, names in self._own(self.blocks):
+            if low and path not in kept:
+                kept[path] = not any(node(path[:k]) in low for k in range(1, len(path) + 1))
+            if kept.get(path, True) and not any(k in gone for k in names):
+                out.append((path, text))
+        return out
 
 
 def node(path: tuple[str, ...]) -> int:
@@ -173,12 +222,12 @@ def _describe():
                 for html in texts.to_pylist():
                     page = Page(html)
                     digest = xxhash.xxh3_64()
-                    for path, text in page.content():
+                    for path, text in page.unnamed():
                         digest.update("/".join(path) + "\n" + text + "\n")
                     digests.append(digest.intdigest() - (1 << 63))
                     nodes.append([{"node": node(path), "style": xxhash.xxh3_64_intdigest("/".join(dict.fromkeys(styles))) - (1 << 63)} for path, styles in page.children.items()])
                     count: dict[tuple[tuple[str, ...], str], int] = {}
-                    for path, text, _, _ in page.blocks:
+                    for path, text, *_ in page.blocks:
                         for piece in _PIECE.split(text.lower()):
                             key = (path, piece.strip())
                             count[key] = count.get(key, 0) + 1
@@ -235,15 +284,8 @@ def _extract():
         for batch in batches:
             for part, texts in pieces(batch, "html"):
                 out = []
-                for html, low in zip(texts.to_pylist(), column(part, "low").to_pylist()):
-                    gone = frozenset(low or ())
-                    blocks = Page(html).content()
-                    if gone:
-                        kept: dict[tuple[str, ...], bool] = {}
-                        for path, _ in blocks:
-                            if path not in kept:
-                                kept[path] = not any(node(path[:k]) in gone for k in range(1, len(path) + 1))
-                        blocks = [b for b in blocks if kept[b[0]]]
+                for html, low, named in zip(texts.to_pylist(), column(part, "low").to_pylist(), column(part, "named").to_pylist()):
+                    blocks = Page(html).content(frozenset(low or ()), frozenset(named or ()))
                     out.append("\n".join(text for _, text in blocks))
                 yield pa.RecordBatch.from_arrays([
                     column(part, "page_id"), column(part, "url"), pa.array(out), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
@@ -253,8 +295,10 @@ def _extract():
 def main_text(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GAMMA, least_pages: int = LEAST_PAGES) -> DataFrame:
     """One row per page: page_id, url, text (blocks joined by line feeds) and n_chars."""
     tree = branches(pages, gamma)
-    low = stored(tree.where((F.col("importance") < threshold) & (F.col("m") >= least_pages)).groupBy(F.col("host").alias("of")).agg(F.collect_set("node").alias("low")), "low")
-    return _hosted(pages).join(sized(low, 64, F.size("low") * 8), F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "low").mapInArrow(
+    known = tree.where((F.col("importance") < NAMED * threshold) & (F.col("m") >= least_pages))
+    low = stored(known.groupBy(F.col("host").alias("of")).agg(
+        F.collect_set(F.when(F.col("importance") < threshold, F.col("node"))).alias("low"), F.collect_set("node").alias("named")), "low")
+    return _hosted(pages).join(sized(low, 64, (F.size("low") + F.size("named")) * 8), F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "low", "named").mapInArrow(
         _extract(), "page_id long, url string, text string, n_chars long")
 
 

@@ -507,6 +507,19 @@ def test_style_tree(spark):
     assert style_tree.main_text(df.limit(0)).count() == 0
 
 
+def test_names_do_not_decide_alone(spark):
+    r = random.Random(8)
+    say = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    rows, want = [], {}
+    for i in range(40):
+        a, b, c = say(5), say(15), say(12)
+        html = (f"<body><div class='content with-sidebar'><article><header class='entry-header'><h1>{a}</h1></header><p>{b}</p><div class='notice'>{c}</div>"
+                f"<div class='share'>Tell your friends</div><div class='related'><a href=/1>{say(3)}</a> <a href=/2>{say(3)}</a></div></article></div></body>")
+        rows.append((i, f"http://n{i % 2}.example/{i}", html, "h", "d", "b"))
+        want[i] = f"{a}\n{b}\n{c}"
+    assert {x["page_id"]: x["text"] for x in style_tree.main_text(pages_of(spark, rows).repartition(3)).collect()} == want
+
+
 def test_copies_of_an_article_stay(spark):
     rows = [(i, "http://h.example/", "<body><nav>menu</nav><article><h1>Same title</h1><p>The same words on every page</p></article>", "h", "d", "b") for i in range(40)]
     assert {x["text"] for x in style_tree.main_text(pages_of(spark, rows)).collect()} == {"Same title\nThe same words on every page"}
