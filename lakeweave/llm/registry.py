@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, decontaminate, licenses, ngram_join, perplexity, pii, quality_net, style_tree, substrings, warc
+from . import bpe, decontaminate, licenses, merkle, ngram_join, perplexity, pii, prefix_trie, quality_net, style_tree, substrings, warc
 
 QUERIES = {
     "op1_quality_net": quality_net.op1_quality_net,
@@ -17,6 +17,8 @@ QUERIES = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_warc_bundles": warc.op9_warc_bundles,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,6 +27,8 @@ ORACLES = {
     "op5_substring_dedup": substrings.ORACLE,
     "op9_warc_bundles": warc.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
