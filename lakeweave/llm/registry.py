@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, decontaminate, licenses, merkle, ngram_join, perplexity, pii, prefix_trie, quality_net, style_tree, substrings, warc
+from . import bpe, decontaminate, katz, licenses, merkle, ngram_join, perplexity, pii, prefix_trie, quality_net, style_tree, substrings, warc
 
 QUERIES = {
     "op1_quality_net": quality_net.op1_quality_net,
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_katz_backoff": katz.op13_katz_backoff,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -29,6 +30,7 @@ ORACLES = {
     "op10_decontamination": decontaminate.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_katz_backoff": katz.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
