@@ -80,13 +80,28 @@ def _terms(digests: list[bytes], place: int) -> Iterator[tuple[int, int]]:
         powers = [p * b % P for p, b in zip(powers, BASES)]
 
 
+#: Rows that a pass gathers from many (mostly short) pieces before it gives them out.
+ROWS = 4000
+LISTS = [f"{c}{i}" for i in range(LEVELS) for c in "au"]
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The terms of each piece added up."""
+    out: list[tuple] = []
+
+    def given() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["conv_id", "piece", "a", "b"])
+
     for (conv, piece), rows in groups(batches, "conv_id", "piece"):
         a = b = 0
         for x, y in _terms(rows["digest"].to_pylist(), piece * PIECE):
             a, b = (a + x) % P, (b + y) % P
-        yield pa.RecordBatch.from_pydict({"conv_id": [conv], "piece": [piece], "a": [a], "b": [b]})
+        out.append((conv, piece, a, b))
+        if len(out) >= ROWS:
+            yield given()
+            out = []
+    if out:
+        yield given()
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,31 +109,37 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     a<i>: those at depths divisible by BAND ** i in its band of that level, itself last;
     u<i>: for the root of a band of level i, the nodes of the band above it."""
+    names = ["key", "depth", "conv_id", "words", "parent", *LISTS]
+    types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.list_(pa.binary())] * len(LISTS)]
+    out: list[tuple] = []
+
+    def given() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
     for (conv, piece), rows in groups(batches, "conv_id", "piece"):
         a, b = rows["a"][0].as_py(), rows["b"][0].as_py()
         key = a.to_bytes(8, "big") + b.to_bytes(8, "big")
         bands = [[key] for _ in range(LEVELS)]
-        out: dict[str, list] = {c: [] for c in ("key", "parent", *(f"{c}{i}" for i in range(LEVELS) for c in "au"))}
         depth = piece * PIECE
-        for x, y in _terms(rows["digest"].to_pylist(), depth):
-            out["parent"].append(key)
+        for (x, y), words in zip(_terms(rows["digest"].to_pylist(), depth), rows["words"].to_pylist()):
+            parent = key
             a, b = (a + x) % P, (b + y) % P
             key = a.to_bytes(8, "big") + b.to_bytes(8, "big")
             depth += 1
-            out["key"].append(key)
+            lists: list[list[bytes] | None] = []
             for i in range(LEVELS):
                 own = above = None
                 if depth % BAND ** i == 0:
                     if depth % BAND ** (i + 1) == 0:
                         above, bands[i] = bands[i], []
                     bands[i] = own = [*bands[i], key]
-                out[f"a{i}"].append(own)
-                out[f"u{i}"].append(above)
-        n = len(out["key"])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out["key"], pa.binary()), pa.array(range(piece * PIECE + 1, piece * PIECE + 1 + n), pa.int64()), pa.array([conv] * n, pa.int64()), rows["words"].combine_chunks(), pa.array(out["parent"], pa.binary()),
-             *(pa.array(out[f"{c}{i}"], pa.list_(pa.binary())) for i in range(LEVELS) for c in "au")],
-            names=["key", "depth", "conv_id", "words", "parent", *(f"{c}{i}" for i in range(LEVELS) for c in "au")])
+                lists += (own, above)
+            out.append((key, depth, conv, words, parent, *lists))
+        if len(out) >= ROWS:
+            yield given()
+            out = []
+    if out:
+        yield given()
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
@@ -201,12 +222,11 @@ def rolled_up(nodes: DataFrame) -> DataFrame:
 def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     """One row per node of the trie of the given conversations (turns: conv_id, place, digest, words; convs: conv_id, size)."""
     rows = prefixes(turns)
-    lists = [f"{c}{i}" for i in range(LEVELS) for c in "au"]
-    grouped = rows.groupBy("key", "depth").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"), *(F.any_value(c).alias(c) for c in ("words", "parent", *lists)))
+    grouped = rows.groupBy("key", "depth").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"), *(F.any_value(c).alias(c) for c in ("words", "parent", *LISTS)))
     self_only, none = F.array(F.lit(ROOT)), F.lit(None).cast("array<binary>")
     root = convs.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).where("n_convs > 0").select(
         F.lit(ROOT).alias("key"), F.lit(0).cast("long").alias("depth"), "conv_id", "n_convs", F.lit(0).cast("long").alias("words"), F.lit(None).cast("binary").alias("parent"),
-        *((self_only if c[0] == "a" else none).alias(c) for c in lists))
+        *((self_only if c[0] == "a" else none).alias(c) for c in LISTS))
     nodes = stored(grouped.unionByName(root), "nodes")
     children = nodes.where("depth > 0").groupBy(F.col("parent").alias("key")).agg(F.count(F.lit(1)).alias("n_children"))
     nodes = nodes.join(stored(children, "children"), "key", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
