@@ -30,6 +30,29 @@ def _key(parts: list) -> Column:
     return F.concat(*out)
 
 
+def _exploded(df: DataFrame, columns: list, keys: list) -> DataFrame:
+    """One row per alternative whose key is not NULL: (columns, _prio, _k)."""
+    rows = F.explode(F.array(*[F.struct(F.lit(prio).alias("_prio"), k.alias("_k")) for prio, k in enumerate(keys, start=1)]))
+    return df.select(*columns, rows.alias("_x")).select(*columns, "_x._prio", "_x._k").filter(F.col("_k").isNotNull())
+
+
+def left_keys(left: DataFrame, columns: list, alternatives: list) -> DataFrame:
+    """The keys by which left rows look for a match, by alternative."""
+    keys = []
+    for alt in alternatives:
+        k = _key([item[0] for item in alt if isinstance(item, tuple)])
+        for cond in (item for item in alt if isinstance(item, Column)):
+            k = F.when(cond, k)
+        keys.append(k)
+    return _exploded(left, columns, keys)
+
+
+def right_keys(right: DataFrame, columns: list, alternatives: list) -> DataFrame:
+    """The keys by which right rows are found, by alternative."""
+    keys = [_key([F.col(item[1]) if isinstance(item[1], str) else item[1] for item in alt if isinstance(item, tuple)]) for alt in alternatives]
+    return _exploded(right, columns, keys)
+
+
 def any_join_by_priority(left: DataFrame, right: DataFrame, left_id: list,
                          alternatives: list, pick: list, take: list,
                          prefix: str = "") -> DataFrame:
@@ -45,20 +68,8 @@ def any_join_by_priority(left: DataFrame, right: DataFrame, left_id: list,
     candidate per left row is a ``min_by`` partial aggregate.
     """
     right_cols = list(dict.fromkeys([*take, *pick]))     # ordered, unique
-    lkeys, rkeys = [], []
-    for prio, alt in enumerate(alternatives, start=1):
-        eqs = [item for item in alt if isinstance(item, tuple)]
-        conds = [item for item in alt if isinstance(item, Column)]
-        lk = _key([le for le, _ in eqs])
-        for c in conds:
-            lk = F.when(c, lk)
-        rk = _key([F.col(re) if isinstance(re, str) else re for _, re in eqs])
-        lkeys.append(F.struct(F.lit(prio).alias("_prio"), lk.alias("_k")))
-        rkeys.append(F.struct(F.lit(prio).alias("_prio"), rk.alias("_k")))
-    lx = (left.select(*left_id, F.explode(F.array(*lkeys)).alias("_x"))
-              .select(*left_id, "_x._prio", "_x._k").filter(F.col("_k").isNotNull()))
-    rx = (right.select(*right_cols, F.explode(F.array(*rkeys)).alias("_x"))
-               .select(*right_cols, "_x._prio", "_x._k").filter(F.col("_k").isNotNull()))
+    lx = left_keys(left, left_id, alternatives)
+    rx = right_keys(right, right_cols, alternatives)
     cand = lx.join(rx, ["_prio", "_k"])
     best = (cand.groupBy(*left_id)
                 .agg(F.min_by(F.struct(*take), F.struct("_prio", *pick)).alias("_best"))

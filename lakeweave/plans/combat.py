@@ -163,8 +163,8 @@ def _roster_flags(df: DataFrame) -> DataFrame:
         F.col("roster_character_name").isNotNull() & (F.col("roster_character_name") != ""), 1).otherwise(0))
 
 
-@_stored
-def silver_actors(b: Bronze) -> DataFrame:
+def resolved_actors(b: Bronze) -> DataFrame:
+    """Actors with their pet's owner resolved, before the roster is matched."""
     a = b.actors.select(
         "report_code", F.col("actor_id").cast("int").alias("actor_id"),
         F.col("game_id").cast("bigint").alias("game_id"), "name", "actor_type", "sub_type",
@@ -175,13 +175,16 @@ def silver_actors(b: Bronze) -> DataFrame:
                  F.col("sub_type").alias("_osub"), F.col("game_id").alias("_ogame"))
     r = a.join(o, (F.col("report_code") == F.col("_orc")) & (F.col("pet_owner_id") == F.col("_oid")), "left")
     rtype = F.coalesce("_otype", "actor_type")
-    r = r.select(*a.columns,
-                 F.coalesce("_oname", "name").alias("resolved_player_name"),
-                 rtype.alias("resolved_actor_type"),
-                 F.coalesce("_osub", "sub_type").alias("resolved_class"),
-                 F.when(rtype == "Player", F.coalesce("_ogame", "game_id")).alias("player_guid"))
-    roster = silver_roster(b)
-    alts = [
+    return r.select(*a.columns,
+                    F.coalesce("_oname", "name").alias("resolved_player_name"),
+                    rtype.alias("resolved_actor_type"),
+                    F.coalesce("_osub", "sub_type").alias("resolved_class"),
+                    F.when(rtype == "Player", F.coalesce("_ogame", "game_id")).alias("player_guid"))
+
+
+def actor_matches() -> list:
+    """The four ways an actor is found in the roster, strongest first."""
+    return [
         [(F.col("player_guid"), "player_guid")],
         [(F.col("player_guid"), "canonical_id")],
         [F.col("resolved_actor_type") == "Player", (F.col("actor_id").cast("bigint"), "log_character_id")],
@@ -189,24 +192,32 @@ def silver_actors(b: Bronze) -> DataFrame:
          (_norm(F.col("resolved_player_name")), _norm(F.col("character_name"))),
          (_norm(F.col("server")), _norm(F.col("server_slug")))],
     ]
+
+
+@_stored
+def silver_actors(b: Bronze) -> DataFrame:
     joined = any_join_by_priority(
-        r, roster, ["report_code", "actor_id"], alts,
+        resolved_actors(b), silver_roster(b), ["report_code", "actor_id"], actor_matches(),
         pick=["character_name", "player_guid"], take=["character_name", "guild_name", "guild_rank"], prefix="_gr_")
     joined = joined.withColumnsRenamed({"_gr_character_name": "roster_character_name",
                                         "_gr_guild_name": "player_guild_name", "_gr_guild_rank": "guild_rank"})
     return _roster_flags(joined)
 
 
-@_stored
-def silver_player_details(b: Bronze) -> DataFrame:
-    pd_ = b.player_details.select(
+def plain_player_details(b: Bronze) -> DataFrame:
+    """Player details before the roster is matched."""
+    return b.player_details.select(
         "report_code", "role", F.col("player_id").cast("int").alias("player_actor_id"),
         F.col("player_guid").cast("bigint").alias("player_guid"), "player_name", "server", "region",
         "class_name", F.col("min_item_level").cast("int").alias("min_item_level"),
         F.col("max_item_level").cast("int").alias("max_item_level"),
         F.col("potion_use").cast("int").alias("potion_use"),
         F.col("healthstone_use").cast("int").alias("healthstone_use"))
-    alts = [
+
+
+def detail_matches() -> list:
+    """The four ways a row of player details is found in the roster, strongest first."""
+    return [
         [(F.col("player_guid"), "player_guid")],
         [(F.col("player_guid"), "canonical_id")],
         [(F.col("player_actor_id").cast("bigint"), "log_character_id")],
@@ -214,8 +225,12 @@ def silver_player_details(b: Bronze) -> DataFrame:
          (_norm(F.col("player_name")), _norm(F.col("character_name"))),
          (_norm(F.col("server")), _norm(F.col("server_slug")))],
     ]
+
+
+@_stored
+def silver_player_details(b: Bronze) -> DataFrame:
     joined = any_join_by_priority(
-        pd_, silver_roster(b), ["report_code", "role", "player_actor_id"], alts,
+        plain_player_details(b), silver_roster(b), ["report_code", "role", "player_actor_id"], detail_matches(),
         pick=["character_name", "player_guid"], take=["character_name", "guild_name", "guild_rank"], prefix="_gr_")
     joined = joined.withColumnsRenamed({"_gr_character_name": "roster_character_name",
                                         "_gr_guild_name": "player_guild_name", "_gr_guild_rank": "guild_rank"})

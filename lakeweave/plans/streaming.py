@@ -1,3 +1,5 @@
 """Registry shim: the streaming jobs are registered like any other family."""
 
-from ..streaming.incremental import QUERIES  # noqa: F401
+from ..streaming import incremental, jobs
+
+QUERIES = {**incremental.QUERIES, **jobs.QUERIES}

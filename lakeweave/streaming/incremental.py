@@ -88,25 +88,6 @@ def ingest_and_refresh_silver(spark: SparkSession, source: str, bronze, silver,
     return silver
 
 
-def hourly_event_counts(spark: SparkSession, source: str, table, checkpoint: str, per_trigger: int | None = None):
-    """Tumbling one-hour counts per event type (our extra).
-
-    The table holds the counts of each landed file; a replayed file replaces its own.
-    ``hourly_totals`` sums them, so events of any age count whenever they arrive."""
-    def sink(batch: DataFrame, epoch_id: int) -> None:
-        ts = F.col("ts").cast("timestamp")
-        rows = batch.groupBy(F.col("_landed.file_path").alias("file"), F.window(ts, "1 hour").alias("w"), "event_type").agg(
-            F.count(F.lit(1)).alias("events"), F.sum("value").alias("value_sum"))
-        table.replace_groups(rows.select("file", F.col("w.start").alias("window_start"), "event_type", "events", "value_sum"), ["file"])
-
-    run_available_now(landed_stream(spark, source, per_trigger), sink, checkpoint)
-    return table
-
-
-def hourly_totals(table) -> DataFrame:
-    return table.read().groupBy("window_start", "event_type").agg(F.sum("events").alias("events"), F.sum("value_sum").alias("value_sum"))
-
-
 def climate_daily_upsert(spark: SparkSession, source: str, table, checkpoint: str, curate, per_trigger: int | None = None):
     """T5: each landed daily file is curated and upserted by (station, date); of two
     deliveries of a day in one batch the later file counts."""
@@ -155,15 +136,8 @@ def stream_climate_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return climate_daily_upsert(spark, f"{root}/landing/part=*", table, root + "/checkpoint", curate, per_trigger=1).read()
 
 
-def stream_hourly_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_root(spark, "stream-hourly")
-    t = hourly_event_counts(spark, _events_glob(sf_dir), BucketedTable(spark, root + "/table", ["file"], buckets=16), root + "/checkpoint")
-    return hourly_totals(t).withColumn("value_sum", F.round("value_sum", 2))
-
-
 QUERIES = {
     "stream_bronze_events": stream_bronze_events,
     "stream_bronze_two_batches": stream_bronze_two_batches,
     "stream_climate_upsert": stream_climate_upsert,
-    "stream_hourly_event_counts": stream_hourly_event_counts,
 }

@@ -172,22 +172,6 @@ def test_pages_in_pieces_again_and_grown(spark, scratch):
     assert want.exceptAll(table.read().select(*want.columns)).count() == 0
 
 
-def test_hourly_counts_keep_events_of_any_age(spark, scratch):
-    from lakeweave.sources.sinks import BucketedTable
-    from lakeweave.streaming.incremental import hourly_event_counts, hourly_totals
-
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    half = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
-    newer = F.unix_micros(F.col("ts").cast("timestamp")) >= half
-    land, table = scratch + "/landing", BucketedTable(spark, scratch + "/hourly", ["file"], buckets=4)
-    for k, part in enumerate((newer, ~newer)):                                   # the older half lands last
-        events.filter(part).write.parquet(f"{land}/part={k}")
-        hourly_event_counts(spark, land + "/part=*", table, scratch + "/c")
-    assert hourly_totals(table).agg(F.sum("events")).first()[0] == events.count()
-    hourly_event_counts(spark, land + "/part=*", table, scratch + "/again")      # replay of all files
-    assert hourly_totals(table).agg(F.sum("events")).first()[0] == events.count()
-
-
 def test_a_crash_before_the_commit_leaves_the_table(spark, scratch):
     t = VersionedTable(spark, scratch + "/t")
     t.overwrite(spark.createDataFrame([(1,), (2,)], "a int"))
