@@ -1,4 +1,4 @@
-"""Data-quality operators (Q1-Q4, Q9, A23, A26) and exact ratio rounding.
+"""Data-quality operators (Q1-Q4, Q9, A23) and exact ratio rounding.
 
 Every check is a single aggregate pass returning a small frame of counts;
 no failing rows are collected.
@@ -67,16 +67,3 @@ def expect_foreign_key(child: DataFrame, parent: DataFrame, keys: list, model: s
 
 def union_results(frames: list) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def profile(df: DataFrame) -> DataFrame:
-    """Per column null count, distinct count (exact) in one aggregate pass."""
-    cols = df.columns
-    exprs = []
-    for c in cols:
-        exprs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-                  F.count_distinct(F.col(c)).alias(f"{c}__distinct")]
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *exprs)
-    stack = ", ".join(f"'{c}', `{c}__nulls`, `{c}__distinct`" for c in cols)
-    return wide.selectExpr("__rows AS rows",
-                           f"stack({len(cols)}, {stack}) AS (column_name, nulls, distinct_values)")

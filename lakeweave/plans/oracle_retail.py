@@ -88,5 +88,4 @@ ORACLES = {
         min(invoice_date) AS first_invoice_date, max(invoice_date) AS last_invoice_date,
         CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM retail_typed)) AS BIGINT) AS duplicate_rows
         FROM retail_typed""",
-    "retail_profile": f"""{W} SELECT (SELECT count(*) FROM retail_lines) AS rows, 'invoice' AS column_name, CAST(count(*) FILTER (WHERE invoice IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT invoice) AS BIGINT) AS distinct_values FROM retail_lines UNION ALL SELECT (SELECT count(*) FROM retail_lines) AS rows, 'stock_code' AS column_name, CAST(count(*) FILTER (WHERE stock_code IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT stock_code) AS BIGINT) AS distinct_values FROM retail_lines UNION ALL SELECT (SELECT count(*) FROM retail_lines) AS rows, 'description' AS column_name, CAST(count(*) FILTER (WHERE description IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT description) AS BIGINT) AS distinct_values FROM retail_lines UNION ALL SELECT (SELECT count(*) FROM retail_lines) AS rows, 'quantity' AS column_name, CAST(count(*) FILTER (WHERE quantity IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT quantity) AS BIGINT) AS distinct_values FROM retail_lines UNION ALL SELECT (SELECT count(*) FROM retail_lines) AS rows, 'invoice_date' AS column_name, CAST(count(*) FILTER (WHERE invoice_date IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT invoice_date) AS BIGINT) AS distinct_values FROM retail_lines UNION ALL SELECT (SELECT count(*) FROM retail_lines) AS rows, 'price' AS column_name, CAST(count(*) FILTER (WHERE price IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT price) AS BIGINT) AS distinct_values FROM retail_lines UNION ALL SELECT (SELECT count(*) FROM retail_lines) AS rows, 'customer_id' AS column_name, CAST(count(*) FILTER (WHERE customer_id IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT customer_id) AS BIGINT) AS distinct_values FROM retail_lines UNION ALL SELECT (SELECT count(*) FROM retail_lines) AS rows, 'country' AS column_name, CAST(count(*) FILTER (WHERE country IS NULL) AS BIGINT) AS nulls, CAST(count(DISTINCT country) AS BIGINT) AS distinct_values FROM retail_lines""",
 }

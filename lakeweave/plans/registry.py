@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["retail", "climate", "combat", "combat_ops", "corpus", "payloads", "reviews", "reference", "streaming", "quality_jobs"]
+FAMILIES = ["retail", "exploration", "climate", "combat", "combat_ops", "corpus", "payloads", "reviews", "reference", "streaming", "quality_jobs"]
 
 
 def _load(attr: str) -> dict:
