@@ -581,24 +581,6 @@ def gold_consumables(b: Bronze) -> DataFrame:
         "casts")
 
 
-# FIXED VALUES: long metric rows derived from the player x fight mart
-METRICS = [("dps", "damage_done", "dps"), ("hps", "healing_done", "hps"), ("dtps", "damage_taken", "dtps"),
-           ("deaths", "deaths", None), ("interrupts", "interrupts", None), ("dispels", "dispels", None),
-           ("potion_casts", "potion_casts", None), ("healthstone_casts", "healthstone_casts", None)]
-
-
-def metric_long(b: Bronze) -> DataFrame:
-    """One row per (report, fight, player, metric) with total and rate (re-aimed long table)."""
-    perf = gold_fight_player_perf(b)
-    arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(tot).cast("double").alias("total"),
-                             (F.col(rate).cast("double") if rate else F.lit(None).cast("double")).alias("rate"))
-                    for m, tot, rate in METRICS])
-    return perf.select("report_code", "fight_id", "player_name", "class_name", "boss_name", "is_boss",
-                       "is_kill", "difficulty_label", F.explode(arr).alias("m")).select(
-        "report_code", "fight_id", "player_name", "class_name", "boss_name", "is_boss", "is_kill",
-        "difficulty_label", "m.metric", "m.total", "m.rate")
-
-
 # ------------------------------------------------------------------ registered queries
 def _b(fn):
     return lambda spark, sf: fn(Bronze(spark, sf))
@@ -629,5 +611,4 @@ QUERIES = {
     "gold_raid_nights": _b(gold_raid_nights),
     "gold_attendance_summary": _b(gold_attendance_summary),
     "gold_consumables": _b(gold_consumables),
-    "metric_long": _b(metric_long),
 }

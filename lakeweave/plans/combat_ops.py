@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import ratio_round
 from . import combat as C
+from . import metrics as M
 
 RUN_TS = "2024-02-01 00:00:00"
 STATE_COLS = ["report_code", "status", "title", "start_time_ms", "last_error", "ingestion_attempts",
@@ -144,7 +145,7 @@ def status_counts(state: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ad-hoc corpus
 def corpus_top_dps_bosses(b, n: int = 20):
-    m = C.metric_long(b).filter((F.col("metric") == "dps") & (F.col("is_boss") == 1))
+    m = M.metric_long(b).filter((F.col("metric") == "dps") & (F.col("is_boss") == 1))
     return (m.orderBy(F.desc("rate"), "report_code", "fight_id", "player_name").limit(n)
              .select("report_code", "fight_id", "boss_name", "player_name", "class_name",
                      F.col("rate").alias("dps"), F.col("total").alias("damage")))
@@ -201,13 +202,13 @@ def corpus_players_per_report(b):
 
 
 def corpus_mean_dps_per_class(b, min_rows: int = 5):
-    m = C.metric_long(b).filter((F.col("metric") == "dps") & (F.col("is_boss") == 1))
+    m = M.metric_long(b).filter((F.col("metric") == "dps") & (F.col("is_boss") == 1))
     g = m.groupBy("class_name").agg(F.bround(F.avg("rate"), 0).alias("mean_dps"), F.count(F.lit(1)).alias("n"))
     return g.filter(F.col("n") >= min_rows)
 
 
 def corpus_best_per_boss(b):
-    m = C.metric_long(b).filter((F.col("metric") == "dps") & (F.col("is_boss") == 1))
+    m = M.metric_long(b).filter((F.col("metric") == "dps") & (F.col("is_boss") == 1))
     return m.groupBy("player_name", "boss_name").agg(
         F.max("rate").alias("best_dps"),
         F.max_by("report_code", F.struct("rate", "report_code")).alias("best_report"))

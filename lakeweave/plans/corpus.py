@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import ratio_round
 from . import combat as C
+from . import metrics as M
 from . import combat_ops as O
 
 PLAYER, OWNER, OWNER_ID, BOSS, LEVEL = "player_1", "owner_1", 501, "Queen Ansurek", 12
@@ -21,7 +22,7 @@ def _perf(b) -> DataFrame:
 
 
 def _long(b) -> DataFrame:
-    return b.keep("metric_long", C.metric_long)
+    return b.keep("metric_long", M.metric_long)
 
 
 def _consumables(b) -> DataFrame:
@@ -120,6 +121,21 @@ def pull_buffs(b):
     return j.join(a, ["report_code", "player_actor_id"]).join(ab, ["report_code", "ability_game_id"]).groupBy("player", "buff").agg(F.sum("n").alias("pulls"))
 
 
+def _on_boss(b, rows):
+    """Entries of boss fights, with the boss."""
+    fights = C.silver_fights(b).filter(_boss() & (F.col("duration_sec") > 0)).select("report_code", "fight_id", F.col("fight_name").alias("boss_name"))
+    return rows.join(fights, ["report_code", "fight_id"])
+
+
+def top_casts(b, k: int = 40):
+    return _on_boss(b, M.player_casts(b)).orderBy(F.desc("casts"), *M.KEY, "ability").limit(k).select("boss_name", "player_name", "ability", "casts")
+
+
+def top_buffs(b, k: int = 30):
+    rows = _on_boss(b, M.player_buffs(b)).filter(F.col("uptime_ms") > 0)
+    return rows.orderBy(F.desc("uptime_ms"), *M.KEY, "aura", "ability_game_id").limit(k).select("player_name", "aura", F.bround(F.col("uptime_ms") / 1000, 0).alias("uptime_sec"))
+
+
 def _fights_of_reports(b):
     return _with_reports(b, C.silver_fights(b))
 
@@ -138,6 +154,8 @@ STATEMENTS = {
         F.desc("casts"), "report_code", "fight_id", "player_name", "consumable_name").limit(40).select("boss_name", "player_name", "consumable_name", "casts"),
     "corpus_buff_uptime": lambda b: _consumables(b).filter(_boss() & (F.col("uptime_sec") > 0)).orderBy(
         F.desc("uptime_sec"), "report_code", "fight_id", "player_name", "consumable_name").limit(30).select("player_name", "consumable_name", "uptime_sec"),
+    "corpus_top_casts": top_casts,
+    "corpus_top_buffs": top_buffs,
     "corpus_boss_deaths_by_player": boss_deaths_by_player,
     "corpus_raid_deaths": raid_deaths,
     "corpus_player_dps_history": lambda b: player_history(

@@ -1,7 +1,7 @@
 """DuckDB oracles for the ad-hoc statements."""
 
 from .oracle_combat import ORACLES as _GOLD
-from .oracle_combat import _PERF, W
+from .oracle_combat import _ML, _PERF, W
 from .oracle_combat_ops import STATE, _rr
 
 _OUT = "CASE WHEN is_kill = 1 THEN 'kill' ELSE 'wipe' END AS outcome"
@@ -54,8 +54,11 @@ ORACLES = {
     "corpus_report_header": f"{W} SELECT report_code, log_source, owner_name, title, zone_name, report_start_at FROM s_reports WHERE {_ONE}",
     "corpus_report_fights": f"{W} SELECT fight_id, fight_name, is_boss, is_kill, keystone_level, round_even(duration_sec, 1) AS duration_sec FROM s_fights WHERE {_ONE}",
     "corpus_report_dps": f"{_PERF} SELECT boss_name, player_name, dps FROM perf WHERE is_boss = 1 AND {_ONE}",
-    "corpus_report_metric_counts": f"""{_GOLD['metric_long'].replace('SELECT report_code, fight_id, player_name, class_name, boss_name, is_boss, is_kill, difficulty_label,', 'SELECT', 1)
-        .replace('m.metric, m.total, m.rate', 'm.metric, CAST(count(*) AS BIGINT) AS rows')} WHERE {_ONE} GROUP BY m.metric""",
+    "corpus_report_metric_counts": f"{_ML} SELECT metric, CAST(count(*) AS BIGINT) AS rows FROM ml WHERE {_ONE} GROUP BY metric",
+    "corpus_top_casts": f"""{_ML} SELECT fight_name AS boss_name, who AS player_name, entry AS ability, CAST(n AS BIGINT) AS casts FROM cast_entries JOIN fctx USING (report_code, fight_id)
+        WHERE is_boss = 1 ORDER BY n DESC, report_code, fight_id, who, entry LIMIT 40""",
+    "corpus_top_buffs": f"""{_ML} SELECT who AS player_name, entry AS aura, round_even(n / 1000, 0) AS uptime_sec FROM aura_entries JOIN fctx USING (report_code, fight_id)
+        WHERE is_boss = 1 AND n > 0 ORDER BY n DESC, report_code, fight_id, who, entry, ability_game_id LIMIT 30""",
     "corpus_report_ingestion": f"{STATE} SELECT status, ingestion_attempts, last_error FROM after_run WHERE {_ONE}",
     "corpus_guild_activity": f"""{_PERF} SELECT player_name, class_name, CAST(count(DISTINCT perf.report_code) AS BIGINT) AS reports, max(perf.report_start_at) AS last_seen
         FROM perf JOIN s_reports USING (report_code) WHERE log_source = 'guild' GROUP BY player_name, class_name""",
