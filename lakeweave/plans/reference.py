@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..operators.joins import label_match
 from ..operators.quality import ratio_round
 from ..sources import fixtures as fx
+from ..sources import records
+from ..sources.tables import read
 
 REQUIRED_ITEM_COLUMNS = {"favorite_category", "chair_item", "medium_item", "small_item"}
 # FIXED VALUES: CSV column -> item type, and item type -> category
@@ -85,6 +87,25 @@ def match_favorites_to_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_match(favs, "label", themes, "theme", cands, ["theme"])
 
 
+def theme_items(items: DataFrame) -> DataFrame:
+    """One row per theme: its item of each category, of the last row that names one."""
+    last = lambda kind: F.max_by(F.when(F.col("type_valeur") == kind, F.col("name")), F.when(F.col("type_valeur") == kind, F.struct("row_no", "name")))
+    return items.groupBy(F.col("gift_theme_valeur").alias("theme")).agg(*(last(kind).alias(category) for kind, category in ITEM_TYPES))
+
+
+def favorites_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every species with its favorites in order, the theme each stands for, and that theme's items by category."""
+    likes = species_tables(spark, sf_dir)["species_favorite"]
+    themes = match_favorites_to_themes(spark, sf_dir).select(F.col("label").alias("favorite_valeur"), "theme")
+    items = theme_items(item_tables(fx.items_csv_rows(spark, sf_dir))[1])
+    return likes.join(themes, "favorite_valeur", "left").join(items, "theme", "left").select("species_nom", "ordre", "favorite_valeur", "theme", *(c for _, c in ITEM_TYPES))
+
+
+def _joined(records: DataFrame) -> DataFrame:
+    """Arrays as printed: one string each."""
+    return records.select(*[F.array_join(f.name, "|").alias(f.name) if f.dataType.simpleString() == "array<string>" else F.col(f.name) for f in records.schema])
+
+
 def species_specialties(spark, sf):
     return species_tables(spark, sf)["species_specialty"]
 
@@ -118,6 +139,11 @@ QUERIES = {
     "reference_species_specialties": species_specialties,
     "reference_species_favorites": lambda s, d: species_tables(s, d)["species_favorite"],
     "reference_favorite_themes": match_favorites_to_themes,
+    "reference_theme_items": lambda s, d: theme_items(item_tables(fx.items_csv_rows(s, d))[1]),
+    "reference_favorites_matrix": favorites_matrix,
+    "reference_detail_records": lambda s, d: _joined(records.detail_records(fx.detail_pages(s, d))),
+    "reference_list_slugs": lambda s, d: _joined(records.listed_slugs(fx.list_pages(s, d))),
+    "pages_records": lambda s, d: _joined(records.page_records(read(s, d, "pages"))),
     "sales_silver": lambda s, d: silver_sales(fx.sales_lines(s, d)),
     "sales_daily_kpis": lambda s, d: sales_daily_kpis(silver_sales(fx.sales_lines(s, d))),
 }

@@ -415,6 +415,34 @@ def species_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(fav, F.initcap("p_type")).alias("favorites"))
 
 
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The species records as pages of a wiki: tables in tables, unclosed cells, escaped texts, repeated
+    specialties; every 41st page has no number in its heading, every 43rd no table, every 47th is missing."""
+    s = species_records(spark, sf_dir)
+    esc = _html_escape
+    marked = lambda c, sep: F.array_join(F.transform(c, lambda x: F.concat(F.lit('<a href="#"><u> '), esc(x), F.lit(" </u></a>"))), sep)
+    k = F.col("num")
+    heading = F.concat(F.lit("<h1><b>#</b> "), F.when(k % 41 == 0, F.lit("")).otherwise(k.cast("string")), F.lit(" <i>"), esc(F.col("nom")), F.lit("</i></h1>"))
+    specialties = F.concat(F.lit("<table><tr><td><u></u>"), marked(F.concat("specialties", F.slice("specialties", 1, 1)), "<td>"), F.lit("</table>"))
+    body = F.concat(
+        F.lit('<table class="dextable"><tr><td class="fooevo">Picture<td class="foo">Name</tr><tr><td class="cen"><u>x</u></td></tr><tr>\n<td class="x foo"> <b>Specialty</b> </td><td class="foo">Ideal Habitat<td class="foo">Favorites</tr>\n<tr><td class="cen">'),
+        specialties, F.lit('</td><td class="cen y">'), F.when(F.col("ideal_habitat") == "", "none").otherwise(F.concat(F.lit("<u>"), esc(F.col("ideal_habitat")), F.lit("</u><u>other</u>"))),
+        F.lit('</td>\n<td class="cen">'), marked(F.col("favorites"), "<br>"), F.lit("</td></tr><tr><td class='cen'><u>after</u></td></tr></table>"))
+    page = F.concat(F.lit("<!DOCTYPE html><html><head><script>var t='<h1># 1 no</h1>';</script></head><body>"), heading, F.when(k % 43 == 0, F.lit("<p>no table")).otherwise(body), F.lit("</body></html>"))
+    return s.select(k.alias("page_id"), F.when(k % 47 == 0, F.lit(None).cast("string")).otherwise(page).alias("html"))
+
+
+def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of species in pages of fifty, with repeated rows, foreign links and header rows."""
+    s = species_records(spark, sf_dir).select((F.expr("num div 50")).alias("page_id"), "num")
+    n = F.col("num").cast("string")
+    row = F.concat(F.lit("<tr><td>"), n, F.lit('</td><td><a href="/species/wrong.shtml"></a></td><td><table><tr><td><a name="x"></a></td></tr></table><a href="/'), F.when(F.col("num") % 6 == 0, "items").otherwise("species"),
+                   F.lit("/s"), n, F.lit('.shtml">s</a></td></tr>'))
+    rows = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("num", F.concat(row, F.when(F.col("num") % 9 == 0, row).otherwise("")).alias("r")))), lambda x: x["r"]), "\n")
+    page = F.concat(F.lit("<html><body><table><tr><td>1<td>2<td><a href='/species/early.shtml'>e</a></table><h2>List of <i>available</i> species</h2><p>text<table><tr><th>No.</th></tr>"), rows, F.lit("</table></body></html>"))
+    return s.groupBy("page_id").agg(page.alias("html"))
+
+
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regional sales lines (date, region, product, quantity, unit price) from the order lines."""
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
