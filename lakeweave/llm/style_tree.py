@@ -5,11 +5,17 @@ id without digits).  For every path of a host the tree knows on how many pages i
 stands, with which child styles (presentation) and which text features (content).
 Both get an importance from their entropy over the pages: what is spread evenly over
 the pages of a site, as menus and notices are, tells little.  A branch is removed
-from each page when its importance is low, or when its tag gives it away as
-page furniture; where a page has an article (or main) element, what stands outside
-is furniture too.  A telling name (class or id) never decides alone: it divides the importance
-by ``NAMED``, and a named branch also goes when more than half of its text is links.  Names say
-nothing about an element that contains an article or main element, nor header names inside an article.
+from each page when its importance is low.
+
+A page of few or of one on its host has no entropy to go by, and reader comments are
+new on every page, so names and structure decide besides: furniture tags; names that say what a
+branch is (``STRONG``: adverts, comments, cookie notices, menus ..), unless it holds an article, a main element or a first
+heading; vague names (``WEAK``), when the branch's importance is low for ``NAMED`` times the threshold or most of its text is links.
+Names inside words of state (``with-sidebar``, ``no-ads``) say nothing, nor do header names inside an article; a
+notice or a footer inside an article is a vague name.
+
+Which part of the rest is the article the text decides: article and main elements that hold at least half as much text as stands
+outside them are the article; when they hold less than a quarter they are teasers, and the outside is it; between, both stay.
 
 importance(E) = (1 - g**l) * presentation(E) + g**l * content(E), with l child styles of
 E, content as the mean over the text features below E of 1 - H(feature), and H in
@@ -18,12 +24,15 @@ importance is mixed with that of the same path on all hosts by m / (m + PRIOR).
 Pages with equal articles count once, so copies don't make an article look like a menu.
 
 Defined cases: null and empty html has the empty text; null urls form one host; repeated
-rows give repeated rows; other columns are ignored.
+rows give repeated rows; of equal articles the page with the smallest page_id counts; an empty table has no rows;
+pages take time in proportion to their length, elements nested deeper than ``DEPTH`` belong to the tree node of their ancestor there
+(their text is read like any other); other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -39,6 +48,9 @@ THRESHOLD = 0.3
 GAMMA = 0.9
 #: The importance of a branch with a telling name counts this many times less.
 NAMED = 2
+#: Levels of the style tree.
+DEPTH = 64
+ROOT_NODE = 0
 #: Pages at which a host's own statistics weigh as much as those of all hosts.
 PRIOR = 20
 #: Pages on which a path must stand before its entropy can remove it.
@@ -51,31 +63,62 @@ RAW = frozenset("script style textarea title noscript template xmp iframe".split
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul title script style noscript template textarea button iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROOT = frozenset("article main".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|"
-    r"comments?|respond|replies|share|sharing|social|related|recommended|pagination|pager|toolbar|widget|login|signup|search|skip|copyright|disclaimer)(?:$|[\s_-])", re.I)
-HEADERS = re.compile(r"(?<![^\s_-])(?:header|masthead)(?![^\s_-])", re.I)
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+# Names that say what a branch is, and names that may mean anything.
+STRONG = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promotion outbrain taboola "
+    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars footer cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription "
+    "comment comments commentlist commentform disqus respond replies reply share sharing social related recommended recommendations teaser teasers pagination pager login signup copyright disclaimer banner masthead".split())
+WEAK = frozenset("side header search skip toolbar widget widgets card cards preview meta tags".split())
+#: Words of state before a name: the element has it or not, it isn't it.
+STATE = frozenset("with has have no not without is hide hides show shows hidden toggle".split())
+HEADERS = frozenset("header masthead banner".split())
+#: Inside an article these may name a part of it.
+VAGUE_INSIDE = frozenset("notice notices footer sidebar sidebars menu menus disclaimer copyright reply".split())
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*(?:>|$)|[^>]*(?:>|$))", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|$)", re.I) for tag in RAW}
+#: What a start tag ends: elements of a kind, up to the nearest of the bounds.
+_ENDS = {
+    "li": (("li", ("ul", "ol", "menu")),), "dt": (("dt", ("dl",)), ("dd", ("dl",))), "dd": (("dd", ("dl",)), ("dt", ("dl",))), "tr": (("tr", ("table",)),),
+    "td": (("td", ("tr", "table")), ("th", ("tr", "table"))), "th": (("th", ("tr", "table")), ("td", ("tr", "table"))), "option": (("option", ("select",)),)}
+_WORDS = re.compile(r"[\W_]+")
 _PIECE = re.compile(r"[|·•»›–—]")
 _SPACE = re.compile(r"\s+")
 
 
+def named(classes: str, article: bool) -> int:
+    """2: the words of a class, id or role say what the element is; 1: they may; 0: they don't."""
+    found = 0
+    for token in classes.lower().split():
+        words = [w for w in _WORDS.split(token) if w]
+        if not words or words[0] in STATE or len(words) > 1 and words[-2] in STATE:
+            continue
+        for w in {words[0], words[-1]}:
+            if not (article and w in HEADERS):
+                found = max(found, 1 if w in WEAK or article and w in VAGUE_INSIDE else 2 if w in STRONG else 0)
+    return found
+
+
 class Page:
-    """The blocks of a page in order: (path of the block, text, in an article, page furniture, named elements around it)."""
+    """A page's blocks and what the tree needs of its elements; every step costs the same however deep it stands.
+
+    elements: [tree node, parent, furniture or hidden, name (0 to 2), letters, letters in links, holds the main part]
+    blocks: (element, text, outermost article element or -1)
+    children: the child styles of every tree node
+    """
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[tuple[str, ...], str, bool, bool, tuple[int, ...]]] = []
-        #: Of every element with a telling name: its path, its letters, those in links, and whether it contains an article.
-        self.named: list[list] = []
-        self._names: list[int] = []
+        self.elements: list[list] = [[ROOT_NODE, -1, False, 0, 0, 0, False]]
+        self.blocks: list[tuple[int, str, int]] = []
+        self.children: dict[int, dict[str, None]] = {ROOT_NODE: {}}
+        self._around: dict[int, int] = {}
+        self._stack: list[tuple[str, int]] = [("", 0)]  # open block elements
+        self._open_tags: Counter = Counter()
+        self._text: list[str] = []
+        self._articles: list[int] = []
+        self._silent = 0
         self._link = False
         self._links = 0
-        self.children: dict[tuple[str, ...], list[str]] = {}
-        self._stack: list[tuple[str, bool, bool]] = []  # tag, furniture, named
-        self._path: tuple[str, ...] = ()
-        self._text: list[str] = []
-        self._article = self._noise = self._silent = 0
         at, n = 0, len(html)
         while at < n:
             m = _TAG.search(html, at)
@@ -90,52 +133,60 @@ class Page:
             if m[2] is None:
                 continue
             tag = m[2].lower()
+            attributes = m[3].removesuffix(">")
             if tag == "a":
                 self._link = not m[1]
             if m[1]:
                 self._close(tag)
                 continue
-            self._open(tag, m[3])
-            if tag in RAW and not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}(?=[\s/>]|$)", re.I).search(html, at)
+            self._open(tag, attributes)
+            if tag in RAW and not attributes.endswith("/"):
+                end = _RAW_END[tag].search(html, at)
                 self._text.append(html[at:end.start() if end else n])
                 at = end.start() if end else n
         self._block()
+        while len(self._stack) > 1:
+            self._pop()
 
     def _block(self) -> None:
         """Ends the block at hand."""
         if self._text:
             if not self._silent and (text := _SPACE.sub(" ", unescape("".join(self._text))).strip()):
-                self.blocks.append((self._path, text, self._article > 0, self._noise > 0, tuple(self._names)))
+                k = self._stack[-1][1]
                 letters = len(text) - text.count(" ")
-                for k in self._names:
-                    self.named[k][1] += letters
-                    self.named[k][2] += min(letters, self._links)
+                self.blocks.append((k, text, self._articles[0] if self._articles else -1))
+                self.elements[k][4] += letters
+                self.elements[k][5] += min(letters, self._links)
             self._text.clear()
         self._links = 0
 
-    def _push(self, tag: str, style: str, noise: bool, named: bool) -> None:
-        self._stack.append((tag, noise, named))
-        self.children.setdefault(self._path, []).append(style)
-        self._path += (style,)
-        self.children.setdefault(self._path, [])
+    def _push(self, tag: str, style: str, noise: bool, name: int) -> None:
+        k, above = len(self.elements), self._stack[-1][1]
+        at = self.elements[above][0]
+        self.children[at][style] = None
+        if len(self._stack) <= DEPTH:
+            at = xxhash.xxh3_64_intdigest(at.to_bytes(8, "little", signed=True) + style.encode("utf-8", "surrogatepass")) - (1 << 63)
+            self.children.setdefault(at, {})
+            self._around[at] = self.elements[above][0]
+        self.elements.append([at, above, noise, name, 0, 0, False])
+        self._stack.append((tag, k))
+        self._open_tags[tag] += 1
         if tag in ROOT:
-            for k in self._names:
-                self.named[k][3] = True
-        if named:
-            self._names.append(len(self.named))
-            self.named.append([self._path, 0, 0, False])
-        self._article += tag in ROOT
-        self._noise += noise
+            self._articles.append(k)
+        # a first heading outside any article marks the main part as well; a teaser or a comment is no main part
+        if tag in ROOT and name < 2 and not noise or tag == "h1":
+            self.elements[above][6] = True
         self._silent += tag in SILENT
 
     def _pop(self) -> str:
-        tag, noise, named = self._stack.pop()
-        if named:
-            self._names.pop()
-        self._path = self._path[:-1]
-        self._article -= tag in ROOT
-        self._noise -= noise
+        tag, k = self._stack.pop()
+        self._open_tags[tag] -= 1
+        _, above, _, _, letters, links, main = self.elements[k]
+        self.elements[above][4] += letters
+        self.elements[above][5] += links
+        self.elements[above][6] |= main
+        if tag in ROOT:
+            self._articles.pop()
         self._silent -= tag in SILENT
         return tag
 
@@ -145,73 +196,79 @@ class Page:
                 self._text.append(" ")
             return
         self._block()
-        tags = [t for t, _, _ in self._stack]
         if tag == "hr":
             return
         # a paragraph, an item or a cell ends where the next block of its kind begins
-        if "p" in tags:
+        if self._open_tags["p"]:
             self._until("p")
-        for kind, bounds in (("li", ("ul", "ol", "menu")), ("dt", ("dl",)), ("dd", ("dl",)), ("tr", ("table",)), ("td", ("tr", "table")), ("th", ("tr", "table")), ("option", ("select",))):
-            if tag == kind or {tag, kind} in ({"dt", "dd"}, {"td", "th"}):
-                for t in reversed([t for t, _, _ in self._stack]):
+        for kind, bounds in _ENDS.get(tag, ()):
+            if self._open_tags[kind]:
+                for t, _ in reversed(self._stack):
                     if t in bounds:
                         break
                     if t == kind:
                         self._until(kind)
                         break
-        named, hidden = [], False
+        names, hidden = [], False
         if attributes:
             for key, value in _ATTRIBUTE.findall(attributes):
                 if key.lower() == "hidden":
                     hidden = True
                 else:
-                    named.append(re.sub(r"\d+", "#", value.strip("\"'").lower()))
-        style = ".".join([tag, *sorted(named)])
-        noise = hidden or tag in FURNITURE and not (tag == "header" and self._article)
-        telling = (HEADERS.sub(" ", x) if self._article else x for x in named)
-        self._push(tag, style, noise, any(NAMES.search(x) for x in telling) and tag not in ("html", "body", "article", "main"))
+                    names.append(value.strip("\"'").lower())
+        style = ".".join([tag, *sorted(re.sub(r"\d+", "#", x) for x in names)])
+        inside = bool(self._articles)
+        noise = hidden or tag in FURNITURE and not (tag == "header" and inside)
+        plain = tag in ("html", "body", "main")
+        self._push(tag, style, noise, 0 if plain else named(" ".join(names), inside))
 
     def _until(self, tag: str) -> None:
-        while self._stack and self._pop() != tag:
+        while len(self._stack) > 1 and self._pop() != tag:
             pass
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
             self._block()
-            if any(t == tag for t, _, _ in self._stack):
+            if self._open_tags[tag]:
                 self._until(tag)
 
-    def _own(self, blocks: list) -> list:
-        own = any(article and not noise for _, _, article, noise, _ in blocks)
-        return [b for b in blocks if not b[3] and (b[2] or not own)]
-
-    def _telling(self, k: int) -> bool:
-        return not self.named[k][3]
-
-    def unnamed(self) -> list[tuple[tuple[str, ...], str]]:
-        """Blocks that neither tag nor name calls page furniture (all that no tag does, if there are none)."""
-        own = self._own(self.blocks)
-        return [b[:2] for b in ([b for b in own if not any(map(self._telling, b[4]))] or own)]
-
-    def content(self, low: frozenset[int] = frozenset(), named_low: frozenset[int] = frozenset()) -> list[tuple[tuple[str, ...], str]]:
-        """Blocks that aren't page furniture: those of the article if there is one; without the nodes in ``low``,
-        the named ones in ``named_low`` and the named ones that are mostly links."""
-        gone = {k for k, (path, letters, links, _) in enumerate(self.named)
-                if self._telling(k) and (2 * links > letters or named_low and node(path) in named_low)}
-        kept: dict[tuple[str, ...], bool] = {}
+    def _main(self, gone: list[bool]) -> list[tuple[int, str, int]]:
+        """The blocks of the article among those that are not gone; the text decides which part that is."""
+        left = [b for b in self.blocks if not gone[b[0]]]
+        size: Counter = Counter()
+        for _, text, article in left:
+            size[article] += len(text) - text.count(" ")
+        outside = size.pop(-1, 0)
+        best = max(size.values(), default=0)
+        if best and 2 * best >= outside:
+            return [b for b in left if b[2] >= 0]
+        return [b for b in left if b[2] < 0] if 4 * best < outside else left
+
+    def _gone(self, low: frozenset[int] = frozenset(), named_low: frozenset[int] = frozenset(), names: bool = True) -> list[bool]:
+        gone: list[bool] = []
+        for at, above, noise, name, letters, links, main in self.elements:
+            by_name = names and name and not main and (name == 2 or 2 * links > letters or at in named_low)
+            gone.append(above >= 0 and (gone[above] or noise or at in low or by_name))
+        return gone
+
+    def unnamed(self) -> list[tuple[int, str]]:
+        """(tree node, text) of the blocks that neither tag nor name calls page furniture (all that no tag does, if there are none)."""
+        own = self._main(self._gone()) or self._main(self._gone(names=False))
+        return [(self.elements[k][0], text) for k, text, _ in own]
+
+    def content(self, low: frozenset[int] = frozenset(), named_low: frozenset[int] = frozenset()) -> list[str]:
+        """The main text: without furniture, the nodes in ``low`` and named branches."""
+        return [text for _, text, _ in self._main(self._gone(low, named_low))]
+
+    def above(self, at: int) -> list[int]:
+        """A tree node and those around it, at most DEPTH."""
         out = []
-        for path, text, _, _, names in self._own(self.blocks):
-            if low and path not in kept:
-                kept[path] = not any(node(path[:k]) in low for k in range(1, len(path) + 1))
-            if kept.get(path, True) and not any(k in gone for k in names):
-                out.append((path, text))
+        while at != ROOT_NODE:
+            out.append(at)
+            at = self._around[at]
         return out
 
 
-def node(path: tuple[str, ...]) -> int:
-    return xxhash.xxh3_64_intdigest("/".join(path)) - (1 << 63)
-
-
 def _describe():
     """Per page: its host's tree nodes, with child styles, and the text features of its blocks."""
 
@@ -222,16 +279,18 @@ def _describe():
                 for html in texts.to_pylist():
                     page = Page(html)
                     digest = xxhash.xxh3_64()
-                    for path, text in page.unnamed():
-                        digest.update("/".join(path) + "\n" + text + "\n")
+                    for at, text in page.unnamed():
+                        digest.update(f"{at}\n{text}\n")
                     digests.append(digest.intdigest() - (1 << 63))
-                    nodes.append([{"node": node(path), "style": xxhash.xxh3_64_intdigest("/".join(dict.fromkeys(styles))) - (1 << 63)} for path, styles in page.children.items()])
-                    count: dict[tuple[tuple[str, ...], str], int] = {}
-                    for path, text, *_ in page.blocks:
+                    nodes.append([{"node": at, "style": xxhash.xxh3_64_intdigest("/".join(styles)) - (1 << 63)} for at, styles in page.children.items()])
+                    count: dict[tuple[int, str], int] = {}
+                    for k, text, _ in page.blocks:
+                        at = page.elements[k][0]
                         for piece in _PIECE.split(text.lower()):
-                            key = (path, piece.strip())
+                            key = (at, piece.strip())
                             count[key] = count.get(key, 0) + 1
-                    features.append([{"above": [node(path[:k]) for k in range(1, len(path) + 1)], "feature": xxhash.xxh3_64_intdigest(piece) - (1 << 63), "n": n} for (path, piece), n in count.items()])
+                    around = {at: page.above(at) for at, _ in count}
+                    features.append([{"above": around[at], "feature": xxhash.xxh3_64_intdigest(piece) - (1 << 63), "n": n} for (at, piece), n in count.items()])
                 yield pa.RecordBatch.from_arrays([
                     column(part, "page_id"), column(part, "host"), pa.array(digests, pa.int64()),
                     pa.array(nodes, pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64())]))),
@@ -285,8 +344,7 @@ def _extract():
             for part, texts in pieces(batch, "html"):
                 out = []
                 for html, low, named in zip(texts.to_pylist(), column(part, "low").to_pylist(), column(part, "named").to_pylist()):
-                    blocks = Page(html).content(frozenset(low or ()), frozenset(named or ()))
-                    out.append("\n".join(text for _, text in blocks))
+                    out.append("\n".join(Page(html).content(frozenset(low or ()), frozenset(named or ()))))
                 yield pa.RecordBatch.from_arrays([
                     column(part, "page_id"), column(part, "url"), pa.array(out), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
     return run
