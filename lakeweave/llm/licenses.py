@@ -1,20 +1,19 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a document, or a stretch of words over several lines (notices are
-wrapped) that is no longer than the template allows; a template is one notice or clause.  Tokens are ordered
-by how often they stand in the corpus, the rarest first.  A block holds a template
-when it has at least ``CONTAINMENT`` of the template's tokens; then their prefixes in
-that order share a token, the block is long enough, and enough tokens stand behind the
-shared one: the three filters leave few candidates, and those are verified on their
-whole sets.  A stretch over lines may have 1 / ``CONTAINMENT`` as many words as the template
-(its words need not all be the template's); one counting pass leaves the stretches with enough
-words of the template, and their sets are verified where they are found.  Nothing is
-estimated: every block that meets the threshold is found.
+A template is one notice or clause; a block is a stretch of words of a document, over lines or not, with at most
+1 / ``CONTAINMENT`` as many words as the template (notices are wrapped and indented, and not all
+words of a stretch must be the template's).  Tokens are ordered by how often they stand in the corpus, the
+rarest first.  A block holds a template when it has at least ``CONTAINMENT`` of the template's
+tokens.  Then it has a token of the template's prefix in that order (prefix filter), enough known words near that
+token (length filter), and enough different ones behind it in the order (positional filter); what is left is
+verified on all stretches around the token.  Texts are cut into overlapping chunks of two longest
+stretches, so each stretch lies in one and a chunk is small however long a line or text is.  Nothing is
+estimated: every block that meets the threshold is found, and words scattered over a long line are no block.
 
 The templates are a fixed list (its size is the bound of what is broadcast).
 
-Defined cases: null and empty text has no words, no labels and score 0; repeated rows
-give repeated rows; other columns are ignored.
+Defined cases: null and empty text has no words, no labels and score 0; a text without line feeds is like
+any other; repeated rows give repeated rows; tokens of equal counts are ordered by their number; an empty table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -82,12 +81,6 @@ class _Lexicon:
         return out
 
 
-def _line(words: Words) -> np.ndarray:
-    """A number of each word's line, over all texts."""
-    stops = np.flatnonzero(words.raw == 0x0A)
-    return np.searchsorted(stops, words.start) + words.doc
-
-
 def _frequencies(texts: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _Lexicon(texts)
@@ -111,23 +104,34 @@ def token_order(docs: DataFrame, texts: list[str]) -> list[int]:
     return ranks
 
 
-def _wrapped(number: np.ndarray, doc: np.ndarray, line: np.ndarray, ends: np.ndarray, tokens: list[int], need: int, length: int) -> dict[int, int]:
-    """Texts with a stretch of up to ``length`` words over several lines that holds ``need`` of the tokens, and the most it holds."""
-    inside = np.isin(number, tokens)
-    upto = np.concatenate([[0], np.cumsum(inside)])
-    begin = np.flatnonzero(inside)
-    end = np.minimum(begin + length, ends[doc[begin]])
-    chosen = (upto[end] - upto[begin] >= need) & (line[begin] != line[end - 1])
-    out: dict[int, int] = {}
-    for a, b in zip(begin[chosen].tolist(), end[chosen].tolist()):
-        held = len(np.unique(number[a:b][inside[a:b]]))
-        if held >= need:
-            out[int(doc[a])] = max(out.get(int(doc[a]), 0), held)
+def _chunks(words: Words, rank: np.ndarray, begins: np.ndarray, reach: int) -> list[list[list[dict]]]:
+    """Per text the known words (place, rank) of each chunk that holds a token of some template's prefix.
+
+    Chunk c has the words from c * reach on, 2 * reach of them: any stretch of ``reach`` words lies in one."""
+    out: list[list[list[dict]]] = [[] for _ in words.count]
+    known = np.flatnonzero(rank >= 0)
+    if not len(known):
+        return out
+    doc = words.doc[known]
+    at = known - words.first[doc]
+    first = np.concatenate([[0], np.cumsum(words.count // reach + 1)])  # numbers of the texts' chunks
+    own = first[doc] + at // reach
+    prefix = begins[rank[known]]
+    hit = np.unique(np.concatenate([own[prefix], (own[prefix] - 1)[at[prefix] >= reach]]))
+    chunk, word = np.concatenate([own, own - 1]), np.concatenate([np.arange(len(known))] * 2)
+    fits = np.concatenate([np.ones(len(known), dtype=bool), at >= reach]) & np.isin(chunk, hit)
+    chunk, word = chunk[fits], word[fits]
+    order = np.lexsort((word, chunk))
+    chunk, word = chunk[order], word[order]
+    cuts = np.flatnonzero(np.diff(chunk, prepend=-1, append=-1))
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+        w = word[a:b]
+        out[doc[w[0]]].append([{"at": x, "rank": y} for x, y in zip(at[w].tolist(), rank[known[w]].tolist())])
     return out
 
 
-def _scan(texts: list[str], phrases: list[tuple[list[int], str]], ranks: list[int], prefix: list[int], stretches: list[tuple[list[int], int, int]]):
-    """Base columns of each document, the lines that hold a token of some template's prefix, and the templates wrapped over lines."""
+def _scan(texts: list[str], phrases: list[tuple[list[int], str]], ranks: list[int], prefix: list[int], reach: int):
+    """Base columns of each document, and its chunks that hold a token of some template's prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, rank = _Lexicon(texts), np.array(ranks)
@@ -156,29 +160,13 @@ def _scan(texts: list[str], phrases: list[tuple[list[int], str]], ranks: list[in
                 for at, label in places:
                     for d in np.unique(doc[at]).tolist():
                         labels[d].add(label)
-                # candidate lines
-                blocks: list[list[list[int]]] = [[] for _ in range(n)]
-                known = np.flatnonzero(number >= 0)
-                if len(known):
-                    line = _line(words)
-                    r = rank[number[known]]
-                    chosen = np.unique(line[known[begins[r]]])
-                    inside = np.isin(line[known], chosen)
-                    at, r = known[inside], r[inside]
-                    cuts = np.flatnonzero(np.diff(line[at], prepend=-1, append=-1))
-                    for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-                        blocks[doc[at[a]]].append(np.unique(r[a:b]).tolist())
-                wrapped: list[list[dict[str, int]]] = [[] for _ in range(n)]
-                if len(known):
-                    for template, (tokens, need, length) in enumerate(stretches):
-                        for d, shared in _wrapped(number, doc, line, words.first[1:], tokens, need, length).items():
-                            wrapped[d].append({"template": template, "shared": shared})
+                blocks = _chunks(words, np.where(number >= 0, rank[number], -1), begins, reach)
                 null = lambda v: pa.array(v.astype(np.int64), mask=v < 0)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(row, row + n)), column(part, "doc_id"), pa.array(words.count.astype(np.int64)), pa.array(count.astype(np.int64)),
-                    null(first), null(last), pa.array([sorted(x) for x in labels], pa.list_(pa.string())), pa.array(blocks, pa.list_(pa.list_(pa.int32()))),
-                    pa.array(wrapped, pa.list_(pa.struct([("template", pa.int32()), ("shared", pa.int32())])))],
-                    names=["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "found", "blocks", "wrapped"])
+                    null(first), null(last), pa.array([sorted(x) for x in labels], pa.list_(pa.string())),
+                    pa.array(blocks, pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("rank", pa.int32())]))))],
+                    names=["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "found", "blocks"])
                 row += n
     return run
 
@@ -194,28 +182,26 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     sets = [sorted({ranks[t] for t in tokens}) for tokens in lexicon.of[:len(templates)]]
     need = [max(1, math.ceil(containment * len(s) - 1e-9)) for s in sets]
     prefixes = [s[:len(s) - o + 1] for s, o in zip(sets, need)]
-    stretches = [(sorted(set(tokens)), o, math.ceil(len(tokens) / containment - 1e-9)) for tokens, o in zip(lexicon.of, need)]
+    length = [math.ceil(len(tokens) / containment - 1e-9) for tokens in lexicon.of[:len(templates)]]
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    scanned = stored(source.mapInArrow(_scan(texts, phrases, ranks, sorted({r for p in prefixes for r in p}), stretches), (
-        "row long, doc_id long, n_words long, n_base long, first_word long, last_word long, found array<string>, blocks array<array<int>>, wrapped array<struct<template: int, shared: int>>")), "licenses")
-
-    rows = [(i, label, s, len(s), o, r, k) for i, ((label, _), s, o, p) in enumerate(zip(templates, sets, need, prefixes)) for k, r in enumerate(p)]
-    index = spark.createDataFrame(rows, "template int, label string, tokens array<int>, size int, need int, token int, place int")
-    least = min(need, default=1)
-    block = scanned.select("row", F.explode("blocks").alias("block")).select("row", "block", F.size("block").alias("length"))
-    begins = block.where(F.col("length") >= least).select("row", "block", "length", F.posexplode(F.slice("block", F.lit(1), F.col("length") - least + 1)).alias("at", "token"))
-    after = 1 + F.least(F.col("size") - F.col("place"), F.col("length") - F.col("at")) - 1
-    candidates = begins.join(F.broadcast(index), "token").where((F.col("length") >= F.col("need")) & (after >= F.col("need"))) \
-        .select("row", "template", "label", "block", "tokens", "size", "need").dropDuplicates(["row", "template", "block"])
-    shared = F.size(F.array_intersect("block", "tokens"))
-    in_lines = candidates.withColumn("shared", shared).where(F.col("shared") >= F.col("need")).select("row", "label", "shared", "size")
-    named = spark.createDataFrame([(i, label, len(s)) for i, ((label, _), s) in enumerate(zip(templates, sets))], "template int, label string, size int")
-    over_lines = scanned.select("row", F.explode("wrapped").alias("w")).select("row", "w.*").join(F.broadcast(named), "template").select("row", "label", "shared", "size")
-    matches = in_lines.unionByName(over_lines).groupBy("row").agg(
+    scanned = stored(source.mapInArrow(_scan(texts, phrases, ranks, sorted({r for p in prefixes for r in p}), max(length, default=1)), (
+        "row long, doc_id long, n_words long, n_base long, first_word long, last_word long, found array<string>, blocks array<array<struct<at: int, rank: int>>>")), "licenses")
+
+    rows = [(label, s, len(s), o, n, r, k) for (label, _), s, o, n, p in zip(templates, sets, need, length, prefixes) for k, r in enumerate(p)]
+    index = spark.createDataFrame(rows, "label string, tokens array<int>, size int, need int, length int, token int, place int")
+    begins = scanned.select("row", F.explode("blocks").alias("block")).select("row", "block", F.explode("block").alias("p")).join(F.broadcast(index), F.col("p.rank") == F.col("token"))
+    reached = F.filter("block", lambda x: (x["at"] > F.col("p.at") - F.col("length")) & (x["at"] < F.col("p.at") + F.col("length")))
+    near = begins.withColumn("near", reached).where(F.size("near") >= F.col("need"))
+    behind = F.size(F.array_distinct(F.transform(F.filter("near", lambda x: x["rank"] > F.col("token")), lambda x: x["rank"])))
+    candidates = near.where((F.col("size") - F.col("place") >= F.col("need")) & (behind + 1 >= F.col("need")))
+    starts = F.filter("near", lambda x: (x["at"] <= F.col("p.at")) & F.array_contains("tokens", x["rank"]))
+    held = F.transform(starts, lambda s: F.size(F.array_intersect(F.col("tokens"), F.transform(
+        F.filter("near", lambda x: (x["at"] >= s["at"]) & (x["at"] < s["at"] + F.col("length"))), lambda x: x["rank"]))))
+    matches = candidates.withColumn("shared", F.array_max(held)).where(F.col("shared") >= F.col("need")).groupBy("row").agg(
         F.collect_set("label").alias("more"), F.max(F.col("shared") / F.col("size")).alias("best"))
     some = F.coalesce("more", F.array().cast("array<string>"))
     score = F.greatest(F.coalesce("best", F.lit(0.0)), F.when(F.size("found") > 0, F.lit(1.0)).otherwise(0.0))
-    return scanned.drop("blocks", "wrapped").join(matches, "row", "left").select(
+    return scanned.drop("blocks").join(matches, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("found", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("found", some)), ",").alias("labels"), score.alias("score"))
 
