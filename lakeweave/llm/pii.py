@@ -5,13 +5,14 @@ spans in a bounded sample of windows (and from copies of them with other digits,
 letters and separators) and adds spans that no pattern takes.  Texts are covered by
 windows of ``WINDOW`` code points that overlap by half; each is decoded by itself.
 A span that touches a cut edge is left to the neighbour window, which has it whole; of
-overlapping spans of a text the longest stays, and none may overlap a base span.
+overlapping spans of a text the longest stays, and none may overlap a base span.  A span is widened
+to the whole number or address that it is part of.
 
 A span holds a digit or an @ by definition, so a window without either has the empty
 decoding as its only one, and is not run through the network.
 
 Defined cases: null text counts as empty and has no spans; repeated rows give repeated
-rows; without a single labelled span there is no network, and the base spans are all;
+rows, and so do they in the sample, whose ties go by doc_id and start; texts of any length take time in proportion to it; an empty table has no rows and no network; without a single labelled span there is no network, and the base spans are all;
 other columns are ignored.
 """
 
@@ -19,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -291,8 +294,62 @@ def _likely(text: str, kind: int) -> bool:
     return "@" in text[1:-1] if kind == 0 else 4 <= digits and text.count(".") == 3 if kind == 1 else 12 <= digits <= 19 if kind == 2 else 7 <= digits <= 15
 
 
+#: What may stand between the digit groups of one number, and the characters of an address.
+_JOINS = frozenset(" .-/()")
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+@-]")
+_MOST_DIGITS = {1: 12, 2: 19, 3: 15}
+
+
+def _digit(c: str) -> bool:
+    return "0" <= c <= "9"
+
+
+def _group(text: str, at: int, step: int) -> int:
+    """Where the digits end that stand next to ``at`` in the direction of ``step``, behind at most two joining characters; ``at`` if there are none."""
+    k, joins = at, 0
+    while 0 <= k < len(text) and joins < 2 and text[k] in _JOINS:
+        k, joins = k + step, joins + 1
+    end = k
+    while 0 <= end < len(text) and _digit(text[end]) and abs(end - k) < 20:
+        end += step
+    return end if end != k else at
+
+
+def whole_token(text: str, a: int, b: int, kind: int) -> tuple[int, int]:
+    """The span widened to the number or address that it is part of: no number is cut in half.
+
+    Digits that touch the span belong to it; so do digit groups joined to it, as long as the number has no more
+    digits than its kind allows, and a plus sign or a bracket before it."""
+    if kind == 0:
+        while a and b - a < WINDOW and _ADDRESS.match(text[a - 1]):
+            a -= 1
+        while b < len(text) and b - a < 2 * WINDOW and _ADDRESS.match(text[b]):
+            b += 1
+        return a, b - (text[b - 1] in ".%+-") if b > a else b
+    for _ in range(20):
+        if a and _digit(text[a - 1]) and _digit(text[a]):
+            a -= 1
+        if b < len(text) and _digit(text[b]) and _digit(text[b - 1]):
+            b += 1
+    digits = sum(map(_digit, text[a:b]))
+    for step in (-1, 1):
+        while True:
+            edge = a - 1 if step < 0 else b
+            end = _group(text, edge, step)
+            more = sum(map(_digit, text[end + 1:a] if step < 0 else text[b:end])) if end != edge else 0
+            if not more or digits + more > _MOST_DIGITS[kind] or kind == 1 and "." not in (text[a - 1], text[min(b, len(text) - 1)]):
+                break
+            digits += more
+            a, b = (end + 1, b) if step < 0 else (a, end)
+    while a and text[a - 1] in "+(":
+        a -= 1
+    return a, b
+
+
 def reconciled(text: str, base: list[Span], starts: list[int], found: list[list[Span]]) -> list[Span]:
-    """Base spans and, from all windows of the text, the spans that fit beside them."""
+    """Base spans and, from all windows of the text, the whole numbers and addresses that fit beside them.
+
+    Longer spans come first, of equally long ones the earlier, then the kind listed first."""
     whole = set()
     for start, spans in zip(starts, found):
         end = min(start + WINDOW, len(text))
@@ -304,12 +361,17 @@ def reconciled(text: str, base: list[Span], starts: list[int], found: list[list[
                 a += 1
             while b > a and (text[b - 1].isspace() or text[b - 1] in ".,;:"):
                 b -= 1
+            if b > a:
+                a, b = whole_token(text, a, b, kind)
             if _likely(text[a:b], kind):
                 whole.add((a, b, kind))
-    kept = list(base)
+    kept, taken = list(base), bytearray(len(text))
+    for a, b, _ in base:
+        taken[a:b] = b"\1" * (b - a)
     for a, b, kind in sorted(whole, key=lambda s: (s[0] - s[1], s)):
-        if all(b <= x or y <= a for x, y, _ in kept):
+        if taken.find(1, a, b) < 0:
             kept.append((a, b, kind))
+            taken[a:b] = b"\1" * (b - a)
     return sorted(kept, key=lambda s: (s[0], s[2]))
 
 
@@ -326,9 +388,12 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for d in _marked(texts):
                 text = texts[d].as_py()
-                base = base_spans(text)
+                base = sorted(base_spans(text))
+                begins, reach = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
                 for start in _windows(text):
-                    tags = tags_of(base, start, min(start + WINDOW, len(text)))
+                    end = min(start + WINDOW, len(text))
+                    # only the spans that may meet the window
+                    tags = tags_of(base[bisect_right(reach, start):bisect_left(begins, end)], start, end)
                     rows.append((ids[d], start, text[start:start + WINDOW], tags, any(tags)))
             if rows:
                 doc, start, window, tags, some = zip(*rows)
