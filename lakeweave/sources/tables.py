@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,19 +24,39 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _KEPT: dict = {}
+_KEEPERS: list = []
+
+
+def fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the folder's tables: a folder whose tables changed is another input."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def kept(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived table of one input folder (taken as unchanging), built once per session and
-    then read as stored Parquet: marts read stored silver and curated tables."""
+    """A derived table of one input folder, built once per session and state of the
+    folder, and then read as stored Parquet: marts read stored silver and curated tables."""
     from ..session import materialize
 
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if _KEEPERS:
+        return _KEEPERS[-1](spark, sf_dir, name, build)
+    key = (spark.sparkContext.applicationId, sf_dir, name, fingerprint(spark, sf_dir))
     if key not in _KEPT:
         _KEPT[key] = materialize(build(), name)
     return _KEPT[key]
 
 
+@contextmanager
+def keeping(keeper):
+    """While it is open, ``keeper`` says where derived tables are stored."""
+    _KEEPERS.append(keeper)
+    try:
+        yield
+    finally:
+        _KEEPERS.pop()
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
     """One temp view per lake table so ad-hoc SQL can run on them."""
     for name in names:

@@ -1,12 +1,13 @@
 """File sources/sinks round trips and the table build runner."""
 
+import glob
 import os
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from lakeweave.plans import climate, retail
-from lakeweave.plans.build import build, plan_build
+from lakeweave.plans.build import Build, build
 from lakeweave.sources import fixtures as fx
 from lakeweave.sources.files import (export_csv_tables, export_json, land_parquet, read_all_string_csv,
                                      read_semicolon_gz)
@@ -51,14 +52,78 @@ def test_exports_and_landing(spark, scratch):
     assert spark.read.parquet(scratch + "/landed").count() == 2
 
 
-def test_build_runner_orders_layers_and_replays(spark, scratch):
-    names = ["gold_raid_nights", "combat_silver_fights", "corpus_boss_attempts"]
-    assert plan_build(names) == ["combat_silver_fights", "gold_raid_nights", "corpus_boss_attempts"]
-    first = build(spark, SF_SMALL, scratch, names=names)
-    again = build(spark, SF_SMALL, scratch, names=names)
-    assert first.keys() == again.keys()
-    t = VersionedTable(spark, scratch + "/gold/gold_raid_nights")
-    assert t.read().count() > 0
+def test_build_follows_what_jobs_read_and_replays(spark, scratch):
+    names = ["corpus_boss_attempts", "gold_deaths", "combat_silver_fights"]
+    first = Build(spark, SF_SMALL, scratch).run(names)
+    order = list(first.written)
+    assert set(names) <= set(order)
+    for name, reads in first.lineage.items():
+        assert all(order.index(r) < order.index(name) for r in reads), name
+    assert {"silver_events", "silver_actors", "bronze-fights"} <= first.lineage["gold_deaths"] and "bronze-events" in first.lineage["silver_events"]
+    again = Build(spark, SF_SMALL, scratch).run(names)
+    assert again.lineage == first.lineage and again.written != first.written
+    assert VersionedTable(spark, scratch + "/gold/gold_deaths").read().count() > 0
+    assert VersionedTable(spark, scratch + "/gold/lineage").read().where("name = 'gold_deaths'").count() == len(first.lineage["gold_deaths"])
+
+
+def test_a_changed_silver_table_changes_gold_on_rebuild(spark, scratch):
+    build(spark, SF_SMALL, scratch, names=["gold_deaths"])
+    gold, silver = VersionedTable(spark, scratch + "/gold/gold_deaths"), VersionedTable(spark, scratch + "/silver/silver_events")
+    before = gold.read().count()
+    few = silver.read().where("timestamp_ms % 2 = 0")
+    want = few.where("event_type = 'death'").count()
+    silver.overwrite(few)
+    build(spark, SF_SMALL, scratch, names=["gold_deaths"], reuse=True)
+    assert 0 < gold.read().count() < before and gold.read().count() <= want
+    build(spark, SF_SMALL, scratch, names=["gold_deaths"])   # without reuse silver comes from bronze again
+    assert gold.read().count() == before
+
+
+def test_kept_tables_follow_the_input(spark, scratch):
+    from lakeweave.sources.tables import kept
+
+    folder = scratch + "/in"
+    build_one = lambda: spark.read.parquet(folder + "/t.parquet")
+    spark.range(3).write.parquet(folder + "/t.parquet")
+    assert kept(spark, folder, "t", build_one).count() == 3
+    spark.range(5).write.mode("append").parquet(folder + "/t.parquet")
+    assert kept(spark, folder, "t", build_one).count() == 8
+
+
+def test_catalog_table_grows_without_rewriting(spark, scratch):
+    from lakeweave.sources.catalog import append
+
+    name, place = "grown_" + os.path.basename(scratch).replace("-", "_").lower(), scratch + "/grown"
+    files = lambda: {f: os.path.getmtime(f) for f in glob.glob(place + "/**/*.parquet", recursive=True)}
+    append(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), name, "b1", "2024-01-01 00:00:00", place)
+    first = files()
+    append(spark.createDataFrame([(3, 7.5)], "k int, score double"), name, "b2", "2024-01-02 00:00:00")       # a new column, and one that is missing
+    append(spark.createDataFrame([(4, "d", 1.0)], "k long, v string, score double"), name, "b3", "2024-01-03 00:00:00")
+    grown = files()
+    assert first.items() <= grown.items() and len(grown) > len(first)
+    rows = lambda: sorted((r["k"], r["v"], r["score"], r["batch"], str(r["fetched_at"])[:10]) for r in spark.table(name).collect())
+    want = [(1, "a", None, "b1", "2024-01-01"), (2, "b", None, "b1", "2024-01-01"), (3, None, 7.5, "b2", "2024-01-02"), (4, "d", 1.0, "b3", "2024-01-03")]
+    assert rows() == want
+    append(spark.createDataFrame([(3, 7.5)], "k int, score double"), name, "b2", "2024-01-02 00:00:00")       # the batch again
+    assert rows() == want and first.items() <= files().items()
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_views_are_created_after_what_they_read(spark, scratch):
+    from lakeweave.sources.catalog import append, create_views, relations
+
+    tag = os.path.basename(scratch).replace("-", "_").lower()
+    append(spark.range(10).withColumnRenamed("id", "k"), f"base_{tag}", "b", "2024-01-01 00:00:00", scratch + "/base")
+    views = {f"a_{tag}": f"SELECT count(*) AS n FROM z_{tag}", f"z_{tag}": f"WITH w AS (SELECT k FROM base_{tag}) SELECT k FROM w WHERE k > (SELECT min(k) FROM w)"}
+    assert relations(spark, views[f"z_{tag}"]) == {f"base_{tag}"}
+    for _ in range(2):
+        assert create_views(spark, views) == [f"z_{tag}", f"a_{tag}"]
+    assert spark.table(f"a_{tag}").first()["n"] == 9
+    append(spark.range(20, 25).withColumnRenamed("id", "k"), f"base_{tag}", "c", "2024-01-02 00:00:00")
+    assert spark.table(f"a_{tag}").first()["n"] == 14       # a view, not a copy
+    for v in reversed(list(views)):
+        spark.sql(f"DROP VIEW {v}")
+    spark.sql(f"DROP TABLE base_{tag}")
 
 
 def test_required_columns_and_renames(spark):
