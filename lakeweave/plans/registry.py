@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["retail", "exploration", "climate", "combat", "metrics", "combat_ops", "corpus", "payloads", "reviews", "reference", "streaming", "quality_jobs"]
+FAMILIES = ["retail", "exploration", "climate", "combat", "metrics", "combat_ops", "corpus", "payloads", "reviews", "scoring", "reference", "streaming", "quality_jobs", "sql_marts"]
 
 
 def _load(attr: str) -> dict:

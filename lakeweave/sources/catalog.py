@@ -59,6 +59,12 @@ def relations(spark: SparkSession, statement: str) -> set[str]:
         elif kind == "UnresolvedRelation":
             found.add(node.multipartIdentifier().mkString(".").lower())
         todo.extend(node.children().apply(i) for i in range(node.children().size()))
+        expressions = [node.expressions().apply(i) for i in range(node.expressions().size())]
+        while expressions:      # subqueries inside expressions
+            e = expressions.pop()
+            if e.getClass().getSimpleName() in ("ScalarSubquery", "Exists", "ListQuery"):
+                todo.append(e.plan())
+            expressions.extend(e.children().apply(i) for i in range(e.children().size()))
     return found - inner
 
 
