@@ -120,9 +120,13 @@ class Reader:
         self.file.close()
 
 
-def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> tuple[str, bytes]:
-    """(record id, bytes) of a response, or of a revisit without the payload."""
-    name = f"<urn:page:{'' if page_id is None else page_id}:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>"
+def record_id(page_id: int | None, url: str, digest: str) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>"
+
+
+def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, refers_url: str = "") -> tuple[str, bytes]:
+    """(record id, bytes) of a response, or of a revisit without the payload, which names the response (``refers_to`` at ``refers_url``)."""
+    name = record_id(page_id, url, digest)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
     block = http if revisit else http + payload
@@ -131,7 +135,7 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
         f"WARC-Target-URI: {' '.join(url.split())}", f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}",
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if revisit:
-        head += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        head += [f"WARC-Refers-To: {record_id(refers_to, refers_url, digest)}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     return name, "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -163,10 +167,10 @@ def _write(folder: str):
         for batch in batches:
             for part, texts in pieces(batch, "html"):
                 rows = []
-                for page_id, url, text, digest, refers_to in zip(*(column(part, c).to_pylist() for c in ("page_id", "url")), texts.to_pylist(), *(column(part, c).to_pylist() for c in ("digest", "refers_to"))):
+                for page_id, url, text, digest, refers_to, refers_url in zip(*(column(part, c).to_pylist() for c in ("page_id", "url")), texts.to_pylist(), *(column(part, c).to_pylist() for c in ("digest", "refers_to", "refers_url"))):
                     if bundle is None:
                         bundle = Bundle(f"{folder}/bundle-{uuid.uuid4().hex}.warc.zst")
-                    name, data = record(page_id, url or "", text.encode(), digest, refers_to)
+                    name, data = record(page_id, url or "", text.encode(), digest, refers_to, refers_url or "")
                     frame, begin = bundle.add(data)
                     rows.append((page_id, name, bundle.path, frame, begin, len(data)))
                     if bundle.written >= BUNDLE_BYTES:
@@ -187,11 +191,11 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> DataFra
     tuned(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")) \
         .withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    long = rows.where(F.octet_length("html") >= least).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("target")).where("n > 1")
-    targets = stored(long.select(F.col("digest").alias("of"), "target"), "targets")
-    named = rows.join(sized(targets, 100), F.when(F.octet_length("html") >= least, F.col("digest")) == F.col("of"), "left") \
+    long = rows.where(F.octet_length("html") >= least).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", F.coalesce("url", F.lit("")).alias("url"))).alias("target")).where("n > 1")
+    targets = stored(long.select(F.col("digest").alias("of"), F.col("target.page_id").alias("target"), F.col("target.url").alias("refers_url")), "targets")
+    named = rows.join(sized(targets, 100, F.octet_length("refers_url")), F.when(F.octet_length("html") >= least, F.col("digest")) == F.col("of"), "left") \
         .withColumn("refers_to", F.when(F.col("page_id").eqNullSafe(F.col("target")), F.lit(None)).otherwise(F.col("target")))
-    return stored(named.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(_write(folder), INDEX), "index")
+    return stored(named.select("page_id", "url", "html", "digest", "refers_to", "refers_url").mapInArrow(_write(folder), INDEX), "index")
 
 
 def _each(rows: list[tuple[str, int]], take: Callable[[bytes, int], Iterator[tuple]]) -> Iterator[tuple]:
