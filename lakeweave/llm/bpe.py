@@ -8,9 +8,12 @@ block's words, meets the ids there and the token sequences are put together.
 A frequent word is sent once per block, not once per occurrence.  Decoding
 joins ids with the table of token bytes, which has as many rows as the vocabulary.
 
+Both passes carry a hash of the block that they cut: if a lost executor's second try cut another one (an input
+without a fixed order), the job fails and gives no wrong ids.
+
 Defined cases: null text counts as empty and has no tokens; a word of any length is
-merged (long ones over a heap); repeated rows give repeated rows; null ids stay
-null; other columns are ignored.
+merged (long ones over a heap); pairs of equal rank are merged from the left; repeated rows give repeated rows; null ids stay
+null; an empty table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -199,6 +203,13 @@ class _Block:
         self.batches.append((ids, counts, np.fromiter(map(self.number.__getitem__, words), dtype=np.int32, count=len(words))))
         self.size += len(raw)
 
+    def checksum(self) -> int:
+        """Hash of the block's words and of where they stand: both passes must have cut the same block."""
+        h = xxhash.xxh3_64(b"\0".join(self.number))
+        for _, counts, flat in self.batches:
+            h.update(counts.astype("<i8").tobytes() + flat.tobytes())
+        return h.intdigest() - (1 << 63)
+
     def dealt(self, buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The words, their buckets, and their order by bucket."""
         words = list(self.number)
@@ -240,6 +251,7 @@ def _words(content: bytes, pattern: str, block_bytes: int, buckets: int):
             rows = [[words[i] for i in order[a:b]] for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_pydict({
                 "bucket": bucket[order][cuts[:-1]].astype(np.int32), "block": pa.array([number] * len(rows), pa.int64()),
+                "check": pa.array([block.checksum()] * len(rows), pa.int64()),
                 "lengths": [np.array([len(w) for w in r], dtype="<u4").tobytes() for r in rows], "words": [b"".join(r) for r in rows]})
     return run
 
@@ -260,7 +272,7 @@ def _places(content: bytes, pattern: str, block_bytes: int, buckets: int):
             by_count = np.argsort(-count, kind="stable")
             rank = np.empty(len(words), dtype=np.int64)
             rank[by_count] = np.arange(len(words))
-            yield _row(number, 0, 0, _planes(place[by_count]), b"", None)
+            yield _row(number, 0, 0, _planes(place[by_count]), b"", pa.array([block.checksum()], pa.int64()))
             for seq, (ids, counts, flat) in enumerate(block.batches):
                 yield _row(number, 2, seq, _planes(rank[flat]), counts.astype("<u4").tobytes(), ids)
     return run
@@ -285,7 +297,7 @@ def _merge(content: bytes, pattern: str):
         current = None
         for batch in batches:
             out: list[tuple] = []
-            for bucket, block, lengths, words in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, block, check, lengths, words in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != current:
                     known, current = {}, bucket
                 at, sizes, ids = 0, [], []
@@ -298,13 +310,13 @@ def _merge(content: bytes, pattern: str):
                         got = known[word] = (len(tokens), np.array(tokens, dtype=vocabulary.type).tobytes())
                     sizes.append(got[0])
                     ids.append(got[1])
-                out.append((block, bucket, b"".join(ids), np.array(sizes, dtype="<u4").tobytes()))
+                out.append((block, bucket, check, b"".join(ids), np.array(sizes, dtype="<u4").tobytes()))
             if out:
-                block, bucket, ids, sizes = zip(*out)
+                block, bucket, check, ids, sizes = zip(*out)
                 n = len(out)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(block, pa.int64()), pa.array([1] * n, pa.int32()), pa.array(bucket, pa.int32()), pa.array(ids, pa.binary()), pa.array(sizes, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0] * (n + 1), pa.int32()), pa.array([], pa.int64()))], names=["block", "kind", "seq", "data", "counts", "ids"])
+                    pa.ListArray.from_arrays(pa.array(range(n + 1), pa.int32()), pa.array(check, pa.int64()))], names=["block", "kind", "seq", "data", "counts", "ids"])
     return run
 
 
@@ -324,7 +336,8 @@ def _assemble(content: bytes, pattern: str, finish: Callable):
             ids = np.frombuffer(b"".join(data[i] for i in words), dtype=vocabulary.type)
             begin = np.cumsum(length) - length
             order = _unplanes(data[kind.index(0)])
-            if len(order) != len(length):
+            check = rows["ids"][kind.index(0)].as_py()
+            if len(order) != len(length) or any(rows["ids"][i].as_py() != check for i in words):
                 raise RuntimeError("the passes over the texts cut different blocks")
             for i, k in enumerate(kind):
                 if k != 2:
@@ -358,7 +371,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, finish: Callable, schema:
         content = f.read()
     buckets = max(buckets, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    words = texts.mapInArrow(_words(content, pattern, block_bytes, buckets), "bucket int, block long, lengths binary, words binary")
+    words = texts.mapInArrow(_words(content, pattern, block_bytes, buckets), "bucket int, block long, check long, lengths binary, words binary")
     ids = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(content, pattern), ROWS)
     # the texts come first: a union keeps its first child's partition numbers, which number the blocks
     rows = texts.mapInArrow(_places(content, pattern, block_bytes, buckets), ROWS).unionByName(ids)
