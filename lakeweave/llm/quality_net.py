@@ -6,14 +6,15 @@ document.  A hidden layer looks at each chunk; its units are max-pooled over the
 chunks and combined into one probability.  For scoring, embedding and filters are
 folded into two tables of byte pairs, so a position costs two lookups.
 
-The network is fitted on a bounded sample of labelled documents: ``SAMPLE`` of each
-label at most, the smallest by a hash of their id, and of a long one
-``SAMPLE_BYTES`` in evenly spaced chunks.  Scoring reads whole documents.
+The network is fitted on a bounded sample of whole labelled documents: of each label, in the order of a
+hash of their id, ``SAMPLE`` at most, and as many as ``SAMPLE_BYTES`` have room for; one longer than an
+eighth of that is passed over, so that no step needs much memory.  Scoring reads whole documents.
 
 Defined cases: null and empty texts get the score of the labels' prior; labels that
 are null are ignored, of repeated labels of a document the lowest counts; without
 labels of both kinds every score is the share of good labels (0.5 without any); repeated
-rows give repeated rows; other columns are ignored.
+rows give repeated rows; of several texts of one doc_id the one with the smallest hash is learned from, ids of equal hash go by id; texts of any length
+are scored as a whole; an empty table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,17 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .base import column, sized, stored, table, tuned
-from .words import as_text, pieces, text_bytes
+from .words import pieces, text_bytes
 
 FILTERS, WIDTH, EMBEDDING, HIDDEN = 16, 4, 8, 12
 #: Bytes of half a chunk: chunks are two neighbouring halves.
 HALF = 64
 SAMPLE = 700
-SAMPLE_BYTES = 3072
+SAMPLE_BYTES = 1_800_000
 EPOCHS, BATCH, RATE = 7, 32, 0.008
 THRESHOLD = 0.3
 #: Padded half chunks worked on at once.
@@ -206,24 +207,6 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def _excerpt(limit: int):
-    """Whole short texts; of long ones, evenly spaced chunks of the training bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, off = text_bytes(as_text(column(batch, "text")))
-            out = []
-            for a, b in zip(off, off[1:]):
-                data = raw[a:b].tobytes()
-                if len(data) > limit:
-                    n = limit // (2 * HALF)
-                    step = (len(data) - 2 * HALF) / (n - 1)
-                    data = b"".join(data[int(k * step):int(k * step) + 2 * HALF] for k in range(n))
-                out.append(data)
-            yield pa.RecordBatch.from_arrays([column(batch, "quality"), column(batch, "doc_id"), pa.array(out, pa.binary())], names=["quality", "doc_id", "data"])
-    return run
-
-
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network:
     """The network fitted on the sample; ``docs`` gives doc_id and text, ``labels`` doc_id and quality."""
     tuned(docs.sparkSession)
@@ -235,10 +218,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
     if len(count) < 2:
         network.prior = (count.get(1, 0) / total) if total else 0.5
         return network
-    picked = [marks.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id")).limit(sample) for q in (0, 1)]
+    place = F.struct(F.xxhash64("doc_id"), F.col("doc_id"))
+    picked = [marks.where(F.col("quality") == q).orderBy(place).limit(sample) for q in (0, 1)]
     picked = stored(picked[0].unionByName(picked[1]), "sample")  # two times ``sample`` rows at most
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sized(picked, 16), "doc_id").dropDuplicates(["doc_id"]) \
-        .select("quality", "doc_id", "text").mapInArrow(_excerpt(sample_bytes), "quality int, doc_id long, data binary").collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(sized(picked, 16), "doc_id")
+    short = texts.where(F.octet_length("text") <= sample_bytes // 8).groupBy("quality", "doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    upto = F.sum(F.octet_length("text")).over(Window.partitionBy("quality").orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = stored(short, "texts").withColumn("upto", upto).where(F.col("upto") <= sample_bytes).select("quality", "doc_id", F.col("text").cast("binary").alias("data")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     if len({r["quality"] for r in rows}) == 2:
         network.fit([bytes(r["data"]) for r in rows], np.array([r["quality"] for r in rows]), count[1] / total)
