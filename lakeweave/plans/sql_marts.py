@@ -116,11 +116,10 @@ def qc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, table = climate_raw(spark, sf_dir), climate.climat_data(spark, sf_dir)
     files = climate.qc_files(raw)
     listed = files.agg(F.sort_array(F.collect_list(F.struct("fichier", *[c for c in files.columns if c != "fichier"]))).alias("fichiers"))      # a row per delivery
-    fusion, drift = climate.qc_fusion(raw), climate.qc_drift(raw, table)
-    stored = F.struct(F.col("table_rows").alias("lignes"), F.col("pct_table_null").alias("pct_temp_min_null"))
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    report = one(listed).join(one(fusion), "_one").join(one(drift), "_one")
-    return report.select(F.to_json(F.struct("fichiers", "fusion_lignes", "fusion_pct_tn_null", "fusion_chevauchement_cles", stored.alias("postgres"), "verdict"), {"ignoreNullFields": "false"}).alias("report"))
+    one = lambda df: df.select(F.struct(*df.columns)).scalar()  # noqa: E731  a one-row frame as a scalar subquery
+    report = listed.select("fichiers", one(climate.qc_fusion(raw)).alias("f"), one(climate.qc_drift(raw, table)).alias("d"))
+    stored = F.struct(F.col("d.table_rows").alias("lignes"), F.col("d.pct_table_null").alias("pct_temp_min_null"))
+    return report.select(F.to_json(F.struct("fichiers", "f.fusion_lignes", "f.fusion_pct_tn_null", "f.fusion_chevauchement_cles", stored.alias("postgres"), "d.verdict"), {"ignoreNullFields": "false"}).alias("report"))
 
 
 def qc_report_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
