@@ -1,8 +1,10 @@
 """Quality rules with the perplexity of a modified Kneser-Ney n-gram model.
 
-The model is over characters folded to 32 symbols (letters, one each for capitals,
-digits, punctuation, other signs, other letters, and the gap between words), with
-runs of ``ORDER`` symbols, one model a language.  Spark counts the runs of all
+The model is over characters folded to 64 symbols: a to z, one each for capitals, digits,
+punctuation, other signs and the gap between words, and 32 for the code points from U+0080, by
+their last five bits.  In the alphabets of Latin-1, Greek and Cyrillic these bits tell the letters of
+one case apart and are the same for both cases; in larger scripts several characters share a symbol.
+The model has runs of ``ORDER`` symbols, one model a language.  Spark counts the runs of all
 documents, and derives from the counts the continuation counts of the lower orders and
 the three discounts of each order.  A model is stored as sorted arrays of run codes with
 these counts.  A text is scored under the counts without its own runs and those of the texts
@@ -17,8 +19,10 @@ A document is rejected when its log perplexity leaves its language's band.  Its
 from the median of all the language's documents that have ``BAND_WORDS`` words or more and
 pass the base rules (the others are rejected without a band) counts in
 spreads s(n) = sqrt(q**2 + NOISE**2 / n), q the distance of the quartiles and n the document's
-symbols (a mean over few symbols strays more); the band ends at the quantiles ``TAIL`` and
-1 - ``TAIL`` of these distances, counted over the same documents.
+symbols (a mean over few symbols strays more); the band ends at ``REACH`` times the first and the
+last decile of these distances, counted over the same documents.  So it is no quota: where the
+distances fall off as a normal distribution's do, 1 document in 10 000 lies outside, and up to a
+tenth of a language's documents on either side may be far off without moving its band.
 
 Defined cases: null text has no words and fails the base rules; null languages are one
 language; a language without documents long enough has no band and rejects none;
@@ -39,7 +43,7 @@ from .base import column, sized, stored, table, tuned
 from .words import SPACE, Words, byte_hashes, pieces, mix, text_bytes
 
 ORDER = 5
-BITS = 5
+BITS = 6
 #: Entries (about 20 bytes each) of the models that are scored at once.
 MODEL_ENTRIES = 6_000_000
 #: Different runs that a counting task holds before it hands them on.
@@ -51,8 +55,9 @@ LEAST_WORDS = 20
 MAX_REPEATED = 30
 WINDOW = 8
 BAND_WORDS = 50
-#: Share of a language's documents that pass the base rules beyond either end of its band.
-TAIL = 0.025
+#: Ends of a band, as multiples of the outer deciles of the distances; a decile counts as ``LEAST_DECILE`` spreads at least.
+REACH = 3.0
+LEAST_DECILE = 0.5
 #: Spread of one symbol's log probability, least distance of quartiles, and steps in which quartiles are counted.
 NOISE = 1.0
 LEAST_WIDTH = 0.02
@@ -66,7 +71,7 @@ _FOLD[0x61:0x7B] = np.arange(1, 27)                # a-z
 _FOLD[0x41:0x5B] = 27                              # A-Z
 _FOLD[0x30:0x3A] = 28                              # digits
 _FOLD[[ord(c) for c in ".,;:!?'\"()-"]] = 29       # punctuation
-_FOLD[0x80:] = 31                                  # other letters
+_FOLD[0x80:] = 32 + (np.arange(0x80, 0x100) & 31)  # others: the last byte holds the last bits of the code point
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -76,7 +81,9 @@ def codes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     White space of any length is one gap; each text begins after gaps."""
     white = ~SPACE[raw]
-    keep = (raw & 0xC0) != 0x80
+    # a character counts at its last byte
+    keep = np.ones(len(raw), dtype=bool)
+    keep[:-1] = (raw[1:] & 0xC0) != 0x80
     again = white.copy()
     again[1:] &= white[:-1]
     again[:1] = False
@@ -289,8 +296,8 @@ def _packed(model: DataFrame, units: dict[str, list[int] | None] | None = None)
 def passes(model: DataFrame, entries: int = MODEL_ENTRIES, most: int = MODEL_ENTRIES) -> list[dict[str, list[int] | None]]:
     """The languages, or shares of a language of over ``most`` entries, that each pass scores.
 
-    A pass stays under ``entries`` unless one language (under ``most``) or one share (under 32**4 and
-    a few more runs) is larger."""
+    A pass stays under ``entries`` unless one language (under ``most``) or one share (under 64**3
+    runs of five, and all of up to three symbols) is larger."""
     sizes = sorted((r["lang"], r["n"]) for r in model.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).toLocalIterator())
     large = [lang for lang, n in sizes if n > most]
     units: list[tuple[str, list[int] | None, int]] = [(lang, None, n) for lang, n in sizes if n <= most]
@@ -298,13 +305,15 @@ def passes(model: DataFrame, entries: int = MODEL_ENTRIES, most: int = MODEL_ENT
         counted = model.where((F.col("lang") == lang) & (F.col("kind") == 0) & (F.col("order") > 3)).groupBy(_share().alias("share")).agg(F.count(F.lit(1)).alias("n"))
         held = {r["share"]: r["n"] for r in counted.collect()}
         shares: list[int] = []
+        total = 0
         # all shares are dealt: a run of another text may be in one that the model has nothing in
         for share in range(SHARES):
-            if shares and sum(held.get(x, 0) for x in shares) + held.get(share, 0) > most:
-                units.append((lang, shares, sum(held.get(x, 0) for x in shares)))
-                shares = []
+            if shares and total + held.get(share, 0) > most:
+                units.append((lang, shares, total))
+                shares, total = [], 0
             shares.append(share)
-        units.append((lang, shares, sum(held.get(x, 0) for x in shares)))
+            total += held.get(share, 0)
+        units.append((lang, shares, total))
     out: list[dict[str, list[int] | None]] = [{}]
     room = entries
     for lang, shares, n in units:
@@ -427,23 +436,24 @@ def _spread() -> Column:
     return F.sqrt(F.col("width") * F.col("width") + F.lit(NOISE ** 2) / F.greatest(F.col("symbols"), F.lit(1)))
 
 
-def bands(scores: DataFrame, band_words: int = BAND_WORDS, tail: float = TAIL) -> DataFrame:
-    """(lang, mid, width, low, high): median and distance of quartiles of the log perplexity, and the quantiles ``tail``
-    and 1 - ``tail`` of its distance from the median in spreads, over all documents long enough that pass the base rules."""
+def bands(scores: DataFrame, band_words: int = BAND_WORDS, reach: float = REACH) -> DataFrame:
+    """(lang, mid, width, low, high): median and distance of quartiles of the log perplexity, and ``reach`` times the outer
+    deciles of its distance from the median in spreads, over all documents long enough that pass the base rules."""
     long = scores.where((F.col("n_words") >= band_words) & ~_failed())
     middle = stored(_quantiles(long, F.col("log_perplexity"), {"mid": 0.5, "q1": 0.25, "q3": 0.75}).select(
         "lang", "mid", F.greatest(F.lit(LEAST_WIDTH), F.col("q3") - F.col("q1")).alias("width")), "middle")
     away = long.join(sized(middle, 100), "lang")
-    ends = _quantiles(away, (F.col("log_perplexity") - F.col("mid")) / _spread(), {"low": tail, "high": 1 - tail})
+    ends = _quantiles(away, (F.col("log_perplexity") - F.col("mid")) / _spread(), {"low": 0.1, "high": 0.9})
     # the values of a step lie up to one step above it
-    return middle.join(ends, "lang").withColumn("high", F.col("high") + STEP)
+    least = F.lit(LEAST_DECILE)
+    return middle.join(ends, "lang").withColumn("low", reach * F.least(F.col("low"), -least)).withColumn("high", reach * F.greatest(F.col("high") + STEP, least))
 
 
-def quality_rules(docs: DataFrame, tail: float = TAIL, band_words: int = BAND_WORDS) -> DataFrame:
+def quality_rules(docs: DataFrame, reach: float = REACH, band_words: int = BAND_WORDS) -> DataFrame:
     """One row per document: the base measures, whether it fails the base rules, whether it is kept, and its log perplexity."""
     tuned(docs.sparkSession)
     scores = measured(docs, estimate(docs))
-    limits = stored(bands(scores, band_words, tail), "bands")
+    limits = stored(bands(scores, band_words, reach), "bands")
     away = (F.col("log_perplexity") - F.col("mid")) / _spread()
     inside = F.coalesce(away.between(F.col("low"), F.col("high")), F.lit(True))
     return scores.join(sized(limits, 100), "lang", "left").withColumn("base_failed", _failed()).withColumn("kept", ~_failed() & inside).select(*RESULT)

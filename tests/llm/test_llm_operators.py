@@ -200,8 +200,8 @@ def test_perplexity_rules(docs, empty, texts):
 def test_kneser_ney_probabilities(docs):
     model = perplexity.estimate(docs)
     for m in perplexity._models(tuple(perplexity._packed(model))).values():
-        for context in (0, 1 << 10 | 37, 5000, 32767):
-            run = (np.int32(context) << 5) + np.arange(32, dtype=np.int32)
+        for context in (0, 1 << 10 | 37, 5000, 32767, (1 << 24) - 1):
+            run = (np.int32(context) << perplexity.BITS) + np.arange(1 << perplexity.BITS, dtype=np.int32)
             assert abs(np.exp(m.log_probability(run).astype(float)).sum() - 1) < 1e-5
     # languages in several groups give the same as together
     one, many = (sorted((r["doc_id"] or -1, r["log_perplexity"]) for r in perplexity.measured(docs, model, entries=n).collect()) for n in (10**7, 10))
@@ -229,23 +229,48 @@ def test_texts_are_scored_without_their_copies(spark):
         # the counts of a corpus without the text, with the discounts of the whole one
         rest, levels = np.concatenate([runs_of(t) for t in every if t != text]), {}
         for order in range(perplexity.ORDER, 0, -1):
-            run, raw = np.unique(rest & ((1 << 5 * order) - 1), return_counts=True)
-            above = levels[order + 1][0] & ((1 << 5 * order) - 1) if order < perplexity.ORDER else None
+            run, raw = np.unique(rest & ((1 << perplexity.BITS * order) - 1), return_counts=True)
+            above = levels[order + 1][0] & ((1 << perplexity.BITS * order) - 1) if order < perplexity.ORDER else None
             levels[order] = (run, raw if above is None else np.unique(above, return_counts=True)[1], raw)
         plain = perplexity.Model(levels, {order: d[1:] for order, d in whole.discounts.items()})
         want = -plain.log_probability(runs_of(text)).mean()
         assert abs(got[every.index(text)][0]["log_perplexity"] - want) < 1e-9, i
 
 
-def test_bands_hold_a_fixed_share(spark):
-    """Both ends are quantiles; documents that fail the base rules don't move them."""
+def test_bands_are_no_quota(spark):
+    """An even corpus loses nothing, far documents go whatever their share; base failures don't move the ends."""
     row = lambda i, x, repeated: (i, "en", 100, repeated, 600, x)
-    rows = [row(i, 2 + i / 1000, 0) for i in range(1000)] + [row(i, 0.1, 90) for i in range(1000, 1400)]
-    scores = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, n_repeat_words long, symbols long, log_perplexity double")
-    limits = perplexity.bands(scores)
-    away = (F.col("log_perplexity") - F.col("mid")) / perplexity._spread()
-    kept = scores.where("n_repeat_words = 0").join(limits, "lang").where(away.between(F.col("low"), F.col("high"))).count()
-    assert abs(kept - 1000 * (1 - 2 * perplexity.TAIL)) < 8
+    even = [row(i, 2 + i / 1000, 0) for i in range(1000)] + [row(i, 0.1, 90) for i in range(1000, 1400)]
+    far = [row(2000 + i, 9.0, 0) for i in range(80)] + [row(3000 + i, 0.05, 0) for i in range(40)]
+    same = [row(i, 2.0, 0) for i in range(50)] + [row(50, 2.05, 0), row(51, 4.0, 0)]
+
+    def kept(rows):
+        scores = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, n_repeat_words long, symbols long, log_perplexity double")
+        away = (F.col("log_perplexity") - F.col("mid")) / perplexity._spread()
+        inside = scores.where("n_repeat_words = 0").join(perplexity.bands(scores), "lang").where(away.between(F.col("low"), F.col("high")))
+        return {r["doc_id"] for r in inside.select("doc_id").collect()}
+
+    assert kept(even) == set(range(1000))
+    assert kept(even + far) == set(range(1000))
+    assert kept(same) == set(range(51))
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрстуя", "αβγδεζηθικλμνοπρστυω", "abcdefghijklmnopqrst"])
+def test_letter_gibberish_goes_in_every_script(spark, letters):
+    r = random.Random(5)
+    lexicon = ["".join(r.choice(letters) for _ in range(r.randrange(2, 9))) for _ in range(150)]
+    prose = [" ".join(r.choice(lexicon) for _ in range(r.randrange(60, 200))) for _ in range(390)]
+    noise = [" ".join("".join(r.choice(letters) for _ in range(r.randrange(2, 9))) for _ in range(120)) for _ in range(10)]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(prose + noise)], "doc_id long, text string, lang string").repartition(4)
+    kept = {x["doc_id"] for x in perplexity.quality_rules(docs).where("kept").select("doc_id").collect()}
+    assert not kept & set(range(390, 400)) and len(kept) >= 388
+
+
+def test_characters_are_folded_by_their_code_point():
+    fold = lambda t: (perplexity.codes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] & 63).tolist()
+    assert fold("az  \n A9,#") == [1, 26, 0, 27, 28, 29, 30]
+    assert fold("éб中😀") == [32 + (ord(c) & 31) for c in "éб中😀"]
+    assert fold("ЖΑÉ") == fold("жαé")
 
 
 def test_symbol_runs_are_counted_whole():
