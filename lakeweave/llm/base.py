@@ -80,6 +80,14 @@ def groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tupl
         yield held_key, pa.Table.from_batches(held)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

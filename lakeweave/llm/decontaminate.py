@@ -8,8 +8,9 @@ can match.
 
 Defined cases: null text and null item text have no words; an item without
 words has no window; an item of fewer than ``window`` words is one window;
-repeated items count as items of their own; repeated documents give repeated
-rows; an empty benchmark leaves all documents clean; other columns are ignored.
+repeated items count as items of their own; equal ids of different items are one name; repeated documents give repeated
+rows; an empty benchmark leaves all documents clean; no documents give no rows; a text of any
+length is streamed in linear time; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import column, table, tuned, with_text
+from .base import column, stored, table, tuned, unused, with_text
 from .words import ALNUM, Words, pieces
 
 WINDOW = 10
 #: Bytes of item texts in one automaton, and so in one broadcast closure.
 BLOCK_BYTES = 2_000_000
+#: Blocks that one stage runs one after the other; after them the marks are stored.
+STAGE_BLOCKS = 8
 #: A document is dropped by ``remove_spans`` when more than this share of its words is hit.
 MAX_COVERAGE = 0.5
 
@@ -182,46 +185,55 @@ class Marker:
         return words, np.cumsum(steps[:-1]) > 0, items
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of about ``block_bytes``; only one automaton's items are in a closure."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[bool, list[tuple[str, str]]]]:
+    """(whether it is the last, items) of blocks of about ``block_bytes``, each read when it is asked for."""
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("t"))
     total = items.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0
     n = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64("id", "t"), F.lit(n))
-    return [sorted((r["id"] or "", r["t"]) for r in items.where(block == k).toLocalIterator()) for k in range(n)]
+    if n > 1:  # each block is then a read of its own files
+        items = stored(items.withColumn("block", block).repartitionByRange(int(n), "block", "id").sortWithinPartitions("block"), "items")
+        block = F.col("block")
+    for k in range(n):
+        yield k == n - 1, sorted((r["id"] or "", r["t"]) for r in items.where(block == k).toLocalIterator())
 
 
 def _marked(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, finish: Callable, schema) -> DataFrame:
-    """Runs the blocks of items over the documents, one after the other in the same stage;
-    ``finish(batch, words, hit, items)`` gives the rows of the last one."""
-    blocks = _blocks(benchmark, block_bytes)
-    marks = T.StructType([*docs.schema.fields, T.StructField("__hit", T.BinaryType()), T.StructField("__items", T.ArrayType(T.StringType()))])
-    for items in blocks[:-1]:
-        docs = docs.mapInArrow(_pass(items, window, None), marks)
-    return docs.mapInArrow(_pass(blocks[-1], window, finish), schema)
+    """Runs the blocks of items over the documents, ``STAGE_BLOCKS`` one after the other in a stage;
+    ``finish(batch, texts, words, hit, items)`` gives the rows of the last one.
 
+    Between stages the documents are stored with their marks, so that the driver holds the items of
+    one stage and a lost executor repeats one stage."""
+    marks = unused(docs, "hit_bits"), unused(docs, "hit_items")
+    marked = T.StructType([*docs.schema.fields, T.StructField(marks[0], T.BinaryType()), T.StructField(marks[1], T.ArrayType(T.StringType()))])
+    for k, (last, items) in enumerate(_blocks(benchmark, block_bytes), 1):
+        docs = docs.mapInArrow(_pass(items, window, finish if last else None, marks), schema if last else marked)
+        if not last and k % STAGE_BLOCKS == 0:
+            docs = stored(docs, "marks")
+    return docs
 
-def _pass(items: list[tuple[str, str]], window: int, finish: Callable | None) -> Callable:
+
+def _pass(items: list[tuple[str, str]], window: int, finish: Callable | None, marks: tuple[str, str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marker = Marker.of(items, window)
         for batch in batches:
             for part, texts in pieces(batch):
                 words, hit, found = marker.mark(texts)
-                before = part.schema.get_field_index("__hit")
+                before = part.schema.get_field_index(marks[0])
                 if before >= 0:
                     earlier = part.column(before).to_pylist()
                     hit = hit | np.unpackbits(np.frombuffer(b"".join(earlier), np.uint8))[_bits(words)].astype(bool) if len(hit) else hit
-                    for d, names in enumerate(column(part, "__items").to_pylist()):
+                    for d, names in enumerate(column(part, marks[1]).to_pylist()):
                         if names:
                             found.setdefault(d, set()).update(names)
+                plain = [c for c in part.schema.names if c not in marks]
                 if finish is not None:
-                    yield from finish(part, texts, words, hit, found)
+                    yield from finish(part.select(plain), texts, words, hit, found)
                     continue
-                plain = [c for c in part.schema.names if c not in ("__hit", "__items")]
-                marks = [np.packbits(hit[a:b]).tobytes() for a, b in zip(words.first, words.first[1:])]
+                bits = [np.packbits(hit[a:b]).tobytes() for a, b in zip(words.first, words.first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [*(column(part, c) for c in plain), pa.array(marks, pa.binary()), pa.array([sorted(found.get(d, ())) for d in range(part.num_rows)], pa.list_(pa.string()))],
-                    names=[*plain, "__hit", "__items"])
+                    [*(column(part, c) for c in plain), pa.array(bits, pa.binary()), pa.array([sorted(found.get(d, ())) for d in range(part.num_rows)], pa.list_(pa.string()))],
+                    names=[*plain, *marks])
     return run
 
 
@@ -272,8 +284,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
                 out.append(raw[at:words.start[lo + a] - base])
                 at = words.end[lo + b] - base
             new[d] = b"".join([*out, raw[at:]]).decode()
-        plain = part.select([c for c in part.schema.names if c not in ("__hit", "__items")])
-        yield with_text(plain, new).filter(pa.array(keep))
+        yield with_text(part, new).filter(pa.array(keep))
 
     return _marked(docs, benchmark, window, block_bytes, finish, docs.schema)
 
