@@ -5,7 +5,8 @@ words (of all its words if it has fewer).  Equal texts form one class, of which
 the smallest id takes part.  The number of bands follows from the rows per band
 and the recall wanted for a pair at the threshold.
 
-Work inside a bucket is done in blocks of two chunks of documents: the block's
+Work inside a bucket is done in blocks of two chunks of documents, bounded by their number and
+their bytes (documents are dealt to chunks by hash, so the bounds hold on average): the block's
 task verifies all its pairs on the full sets and returns counts and a spanning
 forest, never pairs, so a group of thousands of near copies costs rows in
 proportion to its size.  A pair that meets in several buckets counts in the
@@ -13,7 +14,8 @@ first only.
 
 Defined cases: texts without words (null and empty ones) have no set: no links,
 class of their own.  Repeated rows count as one document and give repeated result
-rows.  A null id gives class null and no links.  Other columns are ignored.
+rows.  A null id gives class null and no links.  No documents give no rows.  Of equal texts, and of a
+class, the smallest id stands for the others.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import column, groups, sized, stored, table, tuned
+from .base import column, groups, sized, stored, table, tuned, unused
 from .components import components
 from .words import Words, pieces, run_hashes, signed
 
@@ -37,6 +39,8 @@ ROWS = 5
 RECALL = 0.9999
 #: Documents in one chunk of a large bucket; a task holds two chunks.
 CHUNK = 512
+#: Bytes of text in one chunk, but for a text that is longer by itself.
+CHUNK_BYTES = 32_000_000
 #: Distinct n-grams counted at once in a block.
 COLUMNS = 4096
 
@@ -76,7 +80,7 @@ def _signatures(n: int, rows: int, bands: int):
                     keys = signed(run_hashes(np.ascontiguousarray(least).ravel(), rows)[::rows].reshape(len(first), bands))
                     for i, k in zip(d[first].tolist(), keys):
                         sets[i] = k
-                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "digest"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "digest"), column(part, "bytes"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "digest", "bytes", "bands"])
     return run
 
 
@@ -141,7 +145,7 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         root = new
 
 
-def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
+def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per document: doc_id, class_id (smallest id among the documents that links
     join it to, its copies included), copy_of (smallest id of an equal text), n_copies
     (documents of equal text) and n_links (other documents with a similarity of
@@ -149,25 +153,25 @@ def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, rows
     tuned(docs.sparkSession)
     bands = band_count(threshold, rows, recall)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = "doc_id long, digest binary, bands array<long>"
-    signed_docs = stored(source.withColumn("digest", F.unhex(F.md5("text"))).mapInArrow(_signatures(n, rows, bands), schema), "minhash")
+    schema = "doc_id long, digest binary, bytes long, bands array<long>"
+    signed_docs = stored(source.withColumn("digest", F.unhex(F.md5("text"))).withColumn("bytes", F.octet_length("text").cast("long")).mapInArrow(_signatures(n, rows, bands), schema), "minhash")
 
     # classes of equal texts; only their smallest ids go on
-    named = signed_docs.where("doc_id IS NOT NULL AND bands IS NOT NULL").select("doc_id", "digest", "bands")
-    unique = named.groupBy("doc_id", "digest").agg(F.first("bands").alias("bands"))
-    classes = stored(unique.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "classes")
+    named = signed_docs.where("doc_id IS NOT NULL AND bands IS NOT NULL").select("doc_id", "digest", "bytes", "bands")
+    unique = named.groupBy("doc_id", "digest").agg(F.first("bytes").alias("bytes"), F.first("bands").alias("bands"))
+    classes = stored(unique.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes"), F.first("bands").alias("bands")), "classes")
 
     # buckets of two or more classes; of buckets with the same members one is enough
-    placed = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
+    placed = classes.select("rep", "bytes", F.posexplode("bands").alias("band", "bucket"))
     met = placed.groupBy("band", "bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"), F.min("rep").alias("least")).where("size > 1")
-    kept = stored(met.groupBy("size", "members", "least").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.band", "b.bucket", "size"), "buckets")
-    member = stored(placed.join(sized(kept, 32), ["band", "bucket"]), "members")
+        F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("bytes"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"), F.min("rep").alias("least")).where("size > 1")
+    kept = stored(met.groupBy("size", "bytes", "members", "least").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.band", "b.bucket", "size", F.col("bytes").alias("text_bytes")), "buckets")
+    member = stored(placed.drop("bytes").join(sized(kept, 32), ["band", "bucket"]), "members")
     own = member.groupBy("rep").agg(F.map_from_entries(F.collect_list(F.struct("band", "bucket"))).alias("m")).select(
         "rep", F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0).cast("long"))).alias("kept"))
 
     # a document goes to the blocks of its chunk with every chunk of the bucket
-    chunks = F.ceil(F.col("size") / F.lit(chunk)).cast("int")
+    chunks = F.ceil(F.greatest(F.col("size") / F.lit(chunk), F.col("text_bytes") / F.lit(chunk_bytes))).cast("int")
     blocks = member.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
         .select("rep", "band", "bucket", "chunk", F.least("chunk", "other").cast("int").alias("i"), F.greatest("chunk", "other").cast("int").alias("j"))
@@ -193,15 +197,17 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
 
     Documents without words or without an id have no duplicates and stay."""
     classes = stored(jaccard_join(docs, **options), "classes")
-    gone = stored(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    again = classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__gone"))
+    name = unused(docs, "id_of_class")
+    same = F.col("doc_id").cast("long") == F.col(name)
+    gone = stored(classes.where("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    again = classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(name))
     # rows that repeat a document: they are few or none, and only they are compared as rows
     again = stored(again, "repeated")
-    rest = docs.join(sized(gone, 16), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    rest = docs.join(sized(gone, 16), same, "left_anti")
     if not again.head(1):
         return rest
-    repeated = rest.join(sized(again, 16), F.col("doc_id").cast("long") == F.col("__gone"), "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(sized(again, 16), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti").unionByName(repeated)
+    repeated = rest.join(sized(again, 16), same, "left_semi").dropDuplicates(["doc_id"])
+    return rest.join(sized(again, 16), same, "left_anti").unionByName(repeated)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
