@@ -12,6 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def together(df: DataFrame, keys: list) -> DataFrame:
+    """The rows of each key in one partition, before a pick over keys that hold few rows each.
+
+    Where nearly every row has its own key, reducing before the shuffle only sorts all rows
+    once more: here they are shuffled as they come, and sorted once.  Not for keys that hold much of the table."""
+    return df.repartition(*keys)
+
+
 def _pick(df: DataFrame, keys: list, values: list, order: list, fn) -> DataFrame:
     order_struct = F.struct(*[F.col(c) for c in order])
     value_struct = F.struct(*[F.col(c) for c in values])

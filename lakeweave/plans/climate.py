@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import keep_last_rows
+from ..operators.dedupe import keep_last_rows, together
 from ..operators.quality import ratio_round
 from ..sources.fixtures import climate_raw
 from ..sources.sinks import upsert
@@ -46,8 +46,13 @@ COLD_DEVIATION = -2.0
 
 
 def _hour_ts(date_txt, hhmm):
-    """date + HHMM (left-padded to 4) -> timestamp, NULL when not a valid time."""
-    return F.try_to_timestamp(F.concat(date_txt, F.lpad(hhmm, 4, "0")), F.lit("yyyyMMddHHmm"))
+    """date + HHMM (left-padded to 4) -> timestamp, NULL when not a valid time.
+
+    Digits that are no time of day (many: the hours are HHMM) are told apart before parsing,
+    because the parser raises and catches an error for each text that it can't read."""
+    txt = F.concat(date_txt, F.lpad(hhmm, 4, "0"))
+    no_time = txt.rlike(r"^[0-9]{12}$") & ((F.substring(txt, 9, 2) > "23") | (F.substring(txt, 11, 2) > "59"))
+    return F.when(~no_time, F.try_to_timestamp(txt, F.lit("yyyyMMddHHmm")))
 
 
 def curate(raw: DataFrame) -> DataFrame:
@@ -65,13 +70,13 @@ def curate(raw: DataFrame) -> DataFrame:
 def climat_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated table: both files, keep-last per (station, date) by file order."""
     cur = curate(climate_raw(spark, sf_dir))
-    return keep_last_rows(cur, KEY, ["_file"]).drop("_file")
+    return keep_last_rows(together(cur, KEY), KEY, ["_file"]).drop("_file")
 
 
 def climate_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S22 as a job: table loaded from file 1, then file 2 upserted into it."""
     cur = curate(climate_raw(spark, sf_dir))
-    existing = keep_last_rows(cur.filter(F.col("_file") == 1), KEY, ["_file"]).drop("_file")
+    existing = keep_last_rows(together(cur.filter(F.col("_file") == 1), KEY), KEY, ["_file"]).drop("_file")
     return upsert(existing, cur.filter(F.col("_file") == 2), KEY, order=["_file"])
 
 
@@ -171,14 +176,15 @@ def wettest_month(clim: DataFrame) -> DataFrame:
 
 
 def hot_cold_year(clim: DataFrame) -> DataFrame:
-    day = day_vs_normal(clim, keep_coords=True)
-    coords = day.groupBy("station_id").agg(F.max("latitude").alias("latitude"),
-                                           F.max("longitude").alias("longitude"))
-    per_year = day.groupBy("station_id", "annee").agg(
+    """The days are read and compared once; a station's coordinates are the largest of its yearly ones
+    (a window over one row per station and year), and a station without a number has none."""
+    per_year = day_vs_normal(clim, keep_coords=True).groupBy("station_id", "annee").agg(
         F.max("station_nom").alias("station_nom"),
         F.count_if(F.col("ecart_tx_normale") > HOT_DEVIATION).alias("nb_jours_chauds"),
-        F.count_if(F.col("ecart_tn_normale") < COLD_DEVIATION).alias("nb_jours_froids"))
-    return per_year.join(coords, "station_id", "left")
+        F.count_if(F.col("ecart_tn_normale") < COLD_DEVIATION).alias("nb_jours_froids"),
+        F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude"))
+    station = Window.partitionBy("station_id")
+    return per_year.withColumns({c: F.when(F.col("station_id").isNotNull(), F.max(c).over(station)) for c in ("latitude", "longitude")})
 
 
 def last_day_kpis(clim: DataFrame) -> DataFrame:

@@ -47,9 +47,11 @@ def get_spark(master: str | None = None, app: str = "lakeweave",
     return spark
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings a job relies on to an existing session."""
+def prepare(spark: SparkSession, sf_dir: str | None = None) -> SparkSession:
+    """Apply the SQL settings a job relies on to an existing session; with ``sf_dir`` also
+    those by which a task's share stays the same however large that folder's tables are."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _share(spark, sf_dir)
     try:
         spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
     except Exception:  # noqa: BLE001 - optional client setting
@@ -58,6 +60,38 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Stored bytes of input that a shuffle partition stands for (its rows take about thirty times that in memory).
+PARTITION_BYTES = 4 << 20
+#: What adaptive execution may merge partitions to, what a task reads of a file, and what goes to Python at once.
+SHARES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(16 << 20), "spark.sql.files.maxPartitionBytes": str(32 << 20),
+          "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_BASE: dict = {}
+
+
+def _share(spark: SparkSession, sf_dir: str | None) -> None:
+    """Shuffle partitions in proportion to the stored input, never fewer than the session had; without a
+    folder, the session's own settings again.  A value set in between by the user is the new base."""
+    app = spark.sparkContext.applicationId
+    base = _BASE.setdefault(app, {})
+    wanted = {}
+    if sf_dir is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+        stored = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        wanted = {**SHARES, _PARTITIONS: str(-(-stored // PARTITION_BYTES))}
+    for key in (*SHARES, _PARTITIONS):
+        now = spark.conf.get(key)
+        own, ours = base.get(key, (now, now))
+        if now != ours:
+            own = now
+        value = wanted.get(key, own)
+        if key == _PARTITIONS:
+            value = str(max(int(own), int(value)))
+        if value != now:
+            spark.conf.set(key, value)
+        base[key] = (own, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import together
 from .incremental import landed_stream, run_available_now
 
 #: Place of an event in its delivery; everything else is its content.
@@ -65,6 +66,11 @@ def occurrences(pages: DataFrame) -> DataFrame:
     return first.select("report_code", "content", "occurrence", "e.*")
 
 
+def given_store(spark: SparkSession, root: str, schema: str) -> EpochStore:
+    """Where ``ingest_events_once`` puts the events that it gives out."""
+    return EpochStore(spark, f"{root}/given", f"{schema}, content string, occurrence long", ["report_code", "content"])
+
+
 def ingest_events_once(spark: SparkSession, source: str, root: str, schema: str, per_trigger: int | None = None) -> EpochStore:
     """Landed event pages -> every real event once, over batches, replays and page borders.
 
@@ -72,7 +78,7 @@ def ingest_events_once(spark: SparkSession, source: str, root: str, schema: str,
     events given out, whose (report, content, occurrence) is the key of later batches.  A place is taken
     to say the same whenever it is delivered; a report that changed is ingested anew (T2)."""
     delivered = EpochStore(spark, f"{root}/delivered", schema, PLACE)
-    given = EpochStore(spark, f"{root}/given", f"{schema}, content string, occurrence long", ["report_code", "content"])
+    given = given_store(spark, root, schema)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         batch = batch.drop("_landed").dropDuplicates(PLACE)
@@ -94,10 +100,15 @@ DELTA = f"window_start timestamp, event_type string, events long, amount {EXACT}
 
 def _contributions(batch: DataFrame) -> DataFrame:
     """What each event of the batch adds, by its last delivery."""
-    last = batch.groupBy("event_id").agg(F.max_by(F.struct("ts", "event_type", "value"), F.col("_landed")).alias("e"))
+    last = together(batch, ["event_id"]).groupBy("event_id").agg(F.max_by(F.struct("ts", "event_type", "value"), F.col("_landed")).alias("e"))
     return last.select("event_id", F.date_trunc("hour", F.col("e.ts").cast("timestamp")).alias("window_start"), "e.event_type", F.col("e.value").cast(EXACT).alias("amount"))
 
 
+def delta_store(spark: SparkSession, root: str) -> EpochStore:
+    """Where ``maintain_hourly`` puts what each batch changed."""
+    return EpochStore(spark, f"{root}/deltas", DELTA, ["window_start", "event_type"])
+
+
 def maintain_hourly(spark: SparkSession, source: str, root: str, per_trigger: int | None = None) -> EpochStore:
     """Counts and sums per (hour, type), kept by deltas: an event that is delivered again takes its old
     contribution out and puts its new one in, so duplicates and corrections (another value, type or
@@ -105,7 +116,7 @@ def maintain_hourly(spark: SparkSession, source: str, root: str, per_trigger: in
 
     ``contributions`` holds what each batch put in; ``deltas`` a row per (hour, type) that it changed."""
     contributions = EpochStore(spark, f"{root}/contributions", CONTRIBUTION, ["event_id"])
-    deltas = EpochStore(spark, f"{root}/deltas", DELTA, ["window_start", "event_type"])
+    deltas = delta_store(spark, root)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         contributions.write(_contributions(batch), epoch)

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import keep_last_rows
+from ..operators.dedupe import keep_last_rows, together
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources.sinks import BucketedTable, VersionedTable
@@ -28,6 +28,16 @@ def scratch_root(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeweave-{name}-{uuid.uuid4().hex[:10]}"
 
 
+def deliver(root: str, parts, ingest) -> None:
+    """Each part lands as files under ``<root>/landing/part=<k>``, written by as many tasks as its plan has,
+    and is drained before the next one lands: one batch is one delivery, however many files it has.
+
+    ``ingest(source)`` runs the stream over all that has landed, from the same checkpoint each time."""
+    for k, part in enumerate(parts):
+        part.hint("rebalance").write.parquet(f"{root}/landing/part={k}")
+        ingest(f"{root}/landing/part=*")
+
+
 def run_available_now(stream: DataFrame, sink, checkpoint: str, output_mode: str = "append") -> None:
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(sink)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -48,7 +58,7 @@ def landed_stream(spark: SparkSession, source: str, per_trigger: int | None = No
 def _bronze(spark: SparkSession, batch: DataFrame) -> DataFrame:
     """Bronze rows of a batch; of an event delivered twice in it the later delivery counts."""
     rest = [c for c in batch.columns if c not in ("event_id", "_landed")]
-    last = batch.groupBy("event_id").agg(F.max_by(F.struct(*rest), F.col("_landed")).alias("_v")).select("event_id", "_v.*")
+    last = together(batch, ["event_id"]).groupBy("event_id").agg(F.max_by(F.struct(*rest), F.col("_landed")).alias("_v")).select("event_id", "_v.*")
     return fx.combat_events_bronze(spark, None, events=last)
 
 
@@ -94,7 +104,7 @@ def climate_daily_upsert(spark: SparkSession, source: str, table, checkpoint: st
     from ..plans.climate import KEY
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        rows = keep_last_rows(curate(batch.drop("_landed")), KEY, ["_file"]).drop("_file")
+        rows = keep_last_rows(together(curate(batch.drop("_landed")), KEY), KEY, ["_file"]).drop("_file")
         table.upsert(rows, KEY, order=KEY)
 
     run_available_now(landed_stream(spark, source, per_trigger), sink, checkpoint)
@@ -115,25 +125,25 @@ def stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_bronze_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events land in two files that split every page; each is a batch, and the first is delivered again."""
+    """Events land in two deliveries that split every page; each is a batch, and the first is delivered again."""
     root = scratch_root(spark, "stream-two")
     events = spark.read.parquet(table_path(sf_dir, "events"))
-    for k, part in enumerate((F.col("event_id") % 3 == 0, F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0)):
-        events.filter(part).coalesce(1).write.parquet(f"{root}/landing/part={k}")
     table = BucketedTable(spark, root + "/table", ["report_code"], buckets=16)
-    return ingest_events_to_bronze(spark, f"{root}/landing/part=*", table, root + "/checkpoint", per_trigger=1).read()
+    deliver(root, [events.filter(part) for part in (F.col("event_id") % 3 == 0, F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0)],
+            lambda source: ingest_events_to_bronze(spark, source, table, root + "/checkpoint"))
+    return table.read()
 
 
 def stream_climate_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5 as a job: the two climate deliveries land as files and are upserted one after the other."""
+    """T5 as a job: the two climate deliveries land and are upserted one after the other."""
     from ..plans.climate import climate_raw, curate
 
     root = scratch_root(spark, "stream-climate")
     raw = climate_raw(spark, sf_dir)
-    for k in (1, 2):
-        raw.filter(F.col("_file") == k).coalesce(1).write.parquet(f"{root}/landing/part={k}")
     table = VersionedTable(spark, root + "/table")
-    return climate_daily_upsert(spark, f"{root}/landing/part=*", table, root + "/checkpoint", curate, per_trigger=1).read()
+    deliver(root, [raw.filter(F.col("_file") == k) for k in (1, 2)],
+            lambda source: climate_daily_upsert(spark, source, table, root + "/checkpoint", curate))
+    return table.read()
 
 
 QUERIES = {

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.combat import Bronze
+from ..session import materialize
 from ..sources import fixtures as fx
 from ..sources.tables import table_path
 from . import epochs, refresh
-from .incremental import scratch_root
+from .incremental import deliver, scratch_root
 
 
 def ddl(df: DataFrame) -> str:
@@ -29,13 +30,12 @@ def bordered_pages(events: DataFrame) -> DataFrame:
 
 
 def stream_border_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages land in two files, so that most borders lie between two batches, and the first file is delivered again."""
+    """Pages land in two deliveries, so that most borders lie between two batches, and the first is delivered again."""
     root = scratch_root(spark, "stream-borders")
-    pages = bordered_pages(Bronze(spark, sf_dir).events)
-    for k, part in enumerate((F.col("page_index") % 2 == 0, F.col("page_index") % 2 == 1, F.col("page_index") % 2 == 0)):
-        pages.where(part).write.parquet(f"{root}/landing/part={k}")
-    given = epochs.ingest_events_once(spark, f"{root}/landing/part=*", root, ddl(pages), per_trigger=8)
-    return given.read().drop("epoch", "content", "page_index", "event_index")
+    pages = materialize(bordered_pages(Bronze(spark, sf_dir).events), "pages")
+    parts = [pages.where(part) for part in (F.col("page_index") % 2 == 0, F.col("page_index") % 2 == 1, F.col("page_index") % 2 == 0)]
+    deliver(root, parts, lambda source: epochs.ingest_events_once(spark, source, root, ddl(pages)))
+    return epochs.given_store(spark, root, ddl(pages)).read().drop("epoch", "content", "page_index", "event_index")
 
 
 # ------------------------------------------------------------------ maintained aggregate
@@ -52,10 +52,9 @@ def stream_hourly_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(table_path(sf_dir, "events"))
     five, half = F.col("event_id") % 5 == 0, F.col("event_id") % 2 == 0
     wrong = events.where(five).withColumns({"value": F.col("value") * 3 + 1, "ts": F.col("ts") + F.expr("INTERVAL 5 HOURS"), "event_type": F.lit("view")})
-    for k, part in enumerate((wrong.unionByName(events.where(half & ~five)), events.where(five | (F.col("event_id") % 4 == 0)), events.where(~half & ~five))):
-        part.coalesce(1).write.parquet(f"{root}/landing/part={k}")
-    deltas = epochs.maintain_hourly(spark, f"{root}/landing/part=*", root, per_trigger=1)
-    return epochs.hourly_now(deltas).withColumn("value_sum", F.round("value_sum", 2))
+    parts = [wrong.unionByName(events.where(half & ~five)), events.where(five | (F.col("event_id") % 4 == 0)), events.where(~half & ~five)]
+    deliver(root, parts, lambda source: epochs.maintain_hourly(spark, source, root))
+    return epochs.hourly_now(epochs.delta_store(spark, root)).withColumn("value_sum", F.round("value_sum", 2))
 
 
 # ------------------------------------------------------------------ T4
@@ -75,10 +74,9 @@ def _refreshed(spark: SparkSession, sf_dir: str, gold: dict) -> refresh.Lake:
     b, lake = Bronze(spark, sf_dir), refresh.Lake(spark, f"{root}/lake")
     for name in refresh.BRONZE[1:]:
         lake.replace(name, getattr(b, name))
-    for k in (0, 1):
-        b.events.where(F.col("page_index") % 2 == k).coalesce(1).write.parquet(f"{root}/landing/part={k}")
     before = lake.put_roster(earlier_roster(b.roster), 0)
-    refresh.ingest_and_refresh(lake, f"{root}/landing/part=*", before, f"{root}/checkpoint", per_trigger=1, gold=gold)
+    deliver(root, [b.events.where(F.col("page_index") % 2 == k) for k in (0, 1)],
+            lambda source: refresh.ingest_and_refresh(lake, source, before, f"{root}/checkpoint", gold=gold))
     refresh.apply_roster(lake, b.roster, 1, gold)
     return lake
 

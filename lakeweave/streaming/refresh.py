@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import together
 from ..operators.joins import left_keys, right_keys
 from ..plans import combat as C
 from ..session import materialize
@@ -136,7 +137,7 @@ def ingest_and_refresh(lake: Lake, source: str, roster: DataFrame, checkpoint: s
 
     def sink(batch: DataFrame, epoch: int) -> None:
         rest = [c for c in batch.columns if c not in (*place, "_landed")]
-        new = materialize(batch.groupBy(*place).agg(F.max_by(F.struct(*rest), F.col("_landed")).alias("e")).select(*place, "e.*"), "batch")
+        new = materialize(together(batch, place).groupBy(*place).agg(F.max_by(F.struct(*rest), F.col("_landed")).alias("e")).select(*place, "e.*"), "batch")
         touched = Touched(new)
         if _exists(lake, "events"):
             new = materialize(touched.of(lake.read("events")).join(new, place, "left_anti").unionByName(new), "events")
