@@ -1,8 +1,9 @@
 """Scoring units (review x model) with a user's scorer that may fail.
 
-A batch is scored at once where that works; where it raises, each of its units is tried by itself, a
-``Transient`` failure again up to ``attempts`` times.  What still fails becomes an error row, so no unit
-is lost and none ends the job.  Results are stored per run; a later run scores only units
+A batch is scored at once.  A scorer says which of its units failed by a column ``failure`` (an exception, None
+for the others): those with a ``Transient`` one are asked again together, up to ``attempts`` times.  Where a
+scorer raises, it is not known for which unit, and each of the batch is tried by itself in the same way.  What
+still fails becomes an error row, so no unit is lost and none ends the job.  Results are stored per run; a later run scores only units
 without an annotation, so a pass that was cut off goes on where it was, and no unit is annotated twice.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ ATTEMPTS = 3
 UNIT = ["review_id", "model_used"]
 RESULT = "review_id long, model_used string, ok boolean, sentiment string, confidence double, attempts int, code_error int, error_text string"
 
-#: (units, attempt from 0) -> sentiment and confidence, a row per unit in order
+#: (units, attempt from 0) -> sentiment and confidence, and failure if there may be any, a row per unit in order
 Scorer = Callable[[pd.DataFrame, int], pd.DataFrame]
 
 
@@ -41,21 +43,52 @@ def _rows(units: pd.DataFrame, scored: pd.DataFrame, attempts: int) -> pd.DataFr
     if len(scored) != len(units):
         raise ScoringError(0, "the scorer gave another number of rows")
     out = units[UNIT].reset_index(drop=True)
-    return out.assign(ok=True, sentiment=scored["sentiment"].to_numpy(), confidence=scored["confidence"].to_numpy(), attempts=attempts, code_error=None, error_text=None)
+    failure = scored["failure"].to_numpy() if "failure" in scored else None
+    out = out.assign(ok=True, sentiment=scored["sentiment"].to_numpy(), confidence=scored["confidence"].to_numpy(), attempts=attempts, code_error=None, error_text=None)
+    if failure is not None and (failed := np.array([isinstance(e, Exception) for e in failure], dtype=bool)).any():
+        out["ok"] = ~failed
+        out["sentiment"] = out["sentiment"].astype(object).where(~failed, None)
+        out["confidence"] = out["confidence"].where(~failed)
+        out["code_error"] = pd.array([getattr(e, "code", None) if f else None for e, f in zip(failure, failed)], dtype="Int32")
+        out["error_text"] = [_said(e) if f else None for e, f in zip(failure, failed)]
+        out["_again"] = [isinstance(e, Transient) for e in failure]
+    return out
 
 
-def _one(unit: pd.DataFrame, scorer: Scorer, attempts: int) -> dict:
-    tried, error = 0, None
+def _said(error: Exception | None) -> str:
+    return f"{type(error).__name__}: {error}"
+
+
+def _rounds(units: pd.DataFrame, scorer: Scorer, attempts: int, columns: list[str]) -> Iterator[pd.DataFrame]:
+    """The units that the scorer answers, or fails for good, round by round; every round asks at once for all that may still pass."""
+    for tried in range(1, attempts + 1):
+        try:
+            rows = _rows(units, scorer(units, tried - 1), tried)
+        except Exception:  # noqa: BLE001 - it isn't known which unit it was: each by itself
+            rows = [_one(units.iloc[[k]], scorer, attempts, tried - 1) for k in range(len(units))]
+            yield pd.DataFrame(rows, columns=columns).astype({"code_error": "Int32", "confidence": "float64"})
+            return
+        again = rows["_again"].to_numpy(dtype=bool) if "_again" in rows and tried < attempts else np.zeros(len(rows), dtype=bool)
+        yield rows[~again][columns]
+        units = units[again]
+        if not len(units):
+            return
+
+
+def _one(unit: pd.DataFrame, scorer: Scorer, attempts: int, tried: int = 0) -> dict:
+    error = None
     while tried < attempts:
         tried += 1
         try:
-            return _rows(unit, scorer(unit, tried - 1), tried).iloc[0].to_dict()
+            row = _rows(unit, scorer(unit, tried - 1), tried).iloc[0].to_dict()
+            if not row.pop("_again", False) or tried == attempts:
+                return row
         except Transient as e:
             error = e
         except Exception as e:  # noqa: BLE001 - any failure of the user's scorer is a row, not the end of the job
             error = e
             break
-    return {**unit[UNIT].iloc[0].to_dict(), "ok": False, "attempts": tried, "code_error": getattr(error, "code", None), "error_text": f"{type(error).__name__}: {error}"}
+    return {**unit[UNIT].iloc[0].to_dict(), "ok": False, "attempts": tried, "code_error": getattr(error, "code", None), "error_text": _said(error)}
 
 
 def score(units: DataFrame, scorer: Scorer, attempts: int = ATTEMPTS) -> DataFrame:
@@ -64,13 +97,8 @@ def score(units: DataFrame, scorer: Scorer, attempts: int = ATTEMPTS) -> DataFra
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            try:
-                yield _rows(batch, scorer(batch, 0), 1)[columns]
-            except Exception:  # noqa: BLE001 - one unit spoils the batch: each by itself
-                rows = [_one(batch.iloc[[k]], scorer, attempts) for k in range(len(batch))]
-                yield pd.DataFrame(rows, columns=columns).astype({"code_error": "Int32", "confidence": "float64"})
+            if len(batch):
+                yield from _rounds(batch, scorer, attempts, columns)
     return units.mapInPandas(run, RESULT)
 
 
@@ -106,15 +134,15 @@ def rule_scorer(units: pd.DataFrame, attempt: int) -> pd.DataFrame:
     under five words, some units answer only when asked again, and one model is down for some reviews."""
     place = units["model_used"].map({m: i for i, m in enumerate(R.MODELS)})
     number = units["review_id"] * 3 + place
-    words = units["review_text"].fillna("").str.split()
-    if (words.str.len() < 5).any():
-        raise ScoringError(422, "text too short")
-    if ((number % 11 == 0) & (place == 0)).any():
-        raise Transient(503, "model is down")
-    if attempt < 1 and (number % 7 == 0).any():
-        raise Transient(429, "too many requests")
-    share = words.map(lambda w: sum(len(x) > 5 for x in w) / len(w)) + place / 100
-    return pd.DataFrame({"sentiment": share.map(lambda s: "positif" if s > 0.4 else "negatif" if s < 0.25 else "neutre"), "confidence": share.round(6)})
+    # a text's words are counted once, however many models are asked about it
+    counts = {t: (sum(len(x) > 5 for x in w), len(w)) for t in units["review_text"].fillna("").unique() for w in [t.split()]}
+    long, words = (np.array(c) for c in zip(*units["review_text"].fillna("").map(counts)))
+    failure = pd.Series(None, index=units.index, dtype=object)
+    short, down, busy = words < 5, (number % 11 == 0) & (place == 0), (attempt < 1) & (number % 7 == 0)
+    for where, error in ((busy, Transient(429, "too many requests")), (down, Transient(503, "model is down")), (short, ScoringError(422, "text too short"))):
+        failure[where] = error
+    share = long / np.maximum(words, 1) + place / 100
+    return pd.DataFrame({"sentiment": np.where(share > 0.4, "positif", np.where(share < 0.25, "negatif", "neutre")), "confidence": share.round(6), "failure": failure})
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> Runs:
